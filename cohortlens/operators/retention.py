@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_lit, month_start, one_month, year_start
@@ -72,20 +72,27 @@ def _scaffold_keys(scaffold: DataFrame, dims) -> DataFrame:
     return scaffold.select("month_idx", *dims)
 
 
+def _new_sparse(mg: DataFrame, dims) -> DataFrame:
+    # an account-month row is unique per account, so count(*) = count(distinct)
+    return (mg.where(F.col("min_account_closedate_row") == 1)
+            .groupBy(F.col("closed_month").alias("month_idx"), *dims)
+            .agg(F.count(F.lit(1)).alias("new_accounts"), F.sum("revenue").alias("new_revenue"),
+                 F.sum("gmv").alias("new_gmv")))
+
+
+def _rolling_new(window: int, dims) -> Column:
+    roll = Window.partitionBy(*dims).orderBy("month_idx").rowsBetween(-(window - 1), 0)
+    return F.sum("new_accounts").over(roll)
+
+
 def new_accounts(mg: DataFrame, scaffold: DataFrame, window: int = 12,
                  dims: tuple[str, ...] = REPORT_DIMS) -> DataFrame:
     """D7 (J10, W6): accounts whose first deal falls in the month, plus a
     rolling sum over ``window`` months per segment."""
-    # an account-month row is unique per account, so count(*) = count(distinct)
-    first = (mg.where(F.col("min_account_closedate_row") == 1)
-             .groupBy(F.col("closed_month").alias("month_idx"), *dims)
-             .agg(F.count(F.lit(1)).alias("new_accounts"), F.sum("revenue").alias("revenue"),
-                  F.sum("gmv").alias("gmv")))
-    out = _scaffold_keys(scaffold, dims).join(first, ["month_idx", *dims], "left")
-    roll = Window.partitionBy(*dims).orderBy("month_idx").rowsBetween(-(window - 1), 0)
+    out = _scaffold_keys(scaffold, dims).join(_new_sparse(mg, dims), ["month_idx", *dims], "left")
     out = out.withColumn("new_accounts", F.coalesce("new_accounts", F.lit(0)))
-    return out.select("month_idx", *dims, "new_accounts",
-                      F.sum("new_accounts").over(roll).alias("new_accounts_rolling"), "revenue", "gmv")
+    return out.select("month_idx", *dims, "new_accounts", _rolling_new(window, dims).alias("new_accounts_rolling"),
+                      F.col("new_revenue").alias("revenue"), F.col("new_gmv").alias("gmv"))
 
 
 def _covered_months(mg: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
@@ -98,6 +105,15 @@ def _covered_months(mg: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
         F.greatest("closed_month", lo_c), F.least("ret_date_max", hi_c), one_month())))
 
 
+def _retained_sparse(mg: DataFrame, dims, start: dt.date, as_of: dt.date) -> DataFrame:
+    cov = _covered_months(mg, start.replace(day=1), as_of.replace(day=1))
+    per_account = (cov.groupBy("month_idx", *dims, "account_id")
+                   .agg(F.sum("revenue").alias("revenue"), F.sum("gmv").alias("gmv")))
+    return (per_account.groupBy("month_idx", *dims)
+            .agg(F.count(F.lit(1)).alias("retained_accounts"), F.sum("revenue").alias("ret_revenue"),
+                 F.sum("gmv").alias("ret_gmv")))
+
+
 def retained(mg: DataFrame, scaffold: DataFrame, dims: tuple[str, ...] = REPORT_DIMS,
              start: dt.date = A.SCAFFOLD_START, as_of: dt.date = A.AS_OF) -> DataFrame:
     """D8 (J11): accounts active within the window ending in the month.
@@ -105,15 +121,10 @@ def retained(mg: DataFrame, scaffold: DataFrame, dims: tuple[str, ...] = REPORT_
     Money follows the SQL report: an account's lifetime value is added once
     per active month inside the window (``money_mode="per_activity"``).
     """
-    cov = _covered_months(mg, start.replace(day=1), as_of.replace(day=1))
-    per_account = (cov.groupBy("month_idx", *dims, "account_id")
-                   .agg(F.sum("revenue").alias("revenue"), F.sum("gmv").alias("gmv")))
-    agg = (per_account.groupBy("month_idx", *dims)
-           .agg(F.count(F.lit(1)).alias("retained_accounts"), F.sum("revenue").alias("revenue"),
-                F.sum("gmv").alias("gmv")))
-    out = _scaffold_keys(scaffold, dims).join(agg, ["month_idx", *dims], "left")
+    out = _scaffold_keys(scaffold, dims).join(_retained_sparse(mg, dims, start, as_of),
+                                              ["month_idx", *dims], "left")
     return out.select("month_idx", *dims, F.coalesce("retained_accounts", F.lit(0)).alias("retained_accounts"),
-                      "revenue", "gmv")
+                      F.col("ret_revenue").alias("revenue"), F.col("ret_gmv").alias("gmv"))
 
 
 def churn_candidates(mg: DataFrame, dims: tuple[str, ...] = REPORT_DIMS) -> DataFrame:
@@ -124,25 +135,31 @@ def churn_candidates(mg: DataFrame, dims: tuple[str, ...] = REPORT_DIMS) -> Data
     return c.withColumn("is_churn", F.col("next_month").isNull() | (F.col("next_month") > F.col("churn_date")))
 
 
+def _churned_sparse(mg: DataFrame, dims) -> DataFrame:
+    ch = F.col("is_churn")
+    return (churn_candidates(mg, dims).groupBy(F.col("churn_date").alias("month_idx"), *dims)
+            .agg(F.count(F.when(ch, 1)).alias("churned_accounts"),
+                 F.sum(F.when(ch, F.col("revenue"))).alias("_rev"),
+                 F.sum(F.when(ch, F.col("gmv"))).alias("_gmv"),
+                 F.count(F.when(~ch, 1)).alias("_kept")))
+
+
+def _churn_money(col: str) -> Column:
+    # SUM(IFF(retained, 0, value)): NULL when nothing is due, 0 when all due were retained
+    kept = F.coalesce("_kept", F.lit(0)) > 0
+    return F.when(kept, F.coalesce(col, F.lit(0))).otherwise(F.col(col))
+
+
 def churned(mg: DataFrame, scaffold: DataFrame, dims: tuple[str, ...] = REPORT_DIMS) -> DataFrame:
     """D9 (J14, G11, G12): accounts whose retention window ended the month before.
 
     Money keeps the SQL's NULL rules: NULL when no account-month is due in the
     month, 0 when all that are due were retained.
     """
-    c = churn_candidates(mg, dims)
-    ch = F.col("is_churn")
-    agg = (c.groupBy(F.col("churn_date").alias("month_idx"), *dims)
-           .agg(F.count(F.when(ch, 1)).alias("churned_accounts"),
-                F.sum(F.when(ch, F.col("revenue"))).alias("_rev"),
-                F.sum(F.when(ch, F.col("gmv"))).alias("_gmv"),
-                F.count(F.when(~ch, 1)).alias("_kept")))
-    out = _scaffold_keys(scaffold, dims).join(agg, ["month_idx", *dims], "left")
-    kept = F.coalesce("_kept", F.lit(0)) > 0
+    out = _scaffold_keys(scaffold, dims).join(_churned_sparse(mg, dims), ["month_idx", *dims], "left")
     return out.select(
         "month_idx", *dims, F.coalesce("churned_accounts", F.lit(0)).alias("churned_accounts"),
-        F.when(kept, F.coalesce("_rev", F.lit(0))).otherwise(F.col("_rev")).alias("revenue"),
-        F.when(kept, F.coalesce("_gmv", F.lit(0))).otherwise(F.col("_gmv")).alias("gmv"))
+        _churn_money("_rev").alias("revenue"), _churn_money("_gmv").alias("gmv"))
 
 
 def churn_report(mg: DataFrame, scaffold: DataFrame, window: int = 12,
@@ -151,31 +168,28 @@ def churn_report(mg: DataFrame, scaffold: DataFrame, window: int = 12,
     """D10 (J16): new, rolling new, churned and retained-without-new accounts,
     revenue and GMV per month and segment.
 
-    The three inputs share the scaffold's keys, so they are merged with one
-    aggregation instead of two joins. The reference's inner joins drop keys
-    with a NULL part (accounts without a dated deal); so does this.
+    The three measures are computed sparse (only months with activity), merged
+    with one aggregation and joined to the dense scaffold once, instead of
+    three scaffold joins and two joins between them. The reference's inner
+    joins drop keys with a NULL part (accounts without a dated deal); so does
+    this.
     """
     keys = ["month_idx", *dims]
-    n = new_accounts(mg, scaffold, window, dims).select(
-        *keys, "new_accounts", "new_accounts_rolling",
-        F.col("revenue").alias("new_revenue"), F.col("gmv").alias("new_gmv"))
-    r = retained(mg, scaffold, dims, start, as_of).select(
-        *keys, "retained_accounts", F.col("revenue").alias("ret_revenue"), F.col("gmv").alias("ret_gmv"))
-    c = churned(mg, scaffold, dims).select(
-        *keys, "churned_accounts", F.col("revenue").alias("churned_revenue"),
-        F.col("gmv").alias("churned_gmv"))
-    merged = n.unionByName(r, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
-    value_cols = [x for x in merged.columns if x not in keys]
+    parts = [_new_sparse(mg, dims), _retained_sparse(mg, dims, start, as_of), _churned_sparse(mg, dims)]
+    merged = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    merged = merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in merged.columns if c not in keys])
+    kd = _scaffold_keys(scaffold, dims)
     for d in keys:
-        merged = merged.where(F.col(d).isNotNull())
-    m = merged.groupBy(*keys).agg(*[F.max(x).alias(x) for x in value_cols])
+        kd = kd.where(F.col(d).isNotNull())
+    m = kd.join(merged, keys, "left").withColumn("new_accounts", F.coalesce("new_accounts", F.lit(0)))
     nvl0 = lambda x: F.coalesce(F.col(x), F.lit(0))
     return m.select(
-        F.col("month_idx").alias("closed_month"), *dims, "new_accounts", "new_accounts_rolling",
-        "churned_accounts",
-        (F.col("retained_accounts") - nvl0("new_accounts")).alias("retained_accounts_no_new"),
+        F.col("month_idx").alias("closed_month"), *dims, "new_accounts",
+        _rolling_new(window, dims).alias("new_accounts_rolling"),
+        nvl0("churned_accounts").alias("churned_accounts"),
+        (nvl0("retained_accounts") - F.col("new_accounts")).alias("retained_accounts_no_new"),
         (F.col("ret_revenue") - nvl0("new_revenue")).alias("retained_revenue_no_new"),
-        "churned_revenue", "churned_gmv",
+        _churn_money("_rev").alias("churned_revenue"), _churn_money("_gmv").alias("churned_gmv"),
         (F.col("ret_gmv") - nvl0("new_gmv")).alias("retained_gmv_no_new"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql.types import DecimalType
 from ..operators import cube, deals, intervals, ledger, retention, sampling
 from ..sources import adapters as A
 from ..sources.tables import Tables
+from .layers import LayerStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,23 +28,31 @@ def edge(df: DataFrame) -> DataFrame:
 
 
 class Layers:
-    """The reference's layer chain (fee ledger -> deal fact -> scaffold -> MG),
-    as lazy DataFrames over one set of tables."""
+    """The reference's layer chain (fee ledger -> deal fact -> scaffold), each
+    layer stored once per input folder and read back by the products."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, n: int = 12):
-        self.spark, self.t, self.n = spark, Tables(spark, sf_dir), n
+    def __init__(self, spark: SparkSession, sf_dir: str, rebuild: bool = False):
+        self.spark, self.t = spark, Tables(spark, sf_dir)
+        self.store = LayerStore(spark, sf_dir, rebuild)
+
+    @property
+    def ledger(self) -> DataFrame:
+        return self.store.get("fee_ledger", lambda: ledger.fee_ledger(self.t))
+
+    @property
+    def ledger_v2(self) -> DataFrame:
+        return self.store.get("fee_ledger_v2", lambda: ledger.fee_ledger(self.t, numeric_buyer_deduction=True))
 
     @property
     def base(self) -> DataFrame:
-        return deals.deal_fact(self.t)
+        return self.store.get("deal_fact", lambda: deals.deal_fact(self.t, self.ledger))
 
     @property
     def scaffold(self) -> DataFrame:
-        return retention.dim_scaffold(self.base, A.weeks(self.spark))
+        return self.store.get("dim_scaffold", lambda: retention.dim_scaffold(self.base, A.weeks(self.spark)))
 
-    @property
-    def mg(self) -> DataFrame:
-        return retention.account_months(self.base, self.n)
+    def mg(self, n: int = 12) -> DataFrame:
+        return retention.account_months(self.base, n)
 
 
 def _t(spark, d) -> Tables:
@@ -52,9 +61,7 @@ def _t(spark, d) -> Tables:
 
 def _report(spark, d) -> DataFrame:
     L = Layers(spark, d)
-    base = L.base
-    return retention.churn_report(retention.account_months(base, 12),
-                                  retention.dim_scaffold(base, A.weeks(spark)))
+    return retention.churn_report(L.mg(), L.scaffold)
 
 
 QUERIES: dict[str, Query] = {
@@ -67,16 +74,17 @@ QUERIES: dict[str, Query] = {
         A.asset_balance_transfers(_t(s, d)))),
     "d01_fee_ledger": lambda s, d: edge(ledger.fee_ledger(_t(s, d))),
     # Deal fact
-    "d02_deal_fact": lambda s, d: edge(deals.deal_fact(_t(s, d))),
-    "d03_deal_fact_loan_tape": lambda s, d: edge(deals.deal_fact(_t(s, d), loan_tape=True)),
-    "d04_deal_fact_v1": lambda s, d: edge(deals.deal_fact_v1(_t(s, d))),
+    "d02_deal_fact": lambda s, d: edge(deals.deal_fact(_t(s, d), Layers(s, d).ledger)),
+    "d03_deal_fact_loan_tape": lambda s, d: edge(deals.deal_fact(_t(s, d), Layers(s, d).ledger_v2,
+                                                                 loan_tape=True)),
+    "d04_deal_fact_v1": lambda s, d: edge(deals.deal_fact_v1(_t(s, d), Layers(s, d).ledger)),
     "d24_base_profile": lambda s, d: deals.base_profile(Layers(s, d).base),
     # SQL report path
-    "d05_dim_scaffold": lambda s, d: Layers(s, d).scaffold,
-    "d06_account_month": lambda s, d: edge(Layers(s, d).mg),
-    "d07_new_accounts": lambda s, d: edge(retention.new_accounts(Layers(s, d).mg, Layers(s, d).scaffold)),
-    "d08_retained": lambda s, d: edge(retention.retained(Layers(s, d).mg, Layers(s, d).scaffold)),
-    "d09_churned": lambda s, d: edge(retention.churned(Layers(s, d).mg, Layers(s, d).scaffold)),
+    "d05_dim_scaffold": lambda s, d: retention.dim_scaffold(Layers(s, d).base, A.weeks(s)),
+    "d06_account_month": lambda s, d: edge(Layers(s, d).mg()),
+    "d07_new_accounts": lambda s, d: edge(retention.new_accounts(Layers(s, d).mg(), Layers(s, d).scaffold)),
+    "d08_retained": lambda s, d: edge(retention.retained(Layers(s, d).mg(), Layers(s, d).scaffold)),
+    "d09_churned": lambda s, d: edge(retention.churned(Layers(s, d).mg(), Layers(s, d).scaffold)),
     "d10_churn_report": lambda s, d: edge(_report(s, d)),
     "o01_report_top100": lambda s, d: edge(retention.top_report_rows(_report(s, d), 100)),
     "d11_global_churn_v1": lambda s, d: retention.global_churn_v1(_t(s, d)),
