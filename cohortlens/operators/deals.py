@@ -2,11 +2,11 @@
 
 Account-level window values (row number, first/last value, lifetime sums) are
 computed without a window over a whole account: an account may hold a third
-of all deals. Rows are first reduced to one row per (account, day) with
-map-side partial aggregation; the account-wide windows then run over those
-day rows (at most one per calendar day), and are joined back on
-(account, day). Only the row number needs a window over raw rows, and that
-window is partitioned by (account, day), not by account.
+of all deals. Rows are first reduced to one row per block (account, day,
+opportunity-id range) with map-side partial aggregation; the account-wide
+windows then run over those block rows and are joined back on the block key.
+Only the row number needs a window over raw rows, and that window is
+partitioned by block, so its size is bounded by the id-range width.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from .ledger import MONEY, fee_ledger
 
 NULLS_LAST_DAY = dt.date(9999, 12, 31)   # sort key that puts NULL dates last
 _DKEY = "_day_key"
+_BKEY = "_id_bucket"
+ID_BUCKET_WIDTH = 1 << 20                # ids per row-number block within an (account, day)
 
 
 def qualified(opps: DataFrame) -> DataFrame:
@@ -37,18 +39,28 @@ def qualified(opps: DataFrame) -> DataFrame:
 def account_windows(df: DataFrame, account: str, date: str, tie: list[str],
                     firsts: dict[str, str], lasts: dict[str, str],
                     maxes: dict[str, Column], sums: dict[str, str],
-                    row_number: str = "account_closedate_row") -> DataFrame:
+                    row_number: str = "account_closedate_row",
+                    bucket_width: int = ID_BUCKET_WIDTH) -> DataFrame:
     """Add per-account window values, ordered by ``date`` (NULLs last) then ``tie``.
 
     ``firsts``/``lasts``: output -> input column, the value on the first/last row
     of the account (whole-partition frame). ``maxes``: output -> expression, max
     over the account. ``sums``: output -> column, sum over the account.
+
+    Rows are grouped into blocks (account, day, id bucket); ``tie[0]`` must be an
+    integral id, and ``tie[0] div bucket_width`` is monotone in the sort order,
+    so a block is a contiguous slice of the account's ordered rows. Block
+    summaries are aggregated map-side; the account-wide windows run over the
+    block rows; the row number is the rows before the block plus the position
+    inside it. No task ever sorts more than one block.
     """
-    keyed = df.withColumn(_DKEY, F.coalesce(F.col(date), F.lit(NULLS_LAST_DAY)))
+    keyed = df.withColumns({_DKEY: F.coalesce(F.col(date), F.lit(NULLS_LAST_DAY)),
+                            _BKEY: F.floor(F.col(tie[0]) / F.lit(bucket_width))})
+    block = [account, _DKEY, _BKEY]
     order = [F.col(_DKEY)] + [F.col(c) for c in tie]
     first_cols = list(firsts.values())
     last_cols = list(lasts.values())
-    day = keyed.groupBy(account, _DKEY).agg(
+    blocks = keyed.groupBy(*block).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.struct(*order, *[F.col(c).alias(f"f{i}") for i, c in enumerate(first_cols)])).alias("_first"),
         F.max(F.struct(*order, *[F.col(c).alias(f"l{i}") for i, c in enumerate(last_cols)])).alias("_last"),
@@ -56,19 +68,19 @@ def account_windows(df: DataFrame, account: str, date: str, tie: list[str],
         *[F.sum(c).alias(f"_sum_{k}") for k, c in sums.items()],
     )
     w_all = Window.partitionBy(account)
-    w_before = Window.partitionBy(account).orderBy(_DKEY).rowsBetween(Window.unboundedPreceding, -1)
-    acct = day.select(
-        account, _DKEY,
+    w_before = Window.partitionBy(account).orderBy(_DKEY, _BKEY).rowsBetween(Window.unboundedPreceding, -1)
+    acct = blocks.select(
+        *block,
         F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_offset"),
         *[F.min("_first").over(w_all)[f"f{i}"].alias(k) for i, k in enumerate(firsts)],
         *[F.max("_last").over(w_all)[f"l{i}"].alias(k) for i, k in enumerate(lasts)],
         *[F.max(f"_max_{k}").over(w_all).alias(k) for k in maxes],
         *[F.sum(f"_sum_{k}").over(w_all).alias(k) for k in sums],
     )
-    w_day = Window.partitionBy(account, _DKEY).orderBy(*[F.col(c).asc_nulls_first() for c in tie])
-    out = keyed.join(acct, [account, _DKEY])
-    out = out.withColumn(row_number, F.col("_offset") + F.row_number().over(w_day))
-    return out.drop(_DKEY, "_offset")
+    w_block = Window.partitionBy(*block).orderBy(*[F.col(c).asc_nulls_first() for c in tie])
+    out = keyed.join(acct, block)
+    out = out.withColumn(row_number, F.col("_offset") + F.row_number().over(w_block))
+    return out.drop(_DKEY, _BKEY, "_offset")
 
 
 def _ledger_for_deals(ledger: DataFrame) -> DataFrame:

@@ -30,14 +30,19 @@ def test_label_rollup_counts_each_label(spark):
     assert (by_label.reindex(by_first.index).fillna(0) >= by_first).all()
 
 
-def test_account_windows_match_plain_windows(spark):
+import pytest
+
+
+@pytest.mark.parametrize("bucket_width", [7, 1 << 20])
+def test_account_windows_match_plain_windows(spark, bucket_width):
     """The per-(account, day) decomposition equals one window over each account,
     including a hot account holding most rows."""
     rows = [(1 if i % 10 else 2 + i % 3, i, (i * 7919) % 50 if i % 13 else None, f"p{i % 5}") for i in range(3000)]
     df = spark.createDataFrame(rows, "acct long, id long, d int, label string") \
         .withColumn("day", F.expr("date_add(date'2020-01-01', d)"))
     got = deals.account_windows(df, "acct", "day", ["id"], firsts={"fl": "label", "fd": "day"},
-                                lasts={"ll": "label"}, maxes={"mx": F.col("d")}, sums={"sd": "d"}, row_number="rn")
+                                lasts={"ll": "label"}, maxes={"mx": F.col("d")}, sums={"sd": "d"}, row_number="rn",
+                                bucket_width=bucket_width)
     w = Window.partitionBy("acct").orderBy(F.col("day").asc_nulls_last(), "id")
     wf = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     want = df.select("acct", "id", F.row_number().over(w).alias("rn"), F.first("label").over(wf).alias("fl"),
