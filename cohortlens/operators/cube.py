@@ -31,6 +31,13 @@ from ..functions.columns import month_start, one_month, one_year, year_start
 CUBE_DIMS = ("account_class", "first_product_category", "cohort_ym", "country")
 
 
+def _kept(base: DataFrame, key: str, dims: Sequence[str]) -> DataFrame:
+    keep = F.lit(True)
+    for c in (key, *dims):
+        keep = keep & F.col(c).isNotNull()
+    return base.where(keep)
+
+
 def activity(base: DataFrame, key: str = "accountid", dims: Sequence[str] = CUBE_DIMS,
              date: str = "activity_date") -> DataFrame:
     """Distinct (key, dims, month) with the (key, dims) money totals.
@@ -38,10 +45,7 @@ def activity(base: DataFrame, key: str = "accountid", dims: Sequence[str] = CUBE
     Rows with a NULL key or dimension are dropped (as pandas ``groupby`` does);
     undated rows still count towards the money totals.
     """
-    keep = F.lit(True)
-    for c in (key, *dims):
-        keep = keep & F.col(c).isNotNull()
-    am = (base.where(keep).groupBy(key, *dims, month_start(date).alias("month"))
+    am = (_kept(base, key, dims).groupBy(key, *dims, month_start(date).alias("month"))
           .agg(F.sum("gmv").alias("_gmv"), F.sum("revenue").alias("_rev")))
     w = Window.partitionBy(key, *dims)
     zero = F.lit(0).cast("decimal(2,0)")
@@ -51,9 +55,16 @@ def activity(base: DataFrame, key: str = "accountid", dims: Sequence[str] = CUBE
             .select(key, *dims, "month", "gmv_total", "rev_total"))
 
 
-def _bounds(act: DataFrame) -> DataFrame:
-    """First and last observed month (the matrix columns); one row, broadcast."""
-    return F.broadcast(act.agg(F.min("month").alias("lo"), F.max("month").alias("hi")))
+def activity_bounds(base: DataFrame, key: str, dims: Sequence[str], date: str = "activity_date") -> DataFrame:
+    """First and last observed month (the matrix columns): one row, broadcast.
+    Taken from the base directly (partial aggregation), not from the activity rows."""
+    m = month_start(date)
+    return F.broadcast(_kept(base, key, dims).agg(F.min(m).alias("lo"), F.max(m).alias("hi")))
+
+
+def observed_segments(base: DataFrame, key: str, dims: Sequence[str], date: str = "activity_date") -> DataFrame:
+    """Distinct dimension values of the matrix rows (accounts with a dated deal)."""
+    return _kept(base, key, dims).where(F.col(date).isNotNull()).select(*dims).distinct()
 
 
 def _cells(period: Column, end: Column, step, next_p: Column, first_p: Column,
@@ -68,9 +79,9 @@ def _cells(period: Column, end: Column, step, next_p: Column, first_p: Column,
     return F.explode(F.concat(retained, churn))
 
 
-def monthly_cells(act: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
+def monthly_cells(act: DataFrame, bounds: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
     w = Window.partitionBy(key, *dims).orderBy("month")
-    f = act.crossJoin(_bounds(act)).withColumns({
+    f = act.crossJoin(bounds).withColumns({
         "next": F.lead("month").over(w),
         "first": F.min("month").over(Window.partitionBy(key, *dims))})
     end = F.least(F.add_months("month", n), F.add_months("next", -1), F.col("hi"))
@@ -79,10 +90,10 @@ def monthly_cells(act: DataFrame, key: str, dims: Sequence[str], n: int) -> Data
     return f.select(key, *dims, "gmv_total", "rev_total", "lo", "hi", cell.alias("cell"))
 
 
-def yearly_retained(act: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
+def yearly_retained(act: DataFrame, bounds: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
     """Distinct (key, dims, year) in which the account is retained."""
     w = Window.partitionBy(key, *dims).orderBy("month")
-    f = act.crossJoin(_bounds(act)).withColumn("next", F.lead("month").over(w))
+    f = act.crossJoin(bounds).withColumn("next", F.lead("month").over(w))
     end = F.least(F.add_months("month", n), F.add_months("next", -1), F.col("hi"))
     years = f.select(key, *dims, "gmv_total", "rev_total", "lo", "hi", F.explode(
         F.sequence(year_start("month"), year_start(end), one_year())).alias("year"))
@@ -91,8 +102,8 @@ def yearly_retained(act: DataFrame, key: str, dims: Sequence[str], n: int) -> Da
                  F.max("lo").alias("lo"), F.max("hi").alias("hi")))
 
 
-def yearly_cells(act: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
-    yr = yearly_retained(act, key, dims, n)
+def yearly_cells(act: DataFrame, bounds: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
+    yr = yearly_retained(act, bounds, key, dims, n)
     w = Window.partitionBy(key, *dims).orderBy("year")
     f = yr.withColumns({"next": F.lead("year").over(w),
                         "first": F.min("year").over(Window.partitionBy(key, *dims))})
@@ -101,8 +112,8 @@ def yearly_cells(act: DataFrame, key: str, dims: Sequence[str], n: int) -> DataF
     return f.select(key, *dims, "gmv_total", "rev_total", "lo", "hi", cell.alias("cell"))
 
 
-def _periods(act: DataFrame, grain: str) -> DataFrame:
-    b = _bounds(act)
+def _periods(bounds: DataFrame, grain: str) -> DataFrame:
+    b = bounds
     if grain == "year":
         seq = F.sequence(year_start("lo"), year_start("hi"), one_year())
     else:
@@ -127,8 +138,8 @@ def kpi_cube(base: DataFrame, n: int = 12, grain: str = "month", key: str = "acc
     segments x periods. ``rolling_window`` (monthly only, default n) adds the
     per-segment rolling sum of new accounts."""
     dims = list(dims)
-    act = activity(base, key, dims)
-    cells = (yearly_cells if grain == "year" else monthly_cells)(act, key, dims, n)
+    act, bounds = activity(base, key, dims), activity_bounds(base, key, dims)
+    cells = (yearly_cells if grain == "year" else monthly_cells)(act, bounds, key, dims, n)
     c = cells.select(*dims, "gmv_total", "rev_total", "cell.*")
     flag = {"retained": "r", "churned": "c", "new": "nw"}
     agg = c.groupBy(*dims, F.col("p").alias("activity_date")).agg(
@@ -138,7 +149,7 @@ def kpi_cube(base: DataFrame, n: int = 12, grain: str = "month", key: str = "acc
     keys = ["activity_date", *dims]
     counts = [f"{k}_accounts" for k in flag]
     moneys = [f"{k}_{m}" for m in ("gmv", "rev") for k in flag]
-    out = _dense(act.select(*dims).distinct(), _periods(act, grain), agg, keys, counts, moneys)
+    out = _dense(observed_segments(base, key, dims), _periods(bounds, grain), agg, keys, counts, moneys)
     cols = [*keys, "retained_accounts", "churned_accounts", "new_accounts"]
     if grain != "year":
         roll = Window.partitionBy(*dims).orderBy("activity_date").rowsBetween(-((rolling_window or n) - 1), 0)
@@ -153,9 +164,9 @@ def kpi_cube(base: DataFrame, n: int = 12, grain: str = "month", key: str = "acc
 
 
 def _yearly_counts(base: DataFrame, n: int, key: str, dims: Sequence[str], by: Sequence[str]):
-    act = activity(base, key, dims)
-    yr = yearly_retained(act, key, dims, n)
-    return act, yr.groupBy(F.col("year").alias("activity_date"), *by)
+    bounds = activity_bounds(base, key, dims)
+    yr = yearly_retained(activity(base, key, dims), bounds, key, dims, n)
+    return bounds, yr.groupBy(F.col("year").alias("activity_date"), *by)
 
 
 def yearly_retained_by(base: DataFrame, by: Sequence[str], n: int = 6, key: str = "accountid",
@@ -163,9 +174,9 @@ def yearly_retained_by(base: DataFrame, by: Sequence[str], n: int = 6, key: str
     """S6 (export_by_dim): yearly retained accounts by some of the dims, dense
     over observed values x years (D16 per dimension, D25)."""
     by = list(by)
-    act, g = _yearly_counts(base, n, key, dims, by)
+    bounds, g = _yearly_counts(base, n, key, dims, by)
     agg = g.agg(F.count(F.lit(1)).alias("retained_accounts"))
-    return _dense(act.select(*by).distinct(), _periods(act, "year"), agg,
+    return _dense(observed_segments(base, key, dims).select(*by).distinct(), _periods(bounds, "year"), agg,
                   ["activity_date", *by], ["retained_accounts"], [])
 
 
@@ -174,8 +185,8 @@ def yearly_retained_by_dim(base: DataFrame, n: int = 6, key: str = "accountid",
     """D16 (G24): the four single-dimension roll-ups in one GROUPING SETS pass,
     long form (year, dim_name, dim_value, retained_accounts)."""
     dims = list(dims)
-    act = activity(base, key, dims)
-    yr = yearly_retained(act, key, dims, n).withColumnRenamed("year", "activity_date")
+    bounds = activity_bounds(base, key, dims)
+    yr = yearly_retained(activity(base, key, dims), bounds, key, dims, n).withColumnRenamed("year", "activity_date")
     sets = [["activity_date", d] for d in dims]
     g = yr.groupingSets(sets, "activity_date", *dims).agg(
         F.count(F.lit(1)).alias("retained_accounts"), *[F.grouping(d).alias(f"_g_{d}") for d in dims])
@@ -185,10 +196,10 @@ def yearly_retained_by_dim(base: DataFrame, n: int = 6, key: str = "accountid",
         name = F.when(hit, F.lit(d)) if name is None else name.when(hit, F.lit(d))
         value = F.when(hit, F.col(d).cast("string")) if value is None else value.when(hit, F.col(d).cast("string"))
     agg = g.select("activity_date", name.alias("dim_name"), value.alias("dim_value"), "retained_accounts")
-    observed = act.select(F.explode(F.array(*[
+    observed = observed_segments(base, key, dims).select(F.explode(F.array(*[
         F.struct(F.lit(d).alias("dim_name"), F.col(d).cast("string").alias("dim_value")) for d in dims]))
         .alias("v")).select("v.*").distinct()
-    return _dense(observed, _periods(act, "year"), agg, ["activity_date", "dim_name", "dim_value"],
+    return _dense(observed, _periods(bounds, "year"), agg, ["activity_date", "dim_name", "dim_value"],
                   ["retained_accounts"], [])
 
 
@@ -201,11 +212,11 @@ def cohort_table(base: DataFrame, n: int = 6, key: str = "accountid",
                  dims: Sequence[str] = CUBE_DIMS) -> DataFrame:
     """Retained accounts, revenue and GMV by cohort month and year; money
     truncated to whole numbers (X23)."""
-    act, g = _yearly_counts(base, n, key, dims, ["cohort_ym"])
+    bounds, g = _yearly_counts(base, n, key, dims, ["cohort_ym"])
     agg = g.agg(F.count(F.lit(1)).alias("retained_accounts"),
                 F.sum("rev_total").cast("bigint").alias("retained_rev"),
                 F.sum("gmv_total").cast("bigint").alias("retained_gmv"))
-    return _dense(act.select("cohort_ym").distinct(), _periods(act, "year"), agg,
+    return _dense(observed_segments(base, key, dims).select("cohort_ym").distinct(), _periods(bounds, "year"), agg,
                   ["activity_date", "cohort_ym"], ["retained_accounts", "retained_rev", "retained_gmv"], [])
 
 

@@ -40,7 +40,8 @@ def base(spark):
 
 def _flags(base, spark):
     act = cube.activity(base, "accountid", cube.CUBE_DIMS)
-    cells = cube.monthly_cells(act, "accountid", list(cube.CUBE_DIMS), 6).select("accountid", "cell.*")
+    bounds = cube.activity_bounds(base, "accountid", cube.CUBE_DIMS)
+    cells = cube.monthly_cells(act, bounds, "accountid", list(cube.CUBE_DIMS), 6).select("accountid", "cell.*")
     out = {}
     for r in cells.collect():
         out.setdefault(r.accountid, {"r": set(), "c": set(), "nw": set()})
