@@ -56,10 +56,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it (a folder every executor can reach); only when it is
     unset, as in local tests, do we create one of our own.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())
     if not path:
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
