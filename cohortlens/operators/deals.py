@@ -20,11 +20,12 @@ from ..functions.columns import (NULL_COHORT_YEAR, PRESEASON_LABEL, month_start,
                                  product_category, year_start)
 from ..sources import adapters as A
 from ..sources.tables import Tables
-from .ledger import MONEY, fee_ledger
+from .ledger import fee_ledger
 
 NULLS_LAST_DAY = dt.date(9999, 12, 31)   # sort key that puts NULL dates last
 _DKEY = "_day_key"
 _BKEY = "_id_bucket"
+MONEY = "decimal(26,6)"                  # deal-level money: report sums may exceed 10^12
 ID_BUCKET_WIDTH = 1 << 20                # ids per row-number block within an (account, day)
 
 

@@ -24,7 +24,7 @@ EXCLUDED_FEE_DESCRIPTIONS = ("balance correction", "Ledger Adjustment", "Preseas
 FEEABLE_TYPES = ("Shipment", "FactoringRequest")
 BANK_COMPANY_NAME = "ProducePay"
 
-MONEY = "decimal(26,6)"
+MONEY = "decimal(18,6)"   # compact (long-backed) decimal: per-row amounts below 10^12
 S, D, I, B = "string", "date", "int", "boolean"
 
 # Canonical ledger layout (P1): name and type, in output order.
@@ -301,7 +301,7 @@ def fee_ledger(t: Tables, with_second_platform: bool = True,
     sop = sale_opportunities(A.opportunities(t))
     legacy = _shipment_arm(t, fees_p, notes_r, sop).union(_factoring_arm(t, fees_p, notes_r, sop))
     # The migrated side's numeric id is compared as text
-    migrated = (A.shipments(t).where(F.col("marketplace_order_id").isNull())
+    migrated = (A.marketplace_orders(t).where(F.col("marketplace_order_id").isNull())
                 .select(F.col("id").cast("string").alias("_migrated_id")))
     legacy = legacy.join(migrated, legacy.shipment_id == migrated._migrated_id).select(*LEDGER_COLUMNS)
     if numeric_buyer_deduction:

@@ -193,6 +193,26 @@ def churn_report(mg: DataFrame, scaffold: DataFrame, window: int = 12,
         (F.col("ret_gmv") - nvl0("new_gmv")).alias("retained_gmv_no_new"))
 
 
+# Fixed values of the reference: presentation names of the churn report (P20).
+REPORT_TITLES = {
+    "closed_month": "CLOSED MONTH",
+    "new_accounts": "NEW ACCOUNTS",
+    "new_accounts_rolling": "NEW ACCOUNTS (ROLLING WINDOW)",
+    "churned_accounts": "CHURNED ACCOUNTS",
+    "retained_accounts_no_new": "RETAINED ACCOUNTS (ROLLING WINDOW, NO NEW)",
+    "retained_revenue_no_new": "RETAINED REVENUE (NO NEW)",
+    "churned_revenue": "CHURNED REVENUE",
+    "churned_gmv": "CHURNED GMV",
+    "retained_gmv_no_new": "RETAINED GMV (NO NEW)",
+}
+
+
+def with_report_titles(report: DataFrame) -> DataFrame:
+    """P20: rename the report's columns to the reference's quoted titles
+    (dimension columns are upper-cased) as a last projection."""
+    return report.select(*[F.col(c).alias(REPORT_TITLES.get(c, c.upper())) for c in report.columns])
+
+
 def top_report_rows(report: DataFrame, k: int = 100) -> DataFrame:
     """O1: the latest ``k`` report rows (month descending, then all keys)."""
     keys = [c for c in report.columns if c != "closed_month"][:len(REPORT_DIMS)]

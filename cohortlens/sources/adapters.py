@@ -231,6 +231,12 @@ def _rate(v: float, scale: int = 3) -> Column:
     return F.lit(v).cast(f"decimal({scale + 1},{scale})")
 
 
+def marketplace_orders(t: Tables) -> DataFrame:
+    """Shipment id and marketplace order id only (no line summary needed)."""
+    k = F.col("o_orderkey")
+    return t.orders.select(k.alias("id"), F.when(k % 5 == 0, k).alias("marketplace_order_id"))
+
+
 def shipments(t: Tables) -> DataFrame:
     o = t.orders.join(_order_lines(t), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     k, status, p = F.col("o_orderkey"), F.col("o_orderstatus"), _dec("o_totalprice")

@@ -13,3 +13,10 @@ def test_export_by_dim_roundtrip(spark):
     back = spark.read.option("header", True).csv(path).select("activity_date", "cls", F.col("value").cast("long"))
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, back.collect())) == [
         ("2020-01-01", "a", 3), ("2021-01-01", "b", 0)]
+
+
+def test_report_titles(spark):
+    from cohortlens.operators.retention import with_report_titles
+    df = spark.createDataFrame([("2020-01-01", "QP", 1)], "closed_month string, first_product_category string, "
+                                                          "new_accounts int")
+    assert with_report_titles(df).columns == ["CLOSED MONTH", "FIRST_PRODUCT_CATEGORY", "NEW ACCOUNTS"]
