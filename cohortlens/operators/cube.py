@@ -131,12 +131,31 @@ def _dense(observed: DataFrame, periods: DataFrame, agg: DataFrame, keys: list[s
                       *[F.coalesce(c, zero.cast("decimal(2,0)")).alias(c) for c in moneys])
 
 
+def _per_activity_money(act: DataFrame, bounds: DataFrame, dims: Sequence[str], n: int) -> DataFrame:
+    """Retained money under the SQL report's rule: an account's total is added
+    once per active month inside the window (overlapping windows repeat it)."""
+    f = act.crossJoin(bounds)
+    months = F.explode(F.sequence(F.col("month"), F.least(F.add_months("month", n), F.col("hi")), one_month()))
+    return (f.select(*dims, "gmv_total", "rev_total", months.alias("activity_date"))
+            .groupBy(*dims, "activity_date")
+            .agg(F.sum("gmv_total").alias("retained_gmv"), F.sum("rev_total").alias("retained_rev")))
+
+
 def kpi_cube(base: DataFrame, n: int = 12, grain: str = "month", key: str = "accountid",
-             dims: Sequence[str] = CUBE_DIMS, rolling_window: int | None = None) -> DataFrame:
+             dims: Sequence[str] = CUBE_DIMS, rolling_window: int | None = None,
+             money_mode: str = "per_account") -> DataFrame:
     """D14 (``grain="month"``) / D15 (``grain="year"``): accounts, GMV and revenue,
     new / retained / churned, per period and segment; dense over observed
     segments x periods. ``rolling_window`` (monthly only, default n) adds the
-    per-segment rolling sum of new accounts."""
+    per-segment rolling sum of new accounts.
+
+    ``money_mode``: ``"per_account"`` (the notebook: lifetime value once per
+    retained account) or ``"per_activity"`` (the SQL report: once per active
+    month inside the window; monthly grain only)."""
+    if money_mode not in ("per_account", "per_activity"):
+        raise ValueError(f"unknown money_mode {money_mode!r}")
+    if money_mode == "per_activity" and grain == "year":
+        raise ValueError("money_mode='per_activity' is defined for the monthly cube only")
     dims = list(dims)
     act, bounds = activity(base, key, dims), activity_bounds(base, key, dims)
     cells = (yearly_cells if grain == "year" else monthly_cells)(act, bounds, key, dims, n)
@@ -147,6 +166,9 @@ def kpi_cube(base: DataFrame, n: int = 12, grain: str = "month", key: str = "acc
         *[F.sum(F.when(F.col(f) == 1, F.col("gmv_total"))).alias(f"{k}_gmv") for k, f in flag.items()],
         *[F.sum(F.when(F.col(f) == 1, F.col("rev_total"))).alias(f"{k}_rev") for k, f in flag.items()])
     keys = ["activity_date", *dims]
+    if money_mode == "per_activity":
+        agg = agg.drop("retained_gmv", "retained_rev").join(
+            _per_activity_money(act, bounds, dims, n), keys, "full")
     counts = [f"{k}_accounts" for k in flag]
     moneys = [f"{k}_{m}" for m in ("gmv", "rev") for k in flag]
     out = _dense(observed_segments(base, key, dims), _periods(bounds, grain), agg, keys, counts, moneys)
