@@ -52,7 +52,8 @@ class Layers:
         return self.store.get("dim_scaffold", lambda: retention.dim_scaffold(self.base, A.weeks(self.spark)))
 
     def mg(self, n: int = 12) -> DataFrame:
-        return retention.account_months(self.base, n)
+        # one row per account-month: small, and read three times by the churn report
+        return self.store.get(f"account_month_n{n}", lambda: retention.account_months(self.base, n))
 
 
 def _t(spark, d) -> Tables:
