@@ -50,17 +50,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_CHECKPOINT_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names it (a folder every executor can reach); only when it is
-    unset, as in local tests, do we create one of our own.
+    unset, as in local tests, do we create one of our own (once per application).
     """
     sc = spark.sparkContext
-    path = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-            or sc.getCheckpointDir())
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        path = _LOCAL_CHECKPOINT_DIRS.get(sc.applicationId)
     if not path:
-        path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+        path = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+        _LOCAL_CHECKPOINT_DIRS[sc.applicationId] = path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
