@@ -94,6 +94,8 @@ QUERIES: dict[str, Query] = {
     "d13_products_per_year": lambda s, d: retention.products_per_year(Layers(s, d).base),
     # Notebook path
     "d14_monthly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=12, grain="month")),
+    "d14b_monthly_kpi_cube_sql_money": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=12, grain="month",
+                                                                       money_mode="per_activity")),
     "d15_yearly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=6, grain="year")),
     "d16_yearly_retained_by_dim": lambda s, d: cube.yearly_retained_by_dim(Layers(s, d).base, n=6),
     "d17_yearly_retained_by_label": lambda s, d: cube.yearly_retained_by_label(Layers(s, d).base, n=6),
