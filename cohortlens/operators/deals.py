@@ -15,6 +15,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.columns import (NULL_COHORT_YEAR, PRESEASON_LABEL, month_start, or_null_label,
                                  product_category, year_start)
@@ -27,6 +28,7 @@ _DKEY = "_day_key"
 _BKEY = "_id_bucket"
 MONEY = "decimal(26,6)"                  # deal-level money: report sums may exceed 10^12
 ID_BUCKET_WIDTH = 1 << 20                # ids per row-number block within an (account, day)
+ID_PREFIX_LEN = 12                       # text ids: characters that name a block
 
 
 def qualified(opps: DataFrame) -> DataFrame:
@@ -41,22 +43,25 @@ def account_windows(df: DataFrame, account: str, date: str, tie: list[str],
                     firsts: dict[str, str], lasts: dict[str, str],
                     maxes: dict[str, Column], sums: dict[str, str],
                     row_number: str = "account_closedate_row",
-                    bucket_width: int = ID_BUCKET_WIDTH) -> DataFrame:
+                    bucket_width: int = ID_BUCKET_WIDTH, prefix_len: int = ID_PREFIX_LEN) -> DataFrame:
     """Add per-account window values, ordered by ``date`` (NULLs last) then ``tie``.
 
     ``firsts``/``lasts``: output -> input column, the value on the first/last row
     of the account (whole-partition frame). ``maxes``: output -> expression, max
     over the account. ``sums``: output -> column, sum over the account.
 
-    Rows are grouped into blocks (account, day, id bucket); ``tie[0]`` must be an
-    integral id, and ``tie[0] div bucket_width`` is monotone in the sort order,
-    so a block is a contiguous slice of the account's ordered rows. Block
+    Rows are grouped into blocks (account, day, id bucket). The bucket is
+    monotone in the sort order, so a block is a contiguous slice of the
+    account's ordered rows: ``tie[0] div bucket_width`` for an integral id, its
+    first ``prefix_len`` characters for a text id. Block
     summaries are aggregated map-side; the account-wide windows run over the
     block rows; the row number is the rows before the block plus the position
     inside it. No task ever sorts more than one block.
     """
-    keyed = df.withColumns({_DKEY: F.coalesce(F.col(date), F.lit(NULLS_LAST_DAY)),
-                            _BKEY: F.floor(F.col(tie[0]) / F.lit(bucket_width))})
+    is_text = isinstance(df.schema[tie[0]].dataType, StringType)
+    bucket = (F.substring(F.col(tie[0]), 1, prefix_len) if is_text
+              else F.floor(F.col(tie[0]) / F.lit(bucket_width)))
+    keyed = df.withColumns({_DKEY: F.coalesce(F.col(date), F.lit(NULLS_LAST_DAY)), _BKEY: bucket})
     block = [account, _DKEY, _BKEY]
     order = [F.col(_DKEY)] + [F.col(c) for c in tie]
     first_cols = list(firsts.values())
