@@ -14,6 +14,7 @@ so a changed definition never reuses an old layer.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -44,15 +45,33 @@ class LayerStore:
         self.rebuild = rebuild
         self._built: set[str] = set()
 
+    def _path(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        return p.getFileSystem(conf).exists(p)
+        p, fs = self._path(f"{path}/_SUCCESS")
+        return fs.exists(p)
 
     def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Read the layer, building it first when absent (or on rebuild).
+
+        The layer is written to a temporary sibling and renamed into place, so
+        readers never see a partial layer; if another writer finished first,
+        its layer is kept."""
         path = f"{self.root}/{name}"
-        if (self.rebuild and name not in self._built) or not self._exists(path):
-            build().write.mode("overwrite").parquet(path)
+        rebuild = self.rebuild and name not in self._built
+        if rebuild or not self._exists(path):
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+            build().write.mode("overwrite").parquet(tmp)
+            final, fs = self._path(path)
+            staged, _ = self._path(tmp)
+            if rebuild and fs.exists(final):
+                fs.delete(final, True)
+            if self._exists(path):
+                fs.delete(staged, True)
+            else:
+                fs.mkdirs(final.getParent())
+                fs.rename(staged, final)
             self._built.add(name)
         return self.spark.read.parquet(path)
