@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, packing, token_files
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,16 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
