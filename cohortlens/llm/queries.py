@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, near_dedup, packing, token_files, warc
+from . import decontaminate, exact_dedup, extraction, near_dedup, packing, token_files, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,12 @@ FROM f
 """
 
 
+@query
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extraction.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
