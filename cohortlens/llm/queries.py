@@ -10,7 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, extraction, near_dedup, packing, token_files, warc
+from . import (
+    decontaminate,
+    exact_dedup,
+    extraction,
+    language_id,
+    near_dedup,
+    packing,
+    token_files,
+    toxicity,
+    warc,
+)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +68,17 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                             read(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 @query
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))

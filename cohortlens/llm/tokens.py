@@ -16,8 +16,8 @@ import public_tokenizers
 import regex
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Pieces that the cache of one worker keeps at most, and the longest one kept.
-CACHE_PIECES, CACHE_CHARS = 400_000, 40
+#: Pieces that each half of a worker's cache keeps at most, and the longest one kept.
+CACHE_PIECES, CACHE_CHARS = 250_000, 40
 _PARTS = regex.compile(public_tokenizers.PATTERN)
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _ODD_SPACE = re.compile(r"\s[ ]|[ ]\s")
@@ -49,6 +49,7 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: str = VOCABULARY):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         from tokenizers import Tokenizer
 
@@ -64,9 +65,10 @@ class Encoder(dict):
         return array("I", out).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._ids(" " + piece)
+        ids = self.older.get(piece) or self._ids(" " + piece)
         if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
+            if len(self) >= CACHE_PIECES:  # what is used again comes back from the older half
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
