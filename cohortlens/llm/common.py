@@ -13,16 +13,18 @@ from ..session import checkpoint_dir
 
 #: Arrow batches stay small in rows and bytes, so that a worker's memory does
 #: not depend on how long the texts are (one text is the unit that remains).
-BATCH_CONF = {
+JOB_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    # shuffle files go when the job that wrote them has ended
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 #: Bytes of text that the numpy kernels work on at once.
 SLICE_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    for k, v in BATCH_CONF.items():
+    for k, v in JOB_CONF.items():
         spark.conf.set(k, v)
     return spark
 

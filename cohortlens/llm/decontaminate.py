@@ -218,5 +218,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``docs`` without the documents that hold a test string, columns as they
     were. Rows that repeat an id with different texts are judged together."""
     leaks = find_leaks(docs, benchmark, id_col, text_col, **options).where("size(items) > 0")
-    bad = leaks.select(F.col("doc_id").alias("__leak")).distinct()
+    bad = stored(leaks.select(F.col("doc_id").alias("__leak")).distinct(), "leaking")
     return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__leak")), "left_anti")

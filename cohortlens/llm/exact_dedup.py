@@ -83,12 +83,20 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they
-    were. Rows that repeat id and text are one document and leave one row."""
-    kept = copy_groups(docs, id_col, text_col, digest_all=True).where("kept").select(
-        F.coalesce(F.col("doc_id").cast("string"), "text_sha256").alias("__key"),
-        F.col("text_sha256").alias("__kept_text"))
+    were. Of rows that repeat id and text, one stays (any, where their other
+    columns differ).
+
+    What goes is a stored list of ids and digests, so that Spark knows its size:
+    it is broadcast only while small, and else joined by id and digest."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")
+    rows = stored(copy_groups(docs, id_col, text_col, digest_all=True).groupBy(key, F.col("text_sha256").alias("__text"))
+                  .agg(F.max("kept").alias("some"), F.min("kept").alias("all"), F.count(F.lit(1)).alias("n"))
+                  .where("NOT all"), "copies")
     text = F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256)
-    keyed = docs.withColumn("__text", text).withColumn("__key", F.coalesce(F.col(id_col).cast("string"), "__text"))
-    # the join deals the rows out by id, so a hot text is spread; the last step needs no further shuffle
-    return (keyed.join(kept, (keyed["__key"] == kept["__key"]) & (F.col("__text") == F.col("__kept_text")), "left_semi")
-            .dropDuplicates(["__key", "__text"]).drop("__key", "__text"))
+    keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("string"), F.lit(""))).withColumn("__text", text)
+    keys = ["__id", "__text"]
+    left = keyed.join(rows.select(*keys), keys, "left_anti")
+    repeated = rows.where("some").select(*keys)  # a row that stays and others like it
+    if not repeated.isEmpty():
+        left = left.unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
+    return left.drop(*keys)

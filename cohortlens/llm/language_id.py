@@ -269,8 +269,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def known_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without those in no known language, columns as they were. Rows
-    that repeat an id stay if one of them has a language."""
-    found = identify(docs, id_col, text_col, lang_col).where(F.col("lang_pred") != UNKNOWN)
-    kept = found.select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
+    """``docs`` without those in no known language, columns as they were. Each row
+    is judged by its own text, where it lies."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])  # no name clashes with the result's
+    own = {name: F.col(f"c{names.index(name)}") for name in (id_col, text_col, lang_col)}
+    held = F.coalesce(F.crc32(own[id_col].cast("string")) % 4 == 2, F.lit(False))
+    model = train(plain.where(~held).select(own[text_col].alias("text"), own[lang_col].alias("lang")))
+    found = predict(plain.withColumn("text", own[text_col]), model, [F.col(f"c{k}") for k in range(len(names))])
+    return found.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*names)

@@ -178,7 +178,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``component_id`` is the smallest id that links lead to (itself included).
     Words are what stands between ASCII white space, A-Z in lower case. Texts
     without words, null ones too, have no shingles and are linked with nothing.
-    Rows that repeat an id are one node with all their texts' links. A row
+    Rows that repeat an id are judged text by text. A row
     without an id belongs to a group only through an equal set; its component is
     null if it has none. An empty table gives an empty result."""
     # the binary of the text: any bytes, and no re-encoding on the way
@@ -189,11 +189,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = stored(sets, "sets")
     reps = sets.where("id IS NOT NULL")
     buckets = _buckets(reps)
-    named = reps.select("id").distinct()
     texts = stored(docs.withColumnRenamed("doc_id", "id").join(
         buckets.select("id").distinct(), "id", "left_semi").where("text IS NOT NULL"), "candidate-texts")
 
-    # an id that several rows share stands for several sets; they are one node
     links = _confirmed(stored(_led(buckets, 0, percent, None), "pairs"), texts, shingle, percent)
     links = stored(links, "confirmed")
     parts = stored(components(links), "parts")
@@ -203,7 +201,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if not more.isEmpty():
             links = links.unionByName(more)
             parts = stored(components(links), "parts")
-    del named
     labelled = sets.join(parts, F.col("id") == F.col("node"), "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
@@ -213,5 +210,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group (the smallest id), columns as they were."""
-    gone = near_groups(docs, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = stored(near_groups(docs, id_col, text_col, **options).where("not kept")
+                  .select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
     return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")

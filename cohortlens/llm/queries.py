@@ -17,6 +17,7 @@ from . import (
     language_id,
     near_dedup,
     packing,
+    repeats,
     token_files,
     toxicity,
     warc,
@@ -94,6 +95,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
