@@ -102,21 +102,21 @@ class Page:
         """The container with the highest score. A paragraph's characters count
         for its parent, by half for the next one above, and so on."""
         scores: dict[int, tuple[float, Element]] = {}
-        for node in self.elements(self.root):
+        for node in (self.root, *self.elements(self.root)):
             own = sum(len(c.strip()) if isinstance(c, str) else 0 if c.tag in BLOCK or self.dropped(c) else self.sizes.get(id(c), 0)
                       for c in node.children)
-            if not own or node.tag not in BLOCK:
+            if not own or node.tag not in BLOCK and node is not self.root:
                 continue
-            share, above = float(own), ancestors(node)
+            share, above = float(own), iter([*ancestors(node), self.root] if node is not self.root else [node])
             if node.tag in ("p", "li", "blockquote", "pre", "dd", "figcaption") or node.tag in _HEADINGS:
                 next(above)
             for a in above:
-                if a.tag in BLOCK:
+                if a.tag in BLOCK or a is self.root:
                     scores[id(a)] = (scores.get(id(a), (0.0,))[0] + share, a)
                     share /= 2
         best, most = None, 0.0
         for score, node in scores.values():
-            score *= _SEMANTIC.get(node.tag, 0.5 if node.tag in ("html", "body", "li", "ul", "ol") else 1.0)
+            score *= _SEMANTIC.get(node.tag, 0.5 if node.tag in ("#page", "html", "body", "li", "ul", "ol") else 1.0)
             if score > most:
                 best, most = node, score
         return best, most
@@ -185,7 +185,7 @@ def votes(pages: DataFrame) -> DataFrame:
             out = []
             for host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 node, score = Page(source or "").best()
-                if node is not None:
+                if node is not None and node.parent is not None:  # a path needs an element
                     out.append((host, path(node), score))
             columns = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)],

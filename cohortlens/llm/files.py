@@ -24,12 +24,12 @@ def create(path: str):
     """An output stream; missing folders are made."""
     where, inner = filesystem(path)
     where.create_dir(inner.rpartition("/")[0], recursive=True)
-    return where.open_output_stream(inner)
+    return where.open_output_stream(inner, compression=None)  # the bytes as they are, whatever the name ends in
 
 
 def open_stream(path: str):
     where, inner = filesystem(path)
-    return where.open_input_stream(inner)
+    return where.open_input_stream(inner, compression=None)
 
 
 def open_file(path: str):
