@@ -11,13 +11,16 @@ probability (1 - (1 - s ** rows) ** bands) ** 2: 0.9994 at 0.8 and 0.999999 at
 Groups are never expanded into pairs:
 
 1. Documents with equal sets become one representative.
-2. In every bucket of a table, one member (the leader) is compared with the
-   others; the links found are closed to components.
-3. This is done again with other leaders for buckets whose members are still
-   in several components, and only across components.
-4. At last every pair of one bucket whose components still differ is compared.
-   Two documents that share a bucket are therefore in one component, or were
-   compared."""
+2. In every bucket of a table, one member (the leader: the one with most
+   neighbours in all tables) is compared with the others on the full texts; the
+   links found are closed to components.
+3. Buckets whose members are still in several components get their members'
+   sets and are compared in blocks of at most ``BLOCK`` by ``BLOCK``, within
+   tasks and only across components; what leaves a task are pairs that are
+   similar enough, which are confirmed on the full texts.
+
+Two documents that share a bucket are therefore in one component, or were
+compared."""
 
 from __future__ import annotations
 
@@ -31,8 +34,8 @@ from .components import components
 from .words import SPACED, Words, mix, run_hashes
 
 #: Words of a shingle, hashes of a collection, minhashes of a hash, similarity
-#: in hundredths, and rounds of leaders before pairs across components.
-SHINGLE, BANDS, ROWS, PERCENT, LEADER_ROUNDS = 2, 8, 2, 80, 2
+#: in hundredths, and members that a task compares with as many others at once.
+SHINGLE, BANDS, ROWS, PERCENT, BLOCK = 2, 8, 2, 80, 1024
 #: Bits of a shingle's hash: what 64 bits leave beside the row within a slice.
 SLICE_ROWS_BITS = 12
 
@@ -98,46 +101,126 @@ def _signed(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
-    """``key, id, size`` for every table of every representative, crowded buckets only."""
+    """``key, id, size, n`` for every table of every representative, where ``n``
+    (the bucket's members) is over 1."""
     keys = F.flatten(F.transform("left", lambda x, i: F.transform(F.col("right"), lambda y, j: F.xxhash64(i, j, x, y))))
     rows = reps.select(F.explode(keys).alias("key"), "id", F.col("n_shingles").alias("size"))
-    crowded = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return stored(rows.join(crowded, "key", "left_semi"), "buckets")
+    crowded = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return stored(rows.join(crowded, "key"), "buckets")
 
 
 def _sizes_allow(x: Column, y: Column, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
-def _led(buckets: DataFrame, order: int, percent: int, parts: DataFrame | None) -> DataFrame:
-    """Pairs (leader, member) of the buckets; with ``parts``, only across components."""
-    rows = buckets
-    if parts is not None:
-        rows = _divided(buckets, parts)
-    rank = F.xxhash64(F.lit(order), "id")
-    best = F.struct(rank.alias("r"), "id", "size", *(["part"] if parts is not None else []))
-    leaders = rows.groupBy("key").agg(F.min(best).alias("lead"))
+def _led(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (leader, member) of the buckets."""
+    central = buckets.groupBy("id").agg(F.sum("n").alias("neighbours"))
+    rows = stored(buckets.select("key", "id", "size").join(central, "id"), "ranked")
+    leaders = rows.groupBy("key").agg(F.max(F.struct("neighbours", "id", "size")).alias("lead"))
     pairs = rows.join(leaders, "key").where((F.col("id") != F.col("lead.id")) & _sizes_allow(F.col("size"), F.col("lead.size"), percent))
-    if parts is not None:
-        pairs = pairs.where("part <> lead.part")
     return pairs.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def _divided(buckets: DataFrame, parts: DataFrame) -> DataFrame:
     """Rows of the buckets whose members are in several components."""
-    rows = buckets.join(parts, F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("component", "id").alias("part"))
+    rows = buckets.join(parts, F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("component", "id").alias("part"), "n")
     rows = stored(rows, "bucket-parts")
     split = rows.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
     return stored(rows.join(split, "key", "left_semi"), "divided")
 
 
-def _across(buckets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one bucket in different components."""
-    x = _divided(buckets, parts)
-    y = x.select("key", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("part").alias("part2"))
-    joined = x.join(y, (x["key"] == y["key"]) & (F.col("id") < F.col("id2")) & (F.col("part") != F.col("part2"))
-                    & _sizes_allow(F.col("size"), F.col("size2"), percent))
-    return joined.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
+def compare_block(ids: list[int], parts: list[int], chunks: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs of a block that are similar enough and join two components.
+
+    Members of the commonest component come last, so that only the others are
+    held against all that follow. With two chunks, one is held against the
+    other. A pair that earlier pairs have joined isn't compared."""
+    common = max(set(parts), key=parts.count)
+    order = sorted(range(len(ids)), key=lambda k: parts[k] == common)
+    root = {p: p for p in parts}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    sizes = np.array([len(sets[k]) for k in order])
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    names, flat = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+    chunk = np.array([chunks[k] for k in order])
+    two = chunk.min() != chunk.max()
+    marked = np.zeros(len(names), np.int32)
+    found = []
+    for i, k in enumerate(order[:-1]):
+        if parts[k] == common:
+            break
+        mine = flat[begins[i]:ends[i]]
+        marked[mine] = 1
+        shared = np.add.reduceat(marked[flat[begins[i + 1]:]], begins[i + 1:] - begins[i + 1])
+        marked[mine] = 0
+        near = 100 * shared >= percent * (sizes[i] + sizes[i + 1:] - shared)
+        if two:
+            near &= chunk[i + 1:] != chunk[i]
+        for j in np.flatnonzero(near).tolist():
+            other = order[i + 1 + j]
+            a, b = find(parts[k]), find(parts[other])
+            if a != b:
+                root[a] = b
+                found.append((ids[k], ids[other]))
+    return found
+
+
+def _across(buckets: DataFrame, parts: DataFrame, texts: DataFrame, shingle: int, percent: int, block: int) -> DataFrame:
+    """Similar pairs of one bucket in different components, by blocks."""
+    rows = _divided(buckets, parts)
+    chunks = F.ceil(F.col("n") / block)
+    rows = (rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), chunks))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+            .select("key", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "chunk", "id", "part"))
+    members = texts.join(rows.select("id").distinct(), "id", "left_semi")
+
+    def as_set(batches):
+        for b in batches:
+            sets = []
+            buf, offsets = utf8(b.column("text"))
+            for k in range(b.num_rows):
+                words = Words(buf[offsets[k]:offsets[k + 1]], offsets[k:k + 2] - offsets[k], SPACED)
+                sets.append(np.unique((_sets(words, shingle)[1] >> np.uint64(20)).astype(np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], ["id", "members"])
+
+    def compare(batches):
+        held = None
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            held = table if held is None else pa.concat_tables([held, table])
+            if held.num_rows < 3 * block:
+                continue
+            out, held = _compare_groups(held, percent, False)
+            yield out
+        if held is not None:
+            yield _compare_groups(held, percent, True)[0]
+
+    sets = members.select("id", "text").mapInArrow(as_set, "id long, members binary").dropDuplicates(["id"])
+    return (rows.join(sets, "id").select("key", "x", "y", "chunk", "id", "part", "members").repartition("key", "x", "y")
+            .sortWithinPartitions("key", "x", "y").mapInArrow(compare, "a long, b long"))
+
+
+def _compare_groups(table: pa.Table, percent: int, ended: bool) -> tuple[pa.RecordBatch, pa.Table]:
+    """Links of the whole blocks of a table ordered by block, and the rows of
+    the last one, which may go on, unless the input has ended."""
+    key, x, y = (table.column(k).to_numpy() for k in ("key", "x", "y"))
+    cuts = np.flatnonzero((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
+    cuts = [0, *cuts.tolist(), *([table.num_rows] if ended else [])]
+    ids, parts, chunks = (table.column(k).to_pylist() for k in ("id", "part", "chunk"))
+    members = [np.frombuffer(m, np.uint32) for m in table.column("members").to_pylist()]
+    found = []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if min(parts[a:b]) != max(parts[a:b]):
+            found += compare_block(ids[a:b], parts[a:b], chunks[a:b], members[a:b], percent)
+    out = pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+    return out, table.slice(cuts[-1])
 
 
 def shingles(text: bytes, n: int) -> set:
@@ -172,7 +255,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
-                leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
+                block: int = BLOCK) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     ``component_id`` is the smallest id that links lead to (itself included).
@@ -192,15 +275,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = stored(docs.withColumnRenamed("doc_id", "id").join(
         buckets.select("id").distinct(), "id", "left_semi").where("text IS NOT NULL"), "candidate-texts")
 
-    links = _confirmed(stored(_led(buckets, 0, percent, None), "pairs"), texts, shingle, percent)
-    links = stored(links, "confirmed")
+    links = stored(_confirmed(stored(_led(buckets, percent), "pairs"), texts, shingle, percent), "confirmed")
     parts = stored(components(links), "parts")
-    for order in range(1, leader_rounds + 1):
-        pairs = _led(buckets, order, percent, parts) if order < leader_rounds else _across(buckets, parts, percent)
-        more = stored(_confirmed(stored(pairs, "pairs"), texts, shingle, percent), "confirmed")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            parts = stored(components(links), "parts")
+    pairs = stored(_across(buckets, parts, texts, shingle, percent, block).distinct(), "pairs")
+    more = stored(_confirmed(pairs, texts, shingle, percent), "confirmed")
+    if not more.isEmpty():
+        parts = stored(components(links.unionByName(more)), "parts")
     labelled = sets.join(parts, F.col("id") == F.col("node"), "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
