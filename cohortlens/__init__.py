@@ -5,4 +5,4 @@ Every product is a function ``DataFrame(s) + parameters -> DataFrame``; nothing
 is collected to the driver and no Python UDF runs in a hot path.
 """
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"

@@ -1,77 +1,73 @@
-"""Materialised layers (fee ledger -> deal fact), rebuilt on demand.
+"""Stored layers (fee ledger, deal fact, ...), rebuilt when asked for.
 
-The reference persists each layer as a table (create-or-replace-as-select)
-and reads it back for the KPI queries, with a switch to rebuild. Here a layer
-is written as Parquet below the shared folder named by ``spark.checkpoint.dir``
-and read back: later products scan the stored layer (with column pruning and
-predicate pushdown) instead of recomputing the joins, and the write cuts the
-lineage, so a lost executor never forces the whole chain to be recomputed.
+The reference persists each layer as a table and reads it back for the KPI
+queries, with a switch to rebuild. Here a layer is written as Parquet below the
+shared folder named by ``spark.checkpoint.dir``: later products scan it with
+column pruning and pushdown, and the write cuts the lineage.
 
-A layer is keyed by the input folder and by a digest of this package's code,
-so a changed definition never reuses an old layer.
-"""
+A layer belongs to a *state* of its inputs: its key holds the input folder, the
+names, sizes and modification times of the input files, and the version of this
+package. When a file changes, the key changes, and the old layer is never read
+for it.
+
+Every build writes a folder of its own. Only when that write has been committed
+does the layer's register (a small Parquet table that is appended to) name it;
+readers take the last entry. A build that fails leaves the register, and so the
+layer before it, as they were."""
 
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections.abc import Callable
-from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import __version__
 from ..session import checkpoint_dir
 
-
-def _code_digest() -> str:
-    root = Path(__file__).resolve().parents[1]
-    h = hashlib.sha1()
-    for p in sorted(root.rglob("*.py")):
-        h.update(p.read_bytes())
-    return h.hexdigest()[:12]
+REBUILD_CONF = "spark.cohortlens.rebuild"
+_REGISTER = "version string, built_at long"
 
 
-CODE_DIGEST = _code_digest()
+def inputs_state(spark: SparkSession, root: str, tables: tuple[str, ...]) -> str:
+    """Digest of the input files' names, sizes and modification times. The file
+    listing is Spark's, so it works on any store; no content is read."""
+    paths = [f"{root.rstrip('/')}/{t}.parquet" for t in tables]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", F.col("modificationTime").cast("double").alias("at"))
+    one = files.agg(F.count(F.lit(1)), F.sum("length"), F.sum(F.xxhash64("path", "length", "at").cast("decimal(38,0)"))).first()
+    return hashlib.sha256(repr((paths, *map(str, one))).encode()).hexdigest()[:24]
 
 
 class LayerStore:
-    """Write-once, read-many layers for one input folder."""
+    """Layers of one state of one input folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, rebuild: bool = False):
+    def __init__(self, spark: SparkSession, root: str, tables: tuple[str, ...], rebuild: bool | None = None):
         self.spark = spark
-        src = sf_dir if "://" in sf_dir else str(Path(sf_dir).resolve())
-        key = hashlib.sha1(f"{src}|{CODE_DIGEST}".encode()).hexdigest()[:16]
+        key = hashlib.sha256(f"{inputs_state(spark, root, tables)}|{__version__}".encode()).hexdigest()[:24]
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens-layers/{key}"
-        self.rebuild = rebuild
-        self._built: set[str] = set()
+        self.rebuild = spark.conf.get(REBUILD_CONF, "false") == "true" if rebuild is None else rebuild
+        self._known: dict[str, DataFrame] = {}
 
-    def _path(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        p, fs = self._path(f"{path}/_SUCCESS")
-        return fs.exists(p)
+    def _registered(self, name: str) -> str | None:
+        try:
+            rows = self.spark.read.schema(_REGISTER).parquet(f"{self.root}/{name}/register")
+            last = rows.orderBy(F.col("built_at").desc(), "version").first()
+        except AnalysisException:  # no build has been registered yet
+            return None
+        return last["version"] if last else None
 
     def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Read the layer, building it first when absent (or on rebuild).
-
-        The layer is written to a temporary sibling and renamed into place, so
-        readers never see a partial layer; if another writer finished first,
-        its layer is kept."""
-        path = f"{self.root}/{name}"
-        rebuild = self.rebuild and name not in self._built
-        if rebuild or not self._exists(path):
-            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-            build().write.mode("overwrite").parquet(tmp)
-            final, fs = self._path(path)
-            staged, _ = self._path(tmp)
-            if rebuild and fs.exists(final):
-                fs.delete(final, True)
-            if self._exists(path):
-                fs.delete(staged, True)
-            else:
-                fs.mkdirs(final.getParent())
-                fs.rename(staged, final)
-            self._built.add(name)
-        return self.spark.read.parquet(path)
+        """Read the layer; build it first if there is none, or, once per store, on rebuild."""
+        if name not in self._known:
+            version = None if self.rebuild else self._registered(name)
+            if version is None:
+                version = uuid.uuid4().hex
+                build().write.parquet(f"{self.root}/{name}/{version}")
+                (self.spark.createDataFrame([(version, time.time_ns())], _REGISTER).coalesce(1)
+                 .write.mode("append").parquet(f"{self.root}/{name}/register"))
+            self._known[name] = self.spark.read.parquet(f"{self.root}/{name}/{version}")
+        return self._known[name]

@@ -26,7 +26,7 @@ BASE_CONF = {
 
 def build_session(cpus: int | None = None, app: str = "cohortlens",
                   shuffle_partitions: int | None = None,
-                  driver_memory: str = "16g") -> SparkSession:
+                  driver_memory: str = "6g") -> SparkSession:
     """Local session for tests and the benchmark; on a cluster, use the
     session the platform provides and call :func:`configure` on it."""
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
@@ -56,15 +56,17 @@ _LOCAL_CHECKPOINT_DIRS: dict[str, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a folder every executor can reach); only when it is
-    unset, as in local tests, do we create one of our own (once per application).
-    """
+    A cluster names it (a folder every executor can reach). Where it is unset, a
+    local session gets a folder of its own, once per application; any other
+    master is refused, as its executors couldn't see a folder of the driver."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = _LOCAL_CHECKPOINT_DIRS.get(sc.applicationId)
+        path = _LOCAL_CHECKPOINT_DIRS.get(sc.applicationId) or sc.getCheckpointDir()
     if not path:
-        path = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         _LOCAL_CHECKPOINT_DIRS[sc.applicationId] = path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

@@ -18,6 +18,7 @@ def spark():
 
     builder = (SparkSession.builder.master("local[4]").appName("cohortlens-tests")
                .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="cohortlens-test-warehouse-"))
                .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cohortlens-test-ckpt-")))
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
