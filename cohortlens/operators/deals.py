@@ -2,11 +2,10 @@
 
 Account-level window values (row number, first/last value, lifetime sums) are
 computed without a window over a whole account: an account may hold a third
-of all deals. Rows are first reduced to one row per block (account, day,
-opportunity-id range) with map-side partial aggregation; the account-wide
-windows then run over those block rows and are joined back on the block key.
-Only the row number needs a window over raw rows, and that window is
-partitioned by block, so its size is bounded by the id-range width.
+of all deals. The joined rows are ranged by (account, date, tie) and stored
+once with the number of their range, so a hot account spans many ranges. First,
+last, maximum and sum are aggregates per account with map-side combine; the row
+number is the account's rows in earlier ranges plus the rank within its range.
 """
 
 from __future__ import annotations
@@ -15,20 +14,17 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..functions.columns import (NULL_COHORT_YEAR, PRESEASON_LABEL, month_start, or_null_label,
                                  product_category, year_start)
 from ..sources import adapters as A
+from ..sources.scratch import stored
 from ..sources.tables import Tables
 from .ledger import fee_ledger
 
 NULLS_LAST_DAY = dt.date(9999, 12, 31)   # sort key that puts NULL dates last
-_DKEY = "_day_key"
-_BKEY = "_id_bucket"
+_DKEY, _PART = "_day_key", "_range"
 MONEY = "decimal(26,6)"                  # deal-level money: report sums may exceed 10^12
-ID_BUCKET_WIDTH = 1 << 20                # ids per row-number block within an (account, day)
-ID_PREFIX_LEN = 12                       # text ids: characters that name a block
 
 
 def qualified(opps: DataFrame) -> DataFrame:
@@ -42,51 +38,48 @@ def qualified(opps: DataFrame) -> DataFrame:
 def account_windows(df: DataFrame, account: str, date: str, tie: list[str],
                     firsts: dict[str, str], lasts: dict[str, str],
                     maxes: dict[str, Column], sums: dict[str, str],
-                    row_number: str = "account_closedate_row",
-                    bucket_width: int = ID_BUCKET_WIDTH, prefix_len: int = ID_PREFIX_LEN) -> DataFrame:
-    """Add per-account window values, ordered by ``date`` (NULLs last) then ``tie``.
+                    row_number: str = "account_closedate_row") -> DataFrame:
+    """Add per-account window values, ordered by ``date`` (NULLs last) then ``tie``
+    (NULLs first).
 
     ``firsts``/``lasts``: output -> input column, the value on the first/last row
     of the account (whole-partition frame). ``maxes``: output -> expression, max
     over the account. ``sums``: output -> column, sum over the account.
 
-    Rows are grouped into blocks (account, day, id bucket). The bucket is
-    monotone in the sort order, so a block is a contiguous slice of the
-    account's ordered rows: ``tie[0] div bucket_width`` for an integral id, its
-    first ``prefix_len`` characters for a text id. Block
-    summaries are aggregated map-side; the account-wide windows run over the
-    block rows; the row number is the rows before the block plus the position
-    inside it. No task ever sorts more than one block.
+    ``df`` is computed once, ranged by the sort order and stored. No step holds
+    more than one range of an account's rows; rows that agree in the whole order
+    are numbered in any order. A NULL account is an account.
     """
-    is_text = isinstance(df.schema[tie[0]].dataType, StringType)
-    bucket = (F.substring(F.col(tie[0]), 1, prefix_len) if is_text
-              else F.floor(F.col(tie[0]) / F.lit(bucket_width)))
-    keyed = df.withColumns({_DKEY: F.coalesce(F.col(date), F.lit(NULLS_LAST_DAY)), _BKEY: bucket})
-    block = [account, _DKEY, _BKEY]
-    order = [F.col(_DKEY)] + [F.col(c) for c in tie]
-    first_cols = list(firsts.values())
-    last_cols = list(lasts.values())
-    blocks = keyed.groupBy(*block).agg(
+    order = [F.col(_DKEY), *[F.col(c).asc_nulls_first() for c in tie]]
+    keyed = stored(df, "account-rows").withColumn(_DKEY, F.coalesce(F.col(date), F.lit(NULLS_LAST_DAY)))
+    # the hash lets rows that agree in the whole order fall into different ranges
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    ranged = keyed.repartitionByRange(F.col(account), *order, spread).withColumn(_PART, F.spark_partition_id())
+    rows = stored(ranged, "account-ranges")
+    key = F.struct(_DKEY, *tie)
+    per_range = rows.groupBy(account, _PART).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min(F.struct(*order, *[F.col(c).alias(f"f{i}") for i, c in enumerate(first_cols)])).alias("_first"),
-        F.max(F.struct(*order, *[F.col(c).alias(f"l{i}") for i, c in enumerate(last_cols)])).alias("_last"),
+        F.min(F.struct(key.alias("o"), *[F.col(c).alias(f"f{i}") for i, c in enumerate(firsts.values())])).alias("_first"),
+        F.max(F.struct(key.alias("o"), *[F.col(c).alias(f"l{i}") for i, c in enumerate(lasts.values())])).alias("_last"),
         *[F.max(e).alias(f"_max_{k}") for k, e in maxes.items()],
         *[F.sum(c).alias(f"_sum_{k}") for k, c in sums.items()],
     )
-    w_all = Window.partitionBy(account)
-    w_before = Window.partitionBy(account).orderBy(_DKEY, _BKEY).rowsBetween(Window.unboundedPreceding, -1)
-    acct = blocks.select(
-        *block,
-        F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_offset"),
-        *[F.min("_first").over(w_all)[f"f{i}"].alias(k) for i, k in enumerate(firsts)],
-        *[F.max("_last").over(w_all)[f"l{i}"].alias(k) for i, k in enumerate(lasts)],
-        *[F.max(f"_max_{k}").over(w_all).alias(k) for k in maxes],
-        *[F.sum(f"_sum_{k}").over(w_all).alias(k) for k in sums],
+    # one row per account and range it touches: at most as many as there are ranges
+    whole = Window.partitionBy(account)
+    before = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = per_range.select(
+        F.col(account).alias("_account"), F.col(_PART).alias("_of"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        *[F.min("_first").over(whole)[f"f{i}"].alias(k) for i, k in enumerate(firsts)],
+        *[F.max("_last").over(whole)[f"l{i}"].alias(k) for i, k in enumerate(lasts)],
+        *[F.max(f"_max_{k}").over(whole).alias(k) for k in maxes],
+        *[F.sum(f"_sum_{k}").over(whole).alias(k) for k in sums],
     )
-    w_block = Window.partitionBy(*block).orderBy(*[F.col(c).asc_nulls_first() for c in tie])
-    out = keyed.join(acct, block)
-    out = out.withColumn(row_number, F.col("_offset") + F.row_number().over(w_block))
-    return out.drop(_DKEY, _BKEY, "_offset")
+    rank = F.row_number().over(Window.partitionBy(_PART, account).orderBy(*order))
+    out = (rows.withColumn("_rank", rank)
+           .join(ranges, (F.col(_PART) == F.col("_of")) & F.col(account).eqNullSafe(F.col("_account"))))
+    return (out.withColumn(row_number, F.col("_offset") + F.col("_rank"))
+            .drop(_DKEY, _PART, "_account", "_of", "_offset", "_rank"))
 
 
 def _ledger_for_deals(ledger: DataFrame) -> DataFrame:
@@ -165,15 +158,16 @@ def deal_fact(t: Tables, ledger: DataFrame | None = None, *, loan_tape: bool = F
         lasts={"_last_label": "product_label"},
         maxes=maxes, sums={"account_gmv": "gmv", "account_revenue": "revenue"})
     out = j.select(
-        F.col("opp_name").alias("name"), "activity_date", "funding_date__c", "closed_won_date__c",
-        "gmv", "total_gmv", "f_revenue", "ps_revenue",
-        *(["all_in_revenue", "expectedrevenue"] if loan_tape else []),
+        F.col("opp_name").alias("name"), "account_class__c", "class__c", "activity_date", "funding_date__c",
+        "closed_won_date__c", "contract_type__c", "contract_ship_date__c", "gmv", "total_gmv", "f_revenue", "ps_revenue",
+        *(["all_in_revenue", "expectedrevenue", "est_monthly_ps_revenue__c", "weighted_ps_revenue__c"] if loan_tape else []),
         "revenue", "isclosed",
         month_start("activity_date").alias("closed_month"),
         year_start("activity_date").alias("closed_year"),
-        "iswon", "opportunity_number__c", "oms_transaction_id__c", "product_type__c",
-        "record_type_name__c", "product_label", "stagename", "slug__c", "account_number__c",
-        "accountid", F.col("account_key").alias("id"), "account_name", "company_size__c",
+        "iswon", "opportunity_number__c", "oms_transaction_id__c", "product_type__c", "recordtypeid",
+        "record_type_name__c", "product_label", "stagename", "slug__c", "account_type__c", "account_number__c",
+        "active_products__c", "accountid", "full_account_id__c", F.col("account_key").alias("id"), "account_name",
+        "new_class__c", "parentid", "company_size__c",
         "classification__c", *(["annualrevenue"] if loan_tape else []), "opportunity_id",
         "account_closedate_row", "first_closedate",
         F.coalesce(F.year("first_closedate"), F.lit(NULL_COHORT_YEAR)).alias("cohort_year"),
@@ -212,10 +206,12 @@ def deal_fact_v1(t: Tables, ledger: DataFrame | None = None) -> DataFrame:
                 "_first_class": "classification__c", "_first_country": "billingcountry"},
         lasts={}, maxes={}, sums={})
     return j.select(
-        F.col("opp_name").alias("name"), "closedate", "closed_won_date__c", "forecasted_gmv__c", "isclosed",
+        F.col("opp_name").alias("name"), "account_class__c", "class__c", "closedate", "closed_won_date__c",
+        "contract_type__c", "contract_ship_date__c", "forecasted_gmv__c", "isclosed",
         month_start("closedate").alias("closed_month"), "iswon", "oms_transaction_id__c",
-        "product_type__c", "record_type_name__c", "product_label", "stagename", "slug__c", "revenue",
-        "account_number__c", "accountid", F.col("a_id").alias("id"), "account_name", "company_size__c",
+        "product_type__c", "recordtypeid", "record_type_name__c", "product_label", "stagename", "slug__c", "revenue",
+        "account_type__c", "account_number__c", "active_products__c", "accountid", "full_account_id__c",
+        F.col("a_id").alias("id"), "account_name", "new_class__c", "parentid", "company_size__c",
         "classification__c", "opportunity_id", "account_closedate_row", "first_closedate",
         F.coalesce(F.year("first_closedate"), F.lit(NULL_COHORT_YEAR)).alias("cohort_year"),
         or_null_label("_first_label").alias("first_product"),

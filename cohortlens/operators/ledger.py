@@ -24,7 +24,8 @@ EXCLUDED_FEE_DESCRIPTIONS = ("balance correction", "Ledger Adjustment", "Preseas
 FEEABLE_TYPES = ("Shipment", "FactoringRequest")
 BANK_COMPANY_NAME = "ProducePay"
 
-MONEY = "decimal(18,6)"   # compact (long-backed) decimal: per-row amounts below 10^12
+MONEY = "decimal(38,6)"   # amounts and their sums
+RATE = "decimal(18,6)"    # percentages and rates
 S, D, I, B = "string", "date", "int", "boolean"
 
 # Canonical ledger layout (P1): name and type, in output order.
@@ -34,18 +35,18 @@ LEDGER_SCHEMA: list[tuple[str, str]] = [
     ("date_shipment_closed", D), ("date_shipment_accepted", D), ("date_shipment_shipped", D),
     ("total_gmv", MONEY), ("estimated_gmv", MONEY), ("seller_addr_state", S),
     ("dist_addr_state", S), ("shipment_id", S), ("self_note_body", S), ("buyer_deduction", MONEY),
-    ("wire_receiver", S), ("payable_days1", I), ("advanced_percentage", MONEY),
+    ("wire_receiver", S), ("payable_days1", I), ("advanced_percentage", RATE),
     ("total_advance_amount", MONEY), ("date_shipment_advanced", D), ("seller_admin_fee_notes", S),
     ("buyer_admin_fee_notes", S), ("admin_fee_notes", S), ("admin_fee", MONEY),
     ("admin_fee_t", MONEY), ("application_fee", MONEY), ("financing_fee", MONEY),
     ("other_fee", MONEY), ("marketplace_fee", MONEY), ("service_fee", MONEY), ("scs_fees", MONEY),
     ("quickpay_rebate_reduction_amount", MONEY), ("total_admin_fees_with_additional", MONEY),
     ("seller_all_fees", MONEY), ("buyer_all_fees", MONEY), ("all_fees", MONEY),
-    ("seller_base_fee_percentage", MONEY), ("buyer_base_fee_percentage", MONEY),
-    ("base_fee_percentage", MONEY), ("other_fee_percentage", MONEY), ("total_base_fees", MONEY),
-    ("rebate_reduction_rate", MONEY), ("buyer_commission", MONEY),
-    ("seller_marketplace_fee", MONEY), ("seller_marketplace_fee_percentage", MONEY),
-    ("buyer_marketplace_fee", MONEY), ("buyer_marketplace_fee_percentage", MONEY),
+    ("seller_base_fee_percentage", RATE), ("buyer_base_fee_percentage", RATE),
+    ("base_fee_percentage", RATE), ("other_fee_percentage", RATE), ("total_base_fees", MONEY),
+    ("rebate_reduction_rate", RATE), ("buyer_commission", MONEY),
+    ("seller_marketplace_fee", MONEY), ("seller_marketplace_fee_percentage", RATE),
+    ("buyer_marketplace_fee", MONEY), ("buyer_marketplace_fee_percentage", RATE),
     ("produce_pay_fee", MONEY), ("collection_due_on", D), ("bank_company_name", S),
     ("company_country", S), ("buyer_company_country", S), ("fulfillment_status_code", S),
     ("funding_status_code", S), ("advance_status_code", S), ("max_date_invoice", D),
@@ -99,7 +100,8 @@ def notes_rollup(notes: DataFrame, items: DataFrame) -> DataFrame:
     Notes without an owner id (neither kind) form no group: no ledger row can
     join them, and grouping them would put every such note into one string.
     """
-    n, si = notes.alias("n"), items.alias("si")
+    # an item belongs to one shipment; a repeated item row doesn't repeat its notes
+    n, si = notes.alias("n"), items.select("id", "shipment_id").distinct().alias("si")
     owner = (F.when(F.col("n.noteable_type").like("Fact%"), F.col("n.noteable_id"))
              .when(F.col("n.noteable_type").like("Ship%"), F.col("si.shipment_id")))
     joined = n.join(si, F.col("n.noteable_id") == F.col("si.id"), "left").select(
@@ -139,7 +141,7 @@ def sale_opportunities(opps: DataFrame) -> DataFrame:
 # -------------------------------------------------------------------------- arms
 
 def _shipment_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFrame) -> DataFrame:
-    s = A.shipments(t).alias("s")
+    s = A.shipments(t).where(F.col("marketplace_order_id").isNull()).alias("s")
     r = A.relationships(t).alias("r")
     comsh, comdist = A.companies(t).alias("comsh"), A.companies(t).alias("comdist")
     fees = fees_p.where(F.col("feeable_type") == "Shipment").alias("fees")
@@ -225,7 +227,10 @@ def _legacy_constants() -> dict[str, Column]:
 
 
 def _factoring_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFrame) -> DataFrame:
-    fr = A.factoring_requests(t).alias("fr")
+    # Requests of shipments that aren't migrated, before anything is joined to them
+    live = A.marketplace_orders(t).where(F.col("marketplace_order_id").isNull()).select(F.col("id").alias("_live"))
+    fr = A.factoring_requests(t)
+    fr = fr.join(live, fr.shipment_id == live._live, "left_semi").alias("fr")
     fi = A.factoring_invoices(t).alias("fi")
     com = A.companies(t).alias("com")
     fees = fees_p.where(F.col("feeable_type") == "FactoringRequest").alias("fees")
@@ -296,14 +301,10 @@ def fee_ledger(t: Tables, with_second_platform: bool = True,
     ``numeric_buyer_deduction``: the later script's ``BUYER_DEDUCTION::NUMBER``
     (P17/X18), rounding the legacy rows' deduction to a whole number.
     """
-    fees_p = fee_pivot(A.fees(t))
-    notes_r = notes_rollup(A.notes(t), A.shipment_items(t))
+    fees_p = t.shared("fee-pivot", lambda: fee_pivot(A.fees(t)))
+    notes_r = t.shared("notes", lambda: notes_rollup(A.notes(t), A.shipment_items(t)))
     sop = sale_opportunities(A.opportunities(t))
     legacy = _shipment_arm(t, fees_p, notes_r, sop).union(_factoring_arm(t, fees_p, notes_r, sop))
-    # The migrated side's numeric id is compared as text
-    migrated = (A.marketplace_orders(t).where(F.col("marketplace_order_id").isNull())
-                .select(F.col("id").cast("string").alias("_migrated_id")))
-    legacy = legacy.join(migrated, legacy.shipment_id == migrated._migrated_id).select(*LEDGER_COLUMNS)
     if numeric_buyer_deduction:
         legacy = legacy.withColumn(
             "buyer_deduction", F.col("buyer_deduction").cast("decimal(38,0)").cast(MONEY))

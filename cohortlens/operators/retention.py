@@ -20,40 +20,55 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_lit, month_start, one_month, year_start
 from ..sources import adapters as A
+from ..sources.scratch import stored
 from ..sources.tables import Tables
 from .deals import qualified
 
 REPORT_DIMS = ("account_class", "first_product_category", "cohort_ym", "country")
 SCAFFOLD_DIMS = ("first_product_category", "account_class", "cohort_year", "cohort_ym", "country")
-MAX_BROADCAST_MONTHS = 120_000   # calendar months a broadcast month table may hold
 
 
-def _months_in(start: dt.date, as_of: dt.date) -> int:
-    return max(0, (as_of.year - start.year) * 12 + as_of.month - start.month + 1)
+def _month(d: dt.date) -> dt.date:
+    return d.replace(day=1)
 
 
-def calendar_months(weeks: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
-    """Distinct (month, year) of the calendar weeks between ``start`` and ``as_of``."""
-    w = weeks.where(F.col("week_of").between(date_lit(start), date_lit(as_of)))
-    months = w.select(month_start("week_of").alias("month_idx"),
-                      year_start("week_of").alias("year_idx")).distinct()
-    # the size is bounded by the calendar span, known before the job runs
-    return F.broadcast(months) if _months_in(start, as_of) <= MAX_BROADCAST_MONTHS else months
+def calendar_span(rows: DataFrame, start: dt.date | None, as_of: dt.date | None,
+                  month: str = "closed_month") -> tuple[dt.date, dt.date] | None:
+    """First month and last day that a report covers: what the caller names, else
+    the first and the last observed month; None without any dated row."""
+    if start is None or as_of is None:
+        seen = rows.agg(F.min(month), F.max(month)).first()  # one row
+        if seen[0] is None:
+            return None
+        start, as_of = start or seen[0], as_of or (seen[1] + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+    return start, as_of
 
 
-def dim_scaffold(base: DataFrame, weeks: DataFrame, start: dt.date = A.SCAFFOLD_START,
-                 as_of: dt.date = A.AS_OF, dims: tuple[str, ...] = SCAFFOLD_DIMS) -> DataFrame:
-    """D5 (J9): every observed dimension combination for every calendar month.
+def calendar_months(spark: SparkSession, span: tuple[dt.date, dt.date] | None) -> DataFrame:
+    """Distinct (month, year) of the span's calendar weeks; a handful of rows per
+    year, so it is broadcast."""
+    if span is None:
+        return spark.createDataFrame([], "month_idx date, year_idx date")
+    start, as_of = span
+    w = A.weeks(spark, start, as_of).where(F.col("week_of").between(date_lit(start), date_lit(as_of)))
+    return F.broadcast(w.select(month_start("week_of").alias("month_idx"), year_start("week_of").alias("year_idx")).distinct())
+
+
+def dim_scaffold(base: DataFrame, start: dt.date | None = None, as_of: dt.date | None = None,
+                 dims: tuple[str, ...] = SCAFFOLD_DIMS) -> DataFrame:
+    """D5 (J9): every observed dimension combination for every calendar month
+    from the first to the last observed one (or between the dates given).
 
     The reference's FULL JOIN with no condition is a cross product; for an
     empty base it would add one all-NULL row per month, here it yields none.
     """
-    return base.select(*dims).distinct().crossJoin(calendar_months(weeks, start, as_of))
+    months = calendar_months(base.sparkSession, calendar_span(base, start, as_of))
+    return base.select(*dims).distinct().crossJoin(months)
 
 
 def account_months(base: DataFrame, n: int = 12, dims: tuple[str, ...] = REPORT_DIMS,
@@ -95,18 +110,20 @@ def new_accounts(mg: DataFrame, scaffold: DataFrame, window: int = 12,
                       F.col("new_revenue").alias("revenue"), F.col("new_gmv").alias("gmv"))
 
 
-def _covered_months(mg: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+def _covered_months(mg: DataFrame, span: tuple[dt.date, dt.date] | None) -> DataFrame:
     """Each account-month exploded into the months its retention window covers
-    (clipped to [lo, hi]); one output row per (account-month, covered month)."""
-    lo_c, hi_c = date_lit(lo), date_lit(hi)
+    (clipped to the span); one output row per (account-month, covered month)."""
+    if span is None:
+        return mg.where("false").withColumn("month_idx", F.col("closed_month"))
+    lo_c, hi_c = date_lit(_month(span[0])), date_lit(_month(span[1]))
     live = mg.where(F.col("closed_month").isNotNull() & (F.col("ret_date_max") >= lo_c)
                     & (F.col("closed_month") <= hi_c))
     return live.withColumn("month_idx", F.explode(F.sequence(
         F.greatest("closed_month", lo_c), F.least("ret_date_max", hi_c), one_month())))
 
 
-def _retained_sparse(mg: DataFrame, dims, start: dt.date, as_of: dt.date) -> DataFrame:
-    cov = _covered_months(mg, start.replace(day=1), as_of.replace(day=1))
+def _retained_sparse(mg: DataFrame, dims, start: dt.date | None, as_of: dt.date | None) -> DataFrame:
+    cov = _covered_months(mg, calendar_span(mg, start, as_of))
     per_account = (cov.groupBy("month_idx", *dims, "account_id")
                    .agg(F.sum("revenue").alias("revenue"), F.sum("gmv").alias("gmv")))
     return (per_account.groupBy("month_idx", *dims)
@@ -115,7 +132,7 @@ def _retained_sparse(mg: DataFrame, dims, start: dt.date, as_of: dt.date) -> Dat
 
 
 def retained(mg: DataFrame, scaffold: DataFrame, dims: tuple[str, ...] = REPORT_DIMS,
-             start: dt.date = A.SCAFFOLD_START, as_of: dt.date = A.AS_OF) -> DataFrame:
+             start: dt.date | None = None, as_of: dt.date | None = None) -> DataFrame:
     """D8 (J11): accounts active within the window ending in the month.
 
     Money follows the SQL report: an account's lifetime value is added once
@@ -163,8 +180,8 @@ def churned(mg: DataFrame, scaffold: DataFrame, dims: tuple[str, ...] = REPORT_D
 
 
 def churn_report(mg: DataFrame, scaffold: DataFrame, window: int = 12,
-                 dims: tuple[str, ...] = REPORT_DIMS, start: dt.date = A.SCAFFOLD_START,
-                 as_of: dt.date = A.AS_OF) -> DataFrame:
+                 dims: tuple[str, ...] = REPORT_DIMS, start: dt.date | None = None,
+                 as_of: dt.date | None = None) -> DataFrame:
     """D10 (J16): new, rolling new, churned and retained-without-new accounts,
     revenue and GMV per month and segment.
 
@@ -219,19 +236,25 @@ def top_report_rows(report: DataFrame, k: int = 100) -> DataFrame:
     return report.orderBy(F.col("closed_month").desc(), *[F.col(c).asc_nulls_first() for c in keys]).limit(k)
 
 
-def global_churn_v1(t: Tables, n: int = 12, window: int = 12, start: dt.date = A.SCAFFOLD_START,
-                    as_of: dt.date = A.AS_OF) -> DataFrame:
+def global_churn_v1(t: Tables, n: int = 12, window: int = 12, start: dt.date | None = None,
+                    as_of: dt.date | None = None) -> DataFrame:
     """The first churn report: no dimensions, close date, whole calendar."""
     o = qualified(A.opportunities(t))
     a = A.accounts(t).select(F.col("id").alias("a_id"))
-    acct_month = (o.join(a, o.accountid == a.a_id)
+    acct_month = stored(o.join(a, o.accountid == a.a_id)
                   .select(F.col("a_id").alias("account_id"), month_start("closedate").alias("closed_month"))
-                  .where(F.col("closed_month").isNotNull()).distinct())
-    months = calendar_months(A.weeks(t.spark, as_of=as_of), A.WEEK_FIRST, as_of).select("month_idx")
+                  .where(F.col("closed_month").isNotNull()).distinct(), "active-months")
+    seen = calendar_span(acct_month, None, None)
+    if seen is None:
+        return acct_month.select("closed_month", *[F.lit(0).cast("bigint").alias(c) for c in (
+            "new_accounts", "new_accounts_rolling", "churned_accounts", "retained_accounts_no_new")])
+    start, as_of = start or seen[0], as_of or seen[1]
+    # the rolling sum sees every observed month, whichever of them are reported
+    months = calendar_months(t.spark, (min(start, seen[0]), max(as_of, seen[1]))).select("month_idx")
     w = Window.partitionBy("account_id").orderBy("closed_month")
     am = acct_month.withColumns({"next_month": F.lead("closed_month").over(w),
                                  "first_month": F.min("closed_month").over(Window.partitionBy("account_id"))})
-    hi = date_lit(as_of.replace(day=1))
+    hi = date_lit(_month(max(as_of, seen[1])))
     # retention intervals cut at the next active month never overlap: count(*) = count(distinct)
     end = F.least(F.add_months("closed_month", n), F.add_months("next_month", -1), hi)
     churn_m = F.add_months("closed_month", n + 1)
@@ -257,7 +280,7 @@ def global_churn_v1(t: Tables, n: int = 12, window: int = 12, start: dt.date = A
 
 
 def yearly_active_by_product(base: DataFrame, scaffold: DataFrame, n: int = 12,
-                             start: dt.date = A.SCAFFOLD_START, as_of: dt.date = A.AS_OF) -> DataFrame:
+                             start: dt.date | None = None, as_of: dt.date | None = None) -> DataFrame:
     """Accounts active in each year by first product category.
 
     Revenue sums each account-month once per year it makes the account
@@ -268,7 +291,7 @@ def yearly_active_by_product(base: DataFrame, scaffold: DataFrame, n: int = 12,
           .agg(F.sum("revenue").alias("revenue"))
           .withColumn("ret_date_max", F.add_months("closed_month", n)))
     kd = scaffold.select("month_idx", "year_idx", cat).distinct()
-    cov = _covered_months(mg, start.replace(day=1), as_of.replace(day=1)).join(kd, ["month_idx", cat])
+    cov = _covered_months(mg, calendar_span(mg, start, as_of)).join(kd, ["month_idx", cat])
     per_row = (cov.groupBy("year_idx", cat, "account_id", "closed_month")
                .agg(F.max("revenue").alias("revenue")))
     per_acct = per_row.groupBy("year_idx", cat, "account_id").agg(F.sum("revenue").alias("revenue"))
@@ -284,3 +307,10 @@ def products_per_year(base: DataFrame) -> DataFrame:
     """D13 (G10): distinct product labels per account and close year."""
     return (base.groupBy(F.col("id").alias("account_id"), F.year("activity_date").alias("yr_close"))
             .agg(F.count_distinct("product_label").alias("product_cats")))
+
+
+def products_per_closed_year(base: DataFrame) -> DataFrame:
+    """D13, notebook form: distinct product labels per account key and close year;
+    deals without a year are left out."""
+    return (base.where(F.col("closed_year").isNotNull()).groupBy("accountid", "closed_year")
+            .agg(F.count_distinct("product_label").alias("product_cats")))

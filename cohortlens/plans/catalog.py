@@ -27,13 +27,18 @@ def edge(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+#: Tables that the layers are derived from.
+INPUT_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
 class Layers:
     """The reference's layer chain (fee ledger -> deal fact -> scaffold), each
-    layer stored once per input folder and read back by the products."""
+    layer stored once per state of the inputs and read back by the products.
+    ``rebuild`` (or the setting ``spark.cohortlens.rebuild``) builds them anew."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, rebuild: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, rebuild: bool | None = None):
         self.spark, self.t = spark, Tables(spark, sf_dir)
-        self.store = LayerStore(spark, sf_dir, rebuild)
+        self.store = LayerStore(spark, sf_dir, INPUT_TABLES, rebuild)
 
     @property
     def ledger(self) -> DataFrame:
@@ -49,7 +54,7 @@ class Layers:
 
     @property
     def scaffold(self) -> DataFrame:
-        return self.store.get("dim_scaffold", lambda: retention.dim_scaffold(self.base, A.weeks(self.spark)))
+        return self.store.get("dim_scaffold", lambda: retention.dim_scaffold(self.base))
 
     def mg(self, n: int = 12) -> DataFrame:
         # one row per account-month: small, and read three times by the churn report
@@ -65,6 +70,16 @@ def _report(spark, d) -> DataFrame:
     return retention.churn_report(L.mg(), L.scaffold)
 
 
+def _of_report(measure, spark, d) -> DataFrame:
+    L = Layers(spark, d)
+    return measure(L.mg(), L.scaffold)
+
+
+def _of_base(measure, spark, d) -> DataFrame:
+    L = Layers(spark, d)
+    return measure(L.base, L.scaffold)
+
+
 QUERIES: dict[str, Query] = {
     # Fee ledger and its pre-aggregates
     "d01a_fee_pivot": lambda s, d: edge(ledger.fee_pivot(A.fees(_t(s, d)))),
@@ -74,6 +89,7 @@ QUERIES: dict[str, Query] = {
         A.factoring_requests(_t(s, d)), A.factoring_request_payments(_t(s, d)),
         A.asset_balance_transfers(_t(s, d)))),
     "d01_fee_ledger": lambda s, d: edge(ledger.fee_ledger(_t(s, d))),
+    "d01e_fee_ledger_whole_deduction": lambda s, d: edge(Layers(s, d).ledger_v2),
     # Deal fact
     "d02_deal_fact": lambda s, d: edge(deals.deal_fact(_t(s, d), Layers(s, d).ledger)),
     "d03_deal_fact_loan_tape": lambda s, d: edge(deals.deal_fact(_t(s, d), Layers(s, d).ledger_v2,
@@ -81,24 +97,27 @@ QUERIES: dict[str, Query] = {
     "d04_deal_fact_v1": lambda s, d: edge(deals.deal_fact_v1(_t(s, d), Layers(s, d).ledger)),
     "d24_base_profile": lambda s, d: deals.base_profile(Layers(s, d).base),
     # SQL report path
-    "d05_dim_scaffold": lambda s, d: retention.dim_scaffold(Layers(s, d).base, A.weeks(s)),
+    "d05_dim_scaffold": lambda s, d: retention.dim_scaffold(Layers(s, d).base),
     "d06_account_month": lambda s, d: edge(Layers(s, d).mg()),
-    "d07_new_accounts": lambda s, d: edge(retention.new_accounts(Layers(s, d).mg(), Layers(s, d).scaffold)),
-    "d08_retained": lambda s, d: edge(retention.retained(Layers(s, d).mg(), Layers(s, d).scaffold)),
-    "d09_churned": lambda s, d: edge(retention.churned(Layers(s, d).mg(), Layers(s, d).scaffold)),
+    "d07_new_accounts": lambda s, d: edge(_of_report(retention.new_accounts, s, d)),
+    "d08_retained": lambda s, d: edge(_of_report(retention.retained, s, d)),
+    "d09_churned": lambda s, d: edge(_of_report(retention.churned, s, d)),
     "d10_churn_report": lambda s, d: edge(_report(s, d)),
     "o01_report_top100": lambda s, d: edge(retention.top_report_rows(_report(s, d), 100)),
+    "p20_report_titles": lambda s, d: retention.with_report_titles(edge(_report(s, d))),
     "d11_global_churn_v1": lambda s, d: retention.global_churn_v1(_t(s, d)),
-    "d12_yearly_active_by_product": lambda s, d: edge(retention.yearly_active_by_product(
-        Layers(s, d).base, Layers(s, d).scaffold)),
+    "d12_yearly_active_by_product": lambda s, d: edge(_of_base(retention.yearly_active_by_product, s, d)),
     "d13_products_per_year": lambda s, d: retention.products_per_year(Layers(s, d).base),
+    "d13b_products_per_closed_year": lambda s, d: retention.products_per_closed_year(Layers(s, d).base),
     # Notebook path
     "d14_monthly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=12, grain="month")),
+    "d14c_monthly_kpi_cube_6": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=6, grain="month")),
     "d14b_monthly_kpi_cube_sql_money": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=12, grain="month",
                                                                        money_mode="per_activity")),
     "d15_yearly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=6, grain="year")),
     "d16_yearly_retained_by_dim": lambda s, d: cube.yearly_retained_by_dim(Layers(s, d).base, n=6),
     "d17_yearly_retained_by_label": lambda s, d: cube.yearly_retained_by_label(Layers(s, d).base, n=6),
+    "d17b_yearly_retained_by_label_12": lambda s, d: cube.yearly_retained_by_label(Layers(s, d).base, n=12),
     "d18_cohort_table": lambda s, d: cube.cohort_table(Layers(s, d).base, n=6),
     "d19_churn_rate": lambda s, d: cube.churn_rate(cube.kpi_cube(Layers(s, d).base, n=12, grain="month")),
     "d25_yearly_retained_ps_indicator": lambda s, d: cube.yearly_retained_by(

@@ -23,9 +23,6 @@ from .tables import Tables
 MONEY = "decimal(18,2)"
 FEE_MONEY = "decimal(18,4)"
 SUPPLIER_ID_OFFSET = 1_000_000_000_000   # company id of a supplier = offset + s_suppkey
-WEEK_FIRST = dt.date(1995, 1, 2)          # first row of the week calendar
-AS_OF = dt.date(2001, 12, 31)             # fixed "today" of the binding (never current_date)
-SCAFFOLD_START = dt.date(1995, 1, 1)      # first scaffold month of the binding
 
 RECORD_TYPES = {                          # o_orderpriority -> record type name
     "1-URGENT": "PreSeason",
@@ -62,6 +59,11 @@ def accounts(t: Tables) -> DataFrame:
         F.concat(F.lit("ACC-"), c.c_custkey.cast("string")).alias("account_number__c"),
         F.when(c.c_acctbal >= 5000, "Large").when(c.c_acctbal >= 0, "Medium")
          .otherwise("Small").alias("company_size__c"),
+        F.when(c.c_acctbal < 0, "Prospect").otherwise("Customer").alias("account_type__c"),
+        F.concat_ws(";", F.lit("QP"), F.when(c.c_custkey % 2 == 0, "PN")).alias("active_products__c"),
+        F.concat(F.lit("FULL-"), F.lpad(c.c_custkey.cast("string"), 10, "0")).alias("full_account_id__c"),
+        F.concat(F.lit("NEW "), c.c_mktsegment).alias("new_class__c"),
+        F.when(c.c_custkey % 10 == 0, (c.c_custkey / 10).cast("long")).alias("parentid"),
     )
 
 
@@ -93,6 +95,13 @@ def opportunities(t: Tables) -> DataFrame:
         k.cast("string").alias("slug__c"),
         F.concat(F.lit("OPP-0"), F.lpad((k % 1000).cast("string"), 3, "0")).alias("opportunity_number__c"),
         F.concat(F.lit("TO-"), k.cast("string")).alias("oms_transaction_id__c"),
+        F.concat(F.lit("012"), F.substring(prio, 1, 1)).alias("recordtypeid"),
+        F.when(k % 5 == 0, F.lit(None)).when(k % 2 == 0, "Spot").otherwise("Program").alias("contract_type__c"),
+        F.when(k % 6 != 0, F.date_add(close, 14)).alias("contract_ship_date__c"),
+        F.when(price >= 200000, "A").when(price >= 100000, "B").otherwise("C").alias("class__c"),
+        F.when(k % 13 != 0, prio).alias("account_class__c"),
+        (price * F.lit(0.004).cast("decimal(4,3)")).alias("est_monthly_ps_revenue__c"),
+        F.when(k % 3 != 0, price * F.lit(0.03).cast("decimal(3,2)")).alias("weighted_ps_revenue__c"),
     )
 
 
@@ -106,10 +115,12 @@ def psar(t: Tables) -> DataFrame:
                  F.sum(F.when(status == "F", price * F.lit(0.001).cast("decimal(4,3)"))).alias("app_fee")))
 
 
-def weeks(spark: SparkSession, first: dt.date = WEEK_FIRST, as_of: dt.date = AS_OF) -> DataFrame:
-    """Week calendar (one row per Monday); bounded by the calendar, not the data."""
+def weeks(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
+    """Week calendar: every Monday from the one on or before ``first`` to the last
+    on or before ``last``; bounded by the calendar, not the data."""
+    monday = first - dt.timedelta(days=first.weekday())
     return spark.range(1).select(F.explode(F.sequence(
-        F.lit(first), F.lit(as_of), F.expr("interval 7 days"))).alias("week_of"))
+        F.lit(monday), F.lit(last), F.expr("interval 7 days"))).alias("week_of"))
 
 
 def deal_ids(t: Tables) -> DataFrame:
@@ -195,9 +206,9 @@ def asset_balance_transfers(t: Tables) -> DataFrame:
 
 def _order_lines(t: Tables) -> DataFrame:
     """Per-order line summary: supplier of the relationship and ship dates."""
-    return (t.lineitem.groupBy("l_orderkey")
+    return t.shared("order-lines", lambda: (t.lineitem.groupBy("l_orderkey")
             .agg(F.min("l_suppkey").alias("supp"), F.min("l_shipdate").alias("first_ship"),
-                 F.max("l_shipdate").alias("last_ship")))
+                 F.max("l_shipdate").alias("last_ship"))))
 
 
 def _relationship_id(cust: Column, supp: Column) -> Column:

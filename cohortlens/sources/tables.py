@@ -9,8 +9,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from .scratch import stored
+
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
@@ -22,10 +26,18 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._shared: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that several parts of a plan read: computed once for
+        this object and stored."""
+        if name not in self._shared:
+            self._shared[name] = stored(build(), name)
+        return self._shared[name]
+
     @cached_property
     def customer(self) -> DataFrame:
         return self.read("customer")
