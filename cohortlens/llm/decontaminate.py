@@ -45,8 +45,8 @@ class TestStrings:
         self.block = min(2, length)
         a = np.array(hashes, np.uint64)
         blocks = np.stack([self._blocks(a[:, k:k + self.block].T) for k in range(length - self.block + 1)], 1)
-        self.bits = np.uint64(64 - max(16, int(16 * blocks.size).bit_length()))
-        self.shift = np.full(1 << (64 - int(self.bits)), length - self.block + 1, np.int32)
+        self.bits = np.uint64(64 - max(16, int(4 * blocks.size).bit_length()))
+        self.shift = np.full(1 << (64 - int(self.bits)), length - self.block + 1, np.uint16)
         for k in range(blocks.shape[1]):  # nearer the end later: the smallest shift stays
             self.shift[blocks[:, k] >> self.bits] = blocks.shape[1] - 1 - k
         keys = join_hashes(blocks[:, -1], blocks[:, 0])
@@ -72,7 +72,7 @@ class TestStrings:
         stop = np.minimum(begin + STRETCH, np.repeat(last, counts))
         found, at = [], begin
         while len(at):
-            jump = self.shift[self._block_at(words.hash, at) >> self.bits]
+            jump = self.shift[self._block_at(words.hash, at) >> self.bits].astype(np.int64)
             found.append(at[jump == 0])
             at = at + np.maximum(jump, 1)
             going = at < stop

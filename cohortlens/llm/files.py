@@ -13,6 +13,8 @@ from pyarrow import fs
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or address, and the path within it."""
+    if path.startswith("file:/") and not path.startswith("file://"):  # as Hadoop writes it
+        path = path.removeprefix("file:")
     return fs.FileSystem.from_uri(path)
 
 

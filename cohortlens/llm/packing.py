@@ -142,7 +142,7 @@ def sequences(items: DataFrame, limit: int = SEQUENCE, nearly_full: int = NEARLY
     Lengths are 1 to ``limit``. Repeated rows are packed each for itself; no
     rows give no sequences."""
     items = stored(items, "packing-pieces")
-    n = max(1, items.rdd.getNumPartitions())
+    n = max(1, items.select(F.spark_partition_id()).distinct().count())
     bins = _round(items, _piece_members, limit, nearly_full)
     done, rest = [bins.where("full")], bins.where("not full")
     while n > 1:
