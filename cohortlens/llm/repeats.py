@@ -12,15 +12,15 @@ only suffixes that can have such a match are sorted, and each sort is local:
    and equal contexts form a class. Each member of a class of several is
    covered by matches from end to end.
 3. *Suffix order.* For keys with several classes, one context of each class is
-   fetched. In its task, the suffixes that begin in the contexts of a key are
-   ranked by prefix doubling up to ``length`` bytes; suffixes of equal rank are
-   neighbours in the suffix array whose common prefix has that length at least.
-   The previous and the next smaller position in the run give the earlier
-   match, which is the longest previous factor cut off at ``length``; the
-   greater ones give a later match.
+   fetched. In its task, the suffixes after a key are sorted, and so are the
+   reversed prefixes before it; neighbours in the two orders give the common
+   prefixes. A string that begins ``s`` bytes before the key is equal to another
+   one if these reach ``s`` bytes to the left and ``length - key - s`` to the
+   right, so that each ``s`` splits both orders into runs. Within a run, the
+   previous and the next smaller position give the earlier match, which is the
+   longest previous factor cut off at ``length``; greater ones give a later match.
 4. A key with more than ``HOT_CLASSES`` classes isn't sorted in one task: its
-   suffixes are dealt out one by one by the hash of their ``length`` bytes, and
-   counted map-side.
+   strings are dealt out one by one by their hash, and counted map-side.
 
 Nothing is capped. Places are ordered by document id, text hash and offset."""
 
@@ -40,7 +40,7 @@ from .words import mix, prefix_sums, span_hashes
 LENGTH, KEY = 400, 200
 #: Classes of a key that one task sorts together, and the bytes of contexts
 #: that a task ranks at once (whole keys).
-HOT_CLASSES, RANK_BYTES = 4096, 2 << 20
+HOT_CLASSES, RANK_BYTES = 4096, 1 << 20
 
 _PLACE = "doc_id long, text_hash long"
 
@@ -97,79 +97,87 @@ def _anchor_rows(docs: DataFrame, length: int, key: int) -> DataFrame:
     return docs.mapInArrow(run, f"{_PLACE}, at int, key long, context long, begin int, end int")
 
 
-def suffix_ranks(buf: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each suffix among ``starts`` by its first ``length`` bytes (all
-    within ``buf``); equal prefixes have equal ranks, and order is that of
-    bytes. Prefix doubling from eight bytes on."""
-    sizes = [8]
-    while sizes[-1] * 2 < length:
-        sizes.append(sizes[-1] * 2)
-    steps = [*((s, s // 2) for s in sizes[1:]), (length, length - sizes[-1])]  # size, distance of the second half
-    needed = np.zeros(len(buf), bool)
-    needed[starts] = True
-    wanted = [needed]
-    for _, distance in reversed(steps):
-        more = wanted[0].copy()
-        more[distance:] |= wanted[0][:len(buf) - distance]
-        wanted.insert(0, more)
-    at = np.flatnonzero(wanted[0])
-    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.as_strided(padded, (len(buf), 8), (1, 1))
-    ranks = np.zeros(len(buf), np.int64)
-    ranks[at] = np.unique(np.ascontiguousarray(words[at]).view(">u8").ravel().astype(np.uint64), return_inverse=True)[1]
-    for (_, distance), mask in zip(steps, wanted[1:], strict=True):
-        at = np.flatnonzero(mask)
-        pairs = ranks[at] * (len(buf) + 1) + ranks[at + distance]
-        ranks = np.zeros(len(buf), np.int64)
-        ranks[at] = np.unique(pairs, return_inverse=True)[1]
-    return ranks[starts]
-
-
-def factor_matches(group: np.ndarray, rank: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each suffix has an equal one (of its group and rank) at an
-    earlier place, and at a later one.
-
-    In suffix order with ties by place, the neighbours of a suffix within its
-    run are its previous and next smaller positions at this match length; a
-    place that two contexts share is one place."""
-    order = np.lexsort((place, rank, group))
-    g, r, p = group[order], rank[order], place[order]
-    new = np.concatenate([[True], (g[1:] != g[:-1]) | (r[1:] != r[:-1])])
-    run = np.cumsum(new) - 1
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(p)) - 1
-    earlier, later = np.zeros(len(p), bool), np.zeros(len(p), bool)
-    earlier[order], later[order] = p > p[first][run], p < p[last][run]
+def sorted_prefixes(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of byte rows by group and content, and each one's common prefix
+    with the row before it (-1 where the group begins)."""
+    n, width = rows.shape
+    padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
+    padded[:, :width] = rows
+    order = np.lexsort((*padded.view(">u8").astype(np.uint64).T[::-1], group))
+    differs = rows[order][1:] != rows[order][:-1]
+    common = np.where(differs.any(1), differs.argmax(1), width)
+    common[group[order][1:] != group[order][:-1]] = -1
+    return order, np.concatenate([[-1], common])
+
+
+def _reach(order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Longest common prefix of each row with any other of its group."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum(common, np.append(common[1:], -1))
+    return out
+
+
+def factor_matches(before: np.ndarray, after: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray,
+                   place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each distance ``s`` before the key and each context: whether the string
+    that begins there has an equal one at an earlier place, and at a later one.
+
+    ``before`` are the bytes left of the keys, nearest first, ``after`` those right
+    of them, of which ``left`` and ``right`` are real. Contexts come ordered by place."""
+    n, span = before.shape
+    (order_b, common_b), (order_a, common_a) = sorted_prefixes(before, group), sorted_prefixes(after, group)
+    hopeful = _reach(order_b, common_b) + _reach(order_a, common_a) >= span
+    earlier, later = np.zeros((span + 1, n), bool), np.zeros((span + 1, n), bool)
+    run_b, run_a = np.empty(n, np.int64), np.empty(n, np.int64)
+    for s in range(span + 1):
+        rows = np.flatnonzero(hopeful & (left >= s) & (right >= span - s))
+        if len(rows) < 2:
+            continue
+        run_b[order_b] = np.cumsum(common_b < s)
+        run_a[order_a] = np.cumsum(common_a < span - s)
+        run = run_b[rows] * (n + 1) + run_a[rows]
+        order = np.argsort(run, kind="stable")
+        run, at, p = run[order], rows[order], place[rows[order]]
+        new = np.concatenate([[True], run[1:] != run[:-1]])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(run)) - 1
+        which = np.cumsum(new) - 1
+        earlier[s, at], later[s, at] = p > p[first][which], p < p[last][which]
     return earlier, later
 
 
-def _spans(table: pa.Table, length: int, keep_first: bool) -> pa.RecordBatch:
+def _spans(table: pa.Table, length: int, key: int, keep_first: bool) -> pa.RecordBatch:
     """Covered spans of the contexts of whole keys."""
-    buf, offsets = utf8(table.column("bytes"))
-    starts = np.diff(offsets) - length + 1  # suffixes of each context
-    owner = np.repeat(np.arange(len(starts)), starts)
-    within = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
-    rank = suffix_ranks(buf, offsets[owner] + within, length)
-    key = np.unique(table.column("key").to_numpy(), return_inverse=True)[1]
     doc = np.unique(np.stack([table.column("doc_id").fill_null(-1 << 63).to_numpy(), table.column("text_hash").to_numpy()], 1),
                     axis=0, return_inverse=True)[1].ravel()
-    begin = table.column("begin").to_numpy().astype(np.int64)
-    place = (doc[owner].astype(np.int64) << 32) | (begin[owner] + within)
-    earlier, later = factor_matches(key[owner], rank, place)
-    hit = np.flatnonzero(earlier if keep_first else earlier | later)
-    # neighbouring hits of one context make one span
-    new = np.ones(len(hit), bool)
-    new[1:] = (owner[hit][1:] != owner[hit][:-1]) | (within[hit][1:] > within[hit][:-1] + length)
+    place = doc.astype(np.int64) << 32 | table.column("at").to_numpy()
+    table = table.take(pa.array(np.argsort(place, kind="stable")))
+    place = np.sort(place, kind="stable")
+    buf, offsets = utf8(table.column("bytes"))
+    left = table.column("left").to_numpy().astype(np.int64)
+    right = np.diff(offsets) - left
+    column, middle = np.arange(length - key), (offsets[:-1] + left)[:, None]
+    buf = np.append(buf, np.uint8(0))
+    before = np.where(column < left[:, None], buf[np.maximum(middle - 1 - column, 0)], 0).astype(np.uint8)
+    after = np.where(column < right[:, None], buf[np.minimum(middle + column, len(buf) - 1)], 0).astype(np.uint8)
+    group = np.unique(table.column("key").to_numpy(), return_inverse=True)[1]
+    earlier, later = factor_matches(before, after, left, right, group, place)
+    distance, rows = np.nonzero(earlier if keep_first else earlier | later)
+    begin = table.column("at").to_numpy().astype(np.int64)[rows] - distance
+    order = np.lexsort((begin, rows))
+    rows, begin = rows[order], begin[order]
+    # strings of one context that overlap or touch make one span
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (begin[1:] > begin[:-1] + length)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(hit)) - 1 if len(hit) else first
-    rows, a, b = owner[hit][first], within[hit][first], within[hit][last] + length
-    at = pa.array(rows)
+    last = np.append(first[1:], len(rows)) - 1 if len(rows) else first
+    at = pa.array(rows[first])
     return pa.RecordBatch.from_arrays(
         [table.column("doc_id").combine_chunks().take(at), table.column("text_hash").combine_chunks().take(at),
-         pa.array((begin[rows] + a).astype(np.int32)), pa.array((begin[rows] + b).astype(np.int32))], ["doc_id", "text_hash", "begin", "end"])
+         pa.array(begin[first].astype(np.int32)), pa.array((begin[last] + length).astype(np.int32))], ["doc_id", "text_hash", "begin", "end"])
 
 
-def _sorted_spans(contexts: DataFrame, length: int, keep_first: bool) -> DataFrame:
+def _sorted_spans(contexts: DataFrame, length: int, key: int, keep_first: bool) -> DataFrame:
     """Spans from contexts dealt out and ordered by key."""
     def run(batches):
         held, size = [], 0
@@ -184,18 +192,19 @@ def _sorted_spans(contexts: DataFrame, length: int, keep_first: bool) -> DataFra
             keys = table.column("key").to_numpy()
             cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on in the next batch
             if cut:
-                yield _spans(table.slice(0, cut), length, keep_first)
+                yield _spans(table.slice(0, cut), length, key, keep_first)
                 held = table.slice(cut).combine_chunks().to_batches()
                 size = sum(x.column("bytes").nbytes for x in held)
         if held:
-            yield _spans(pa.Table.from_batches(held), length, keep_first)
+            yield _spans(pa.Table.from_batches(held), length, key, keep_first)
 
     return contexts.repartition("key").sortWithinPartitions("key").mapInArrow(run, f"{_PLACE}, begin int, end int")
 
 
-def _fetched(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The bytes of contexts: ``key, doc_id, text_hash, begin, bytes, ours``."""
-    by_doc = reps.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("key", "begin", "end")).alias("wanted"))
+def _fetched(docs: DataFrame, reps: DataFrame, key_bytes: int) -> DataFrame:
+    """What lies around the keys: ``key, doc_id, text_hash, at, left, bytes`` (the
+    bytes before the key, ``left`` of them, and those after it)."""
+    by_doc = reps.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("key", "at", "begin", "end")).alias("wanted"))
     same = docs["doc_id"].eqNullSafe(by_doc["doc_id"]) & (docs["text_hash"] == by_doc["text_hash"])
     # rows that repeat id and text fetch a context twice; it is at one place, which counts once
     joined = docs.join(by_doc, same).select(docs["doc_id"], docs["text_hash"], "text", "wanted")
@@ -204,39 +213,43 @@ def _fetched(docs: DataFrame, reps: DataFrame) -> DataFrame:
         for b in batches:
             buf, offsets = utf8(b.column("text"))
             wanted = b.column("wanted")
-            counts = np.diff(wanted.offsets.to_numpy())
-            flat = wanted.flatten()
-            row = np.repeat(np.arange(b.num_rows), counts)
-            key, begin, end = (flat.field(k) for k in range(3))
-            a, z = offsets[row] + begin.to_numpy(), offsets[row] + end.to_numpy()
+            row = np.repeat(np.arange(b.num_rows), np.diff(wanted.offsets.to_numpy()))
+            key, at, begin, end = (wanted.flatten().field(k) for k in range(4))
+            cut = [(offsets[row] + x.to_numpy()) for x in (begin, at, end)]
+            left = (at.to_numpy() - begin.to_numpy()).astype(np.int32)
             for i in range(0, len(row), 2000):
                 part = slice(i, i + 2000)
-                data = [buf[x:y].tobytes() for x, y in zip(a[part].tolist(), z[part].tolist(), strict=True)]
-                at = pa.array(row[part])
+                data = [buf[x:y].tobytes() + buf[y + key_bytes:z].tobytes() for x, y, z in zip(*(c[part].tolist() for c in cut), strict=True)]
+                of = pa.array(row[part])
                 yield pa.RecordBatch.from_arrays(
-                    [key.slice(i, len(data)), b.column("doc_id").take(at), b.column("text_hash").take(at), begin.slice(i, len(data)), pa.array(data, pa.binary())],
-                    ["key", "doc_id", "text_hash", "begin", "bytes"])
+                    [key.slice(i, len(data)), b.column("doc_id").take(of), b.column("text_hash").take(of), at.slice(i, len(data)),
+                     pa.array(left[part]), pa.array(data, pa.binary())], ["key", "doc_id", "text_hash", "at", "left", "bytes"])
+
+    return joined.mapInArrow(run, f"key long, {_PLACE}, at int, left int, bytes binary")
 
-    return joined.mapInArrow(run, f"key long, {_PLACE}, begin int, bytes binary")
 
+def _counted_spans(contexts: DataFrame, length: int, key: int, keep_first: bool) -> DataFrame:
+    """Spans of keys with very many classes: every string by its hash."""
+    around = length - key
 
-def _counted_spans(contexts: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """Spans of keys with very many classes: every suffix by its hash."""
     def run(batches):
         for b in batches:
             buf, offsets = utf8(b.column("bytes"))
             for first, last in slices(offsets, SLICE_BYTES // 4):
                 part, cuts = buf[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
-                n = np.diff(cuts) - length + 1
+                n = np.maximum(np.diff(cuts) - around + 1, 0)
                 owner = np.repeat(np.arange(len(n)), n)
                 within = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+                # what is on either side of the key, and how much of it is to the left
+                distance = b.column("left").to_numpy()[owner + first] - within
                 start = cuts[owner] + within
-                h = span_hashes(prefix_sums(part), start, start + length)
-                at = pa.array(owner + first)
+                h = mix(span_hashes(prefix_sums(part), start, start + around) + distance.astype(np.uint64))
+                inside = distance >= 0
+                at = pa.array((owner + first)[inside])
+                begin = (b.column("at").to_numpy()[owner + first] - distance)[inside]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("key").take(at), pa.array(h.view(np.int64)), b.column("doc_id").take(at), b.column("text_hash").take(at),
-                     pa.array((b.column("begin").to_numpy()[owner + first] + within).astype(np.int32))],
-                    ["key", "suffix", "doc_id", "text_hash", "begin"])
+                    [b.column("key").take(at), pa.array(h[inside].view(np.int64)), b.column("doc_id").take(at), b.column("text_hash").take(at),
+                     pa.array(begin.astype(np.int32))], ["key", "suffix", "doc_id", "text_hash", "begin"])
 
     rows = stored(contexts.mapInArrow(run, f"key long, suffix long, {_PLACE}, begin int"), "hot-suffixes")
     place = F.struct("doc_id", "text_hash", "begin")
@@ -256,7 +269,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, keep_f
     place = F.struct("doc_id", "text_hash", "at", "begin", "end")
     classes = found.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     classes = stored(classes, "classes")
-    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    keys = stored(classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1"), "repeated-keys")
     open_keys = stored(classes.join(keys, "key").select("key", "classes", "first.*"), "open-keys")
 
     covered = found.join(classes.where("n > 1").select("key", "context", "first"), ["key", "context"])
@@ -264,12 +277,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, keep_f
         covered = covered.where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
                                   & (F.col("at") == F.col("first.at"))))
     spans = covered.select("doc_id", "text_hash", "begin", "end")
-    contexts = stored(_fetched(docs, open_keys.select("key", "doc_id", "text_hash", "begin", "end")), "contexts")
+    contexts = stored(_fetched(docs, open_keys.select("key", "doc_id", "text_hash", "at", "begin", "end"), key), "contexts")
     hot = open_keys.where(F.col("classes") > hot_classes).select("key").distinct()
     if hot.isEmpty():
-        return spans.unionByName(_sorted_spans(contexts, length, keep_first))
-    return (spans.unionByName(_sorted_spans(contexts.join(hot, "key", "left_anti"), length, keep_first))
-            .unionByName(_counted_spans(contexts.join(hot, "key", "left_semi"), length, keep_first)))
+        return spans.unionByName(_sorted_spans(contexts, length, key, keep_first))
+    return (spans.unionByName(_sorted_spans(contexts.join(hot, "key", "left_anti"), length, key, keep_first))
+            .unionByName(_counted_spans(contexts.join(hot, "key", "left_semi"), length, key, keep_first)))
 
 
 def merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:

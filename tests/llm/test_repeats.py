@@ -45,15 +45,21 @@ def test_awkward_cases(spark):
     assert repeats.without_repeats(no_docs(spark)).collect() == []
 
 
-def test_factor_arrays_of_one_text():
+def test_factor_arrays_equal_brute_force():
     import numpy as np
 
-    text = np.frombuffer(b"abracadabra abracadabra cadabra", np.uint8)
-    starts = np.arange(len(text) - 8)
-    rank = repeats.suffix_ranks(text, starts, 9)
-    order = sorted(starts, key=lambda k: text[k:k + 9].tobytes())
-    assert [text[k:k + 9].tobytes() for k in starts[np.argsort(rank, kind="stable")]] == [text[k:k + 9].tobytes() for k in order]
-    earlier, later = repeats.factor_matches(np.zeros(len(starts)), rank, starts)
-    raw = [text[k:k + 9].tobytes() for k in starts]
-    assert earlier.tolist() == [t in raw[:k] for k, t in enumerate(raw)]
-    assert later.tolist() == [t in raw[k + 1:] for k, t in enumerate(raw)]
+    r = random.Random(8)
+    n, span = 60, 8
+    contexts = [(bytes(r.choice(b"ab") for _ in range(r.choice([span, span, 3]))), bytes(r.choice(b"ab") for _ in range(r.choice([span, span, 5]))))
+                for _ in range(n)]
+    group = np.array([r.randrange(3) for _ in range(n)])
+    rows = lambda parts: np.array([list(p.ljust(span, b"\0")) for p in parts], np.uint8)
+    before, after = rows([a[::-1] for a, _ in contexts]), rows([b for _, b in contexts])
+    left, right = np.array([len(a) for a, _ in contexts]), np.array([len(b) for _, b in contexts])
+    earlier, later = repeats.factor_matches(before, after, left, right, group, np.arange(n))
+    for s in range(span + 1):
+        strings = [(g, a[len(a) - s:], b[:span - s]) if len(a) >= s and len(b) >= span - s else None
+                   for g, (a, b) in zip(group, contexts, strict=True)]
+        for k, x in enumerate(strings):
+            assert earlier[s, k] == (x is not None and x in strings[:k])
+            assert later[s, k] == (x is not None and x in strings[k + 1:])
