@@ -29,7 +29,7 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: of the languages' common distribution in each, and its floor.
 TRAINING_TEXTS, ROUNDS, PRIOR, FLOOR = 1500, 3, 200.0, 1e-3
 #: Longer words are cut after so many characters; words in a worker's cache.
-LONGEST_WORD, CACHE_WORDS = 24, 300_000
+LONGEST_WORD, CACHE_WORDS = 24, 700_000
 UNKNOWN = "und"
 
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -42,12 +42,19 @@ def words_of(text: str) -> list[bytes]:
 
 @cache
 def pieces(vocabulary: str = VOCABULARY) -> dict[str, int]:
-    """The vocabulary's pieces; number 0 stands for any other character."""
+    """Number of each piece of the vocabulary, from 1 on, and -1 for what only
+    begins pieces. Number 0 stands for any other character."""
     from sentencepiece import SentencePieceProcessor
 
     sp = SentencePieceProcessor(model_file=vocabulary)
     names = [sp.id_to_piece(k) for k in range(sp.get_piece_size()) if not (sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k))]
-    return {name: k for k, name in enumerate(names, 1)}
+    begun = {name[:k]: -1 for name in names for k in range(1, len(name))}
+    return begun | {name: k for k, name in enumerate(names, 1)}
+
+
+@cache
+def n_pieces(vocabulary: str = VOCABULARY) -> int:
+    return max(pieces(vocabulary).values()) + 1
 
 
 class Lattice:
@@ -55,25 +62,31 @@ class Lattice:
     ordered by their end: word, begin, end, piece."""
 
     def __init__(self, words: list[bytes], vocabulary: str = VOCABULARY):
-        table = pieces(vocabulary)
-        longest = max(map(len, table))
+        find = pieces(vocabulary).get
         texts, self.owner = [], []
         for k, w in enumerate(words):
             t = "▁" + w.decode("utf-8", "replace")
             for a in range(0, len(t), LONGEST_WORD):
                 texts.append(t[a:a + LONGEST_WORD])
                 self.owner.append(k)
-        out = []
+        out: list[int] = []
+        add = out.append
         for k, t in enumerate(texts):
             n = len(t)
             for a in range(n):
-                if t[a] not in table:
-                    out.append((k, a, a + 1, 0))
-                for b in range(a + 1, min(n, a + longest) + 1):
-                    found = table.get(t[a:b])
-                    if found:
-                        out.append((k, a, b, found))
-        self.edges = np.array(out, np.int32).reshape(-1, 4)
+                place = (k << 10 | a << 5) << 16  # text, begin, end and piece in one number
+                found = find(t[a])
+                add(place + (a + 1 << 16) + (found if found and found > 0 else 0))
+                if found is None:
+                    continue
+                for b in range(a + 2, n + 1):
+                    found = find(t[a:b])
+                    if found is None:
+                        break
+                    if found > 0:
+                        add(place + (b << 16) + found)
+        codes = np.array(out, np.int64)
+        self.edges = np.stack([codes >> 26, codes >> 21 & 31, codes >> 16 & 31, codes & 0xFFFF], 1)
         self.edges = self.edges[np.argsort(self.edges[:, 2], kind="stable")]
         self.length = np.array([len(t) for t in texts], np.int64)
         self.cuts = np.searchsorted(self.edges[:, 2], np.arange(1, LONGEST_WORD + 2))
@@ -170,8 +183,8 @@ def train(rows: DataFrame, training_texts: int = TRAINING_TEXTS, rounds: int = R
     columns = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = stored(word_counts(chosen).groupBy("word").agg(F.array(*columns).alias("counts")).repartition(parts), "language-words")
-    n_pieces = len(pieces(vocabulary)) + 1
-    p = np.full((n_pieces, len(languages)), 1.0 / n_pieces)
+    size = n_pieces(vocabulary)
+    p = np.full((size, len(languages)), 1.0 / size)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(p)
 
