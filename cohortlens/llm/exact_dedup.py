@@ -71,8 +71,9 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lit(True).alias("kept"), "text_sha256")
     # rows that repeat id and text are one member with a number of rows
     members = rows.where("_suspect").groupBy("text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    groups = rows.where("_suspect").groupBy("text_sha256").agg(
-        F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # stored, so that members of a hot group reach the join by a shuffle that can be split
+    groups = stored(rows.where("_suspect").groupBy("text_sha256").agg(
+        F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "exact-groups")
     grouped = (members.join(groups, "text_sha256")
                .withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"))))
                .select("doc_id", "keep_id", "group_size",
