@@ -29,6 +29,25 @@ def test_pieces_give_the_same_ids(plain):
         assert np.frombuffer(tokens.encoder().encode(x), "<u4").tolist() == plain(x), repr(x[:60])
 
 
+def test_added_tokens_and_newer_characters_give_the_same_ids(plain):
+    ids = lambda x: np.frombuffer(tokens.Encoder().encode(x), "<u4").tolist()
+    assert 50256 in plain("a <|endoftext|> b")
+    for x in ["a <|endoftext|> b", "<|endoftext|>", "it's<|endoftext|>é  b <|endoftext|", "a\ua7ce1\ua7ce.\ua7ce b", "x \u0558a \U000323b0b"]:
+        assert ids(x) == plain(x), repr(x)
+
+
+def test_splits_differ_on_listed_characters_only(plain):
+    from tokenizers import Tokenizer
+
+    split = Tokenizer.from_file(tokens.VOCABULARY).pre_tokenizer.pre_tokenize_str
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]):
+        if not tokens._DIFFER.match(c):
+            text = f"a{c}1{c}.{c}"
+            theirs = [place for _, place in split(text)]
+            assert theirs == [m.span() for m in tokens._PARTS.finditer(text)], hex(ord(c))
+            assert not c.isalpha() or theirs[0] == (0, 2), hex(ord(c))
+
+
 def test_small_cache_changes_nothing(plain, monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
     e = tokens.Encoder()
