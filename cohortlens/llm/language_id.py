@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
-#: Labelled texts per language (about) that training takes, rounds, the weight
+#: Distinct labelled texts per language (about) that training takes, rounds, the weight
 #: of the languages' common distribution in each, and its floor.
 TRAINING_TEXTS, ROUNDS, PRIOR, FLOOR = 1500, 3, 200.0, 1e-3
 #: Longer words are cut after so many characters; words in a worker's cache.
@@ -170,14 +170,17 @@ def train(rows: DataFrame, training_texts: int = TRAINING_TEXTS, rounds: int = R
           vocabulary: str = VOCABULARY) -> Model | None:
     """Learn of ``rows(text, lang)``; None without any labelled text.
 
-    Of each language about ``training_texts`` texts are taken, chosen by hash."""
-    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    Of each language about ``training_texts`` distinct texts are taken, chosen
+    by hash, and each is learnt from once: copies change nothing."""
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").select(
+        "text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("h2"))
+    sizes = {r["lang"]: r["n"] for r in rows.select("lang", "h", "h2").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
     languages = sorted(sizes)
     limit = F.create_map(*[F.lit(x) for lang in languages for x in (lang, int((1 << 20) * min(1.0, training_texts / sizes[lang])) + 1)])
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < limit[F.col("lang")])
+    chosen = (rows.where(F.pmod("h", F.lit(1 << 20)) < limit[F.col("lang")])
+              .groupBy("lang", "h", "h2").agg(F.any_value("text").alias("text")))  # copies meet map-side
     spark = rows.sparkSession
     # one row per word, with its count in each language
     columns = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)]

@@ -106,3 +106,13 @@ def test_awkward_languages(spark):
     unknown = language_id.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in unknown} == {"und"}
     assert language_id.identify(no_docs(spark)).collect() == []
+
+
+def test_languages_are_learnt_with_many_copies(spark):
+    few = [(f"{prose(k, 12)} stone", "en") for k in range(40)]
+    other = [("der hund schläft nicht hier " + "abcdefgh"[k % 8] * (k + 1), "de") for k in range(40)]
+    hot = [("zzz qqq zzz", "en")]
+    plain, alone, copied = (spark.createDataFrame(few + other + x, "text string, lang string") for x in ([], hot, hot * 4000))
+    a, b = (language_id.train(x, training_texts=41, rounds=1) for x in (alone, copied))
+    assert a.languages == b.languages and np.allclose(a.p, b.p)
+    assert not np.allclose(language_id.train(plain, training_texts=41, rounds=1).p, b.p)
