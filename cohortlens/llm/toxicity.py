@@ -5,8 +5,9 @@ between, each hashed to one of ``2 ** BITS`` coordinates and counted once.
 Every coordinate has a learning rate of its own, and the L1 term keeps all but
 the telling ones at exactly zero, so that the model is a short list of weights.
 
-Training takes a bounded sample of the labelled rows, dealt to groups of
-``GROUP_ROWS`` that learn side by side; the model is the mean of their weights.
+Training takes a bounded sample of the labelled rows, those of equal text and
+label as one row with their number, dealt to groups of about ``GROUP_ROWS`` that
+learn side by side; the model is the mean of their weights.
 Scores are computed where the texts lie."""
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import slices, stored, utf8
 from .words import ALNUM, Words, join_hashes
 
 BITS = 20
-#: The most rows (about) that training takes, those that one group learns from,
-#: and how often it does.
+#: The most rows that training takes (copies are one row), those that one group
+#: learns from (about), and how often it does.
 TRAINING_ROWS, GROUP_ROWS, EPOCHS = 48_000, 16_000, 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.01
 
@@ -46,8 +47,9 @@ def _by_text(texts: pa.Array):
         yield b - a, *features(words)
 
 
-def learn(documents: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights by coordinate, the last one the bias."""
+def learn(documents: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, copies: np.ndarray | None = None) -> np.ndarray:
+    """Weights by coordinate, the last one the bias. The copies of a document
+    follow each other; once it has nothing to teach, neither have those left."""
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
 
@@ -58,17 +60,39 @@ def learn(documents: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS)
     for _ in range(epochs):
         for k in order.permutation(len(documents)).tolist():
             at = documents[k]
-            zi, ni = z[at], n[at]
-            w = weights(zi, ni)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - labels[k]
-            if abs(g) < 1e-3:
-                continue
-            root = np.sqrt(ni)
-            z[at] = zi + g - (np.sqrt(ni + g * g) - root) / ALPHA * w
-            n[at] = ni + g * g
+            for _ in range(1 if copies is None else copies[k]):
+                zi, ni = z[at], n[at]
+                w = weights(zi, ni)
+                g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - labels[k]
+                if abs(g) < 1e-3:
+                    break
+                root = np.sqrt(ni)
+                z[at] = zi + g - (np.sqrt(ni + g * g) - root) / ALPHA * w
+                n[at] = ni + g * g
     return weights(z, n)
 
 
+def sample(rows: DataFrame, training_rows: int = TRAINING_ROWS, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, int]:
+    """At most ``training_rows`` rows ``shard, text, label, n``, and the number of
+    shards. Rows of equal text and label are one row with their number ``n``,
+    which alone is dealt to a shard; what is taken are the smallest hashes."""
+    keys = ["h", "h2", "label"]
+    rows = rows.where("text IS NOT NULL AND label IS NOT NULL").select(
+        F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("h2"), F.col("label").cast("int").alias("label"), "text")
+    distinct = stored(rows.select(*keys).distinct(), "labelled")
+    n = distinct.count()
+    shards = max(1, round(min(n, training_rows) / group_rows))
+    if n > training_rows:
+        below = F.col("h") < int(-(1 << 63) + min(0.99, (training_rows + 10 * training_rows ** 0.5 + 10) / n) * (1 << 64))
+        hashes = np.sort(distinct.where(below).select("h").toArrow()["h"].to_numpy())  # a few more than wanted
+        if len(hashes) > training_rows:
+            below = F.col("h") < int(hashes[training_rows])
+        rows = rows.where(below)
+    # copies meet map-side
+    chosen = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.any_value("text").alias("text"))
+    return chosen.select(F.pmod("h2", F.lit(shards)).cast("int").alias("shard"), "text", "label", "n"), shards
+
+
 def train(rows: DataFrame, training_rows: int = TRAINING_ROWS,
           group_rows: int = GROUP_ROWS) -> dict[int, float]:
     """Weights that aren't zero, learnt of ``rows(text, label)``.
@@ -76,13 +100,7 @@ def train(rows: DataFrame, training_rows: int = TRAINING_ROWS,
     The rows taken are chosen by the hash of their text. Null labels and texts
     are left out; without rows, or with one label only, what is learnt is the
     bias."""
-    rows = rows.where("text IS NOT NULL AND label IS NOT NULL")
-    n = rows.count()
-    share = min(1.0, training_rows / max(n, 1))
-    shards = max(1, round(min(n, training_rows) / group_rows))
-    pick = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    chosen = (rows.where(pick < int(share * (1 << 20)) + 1)
-              .select(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), "text", F.col("label").cast("int").alias("label")))
+    chosen, shards = sample(rows, training_rows, group_rows)
 
     def fit(table: pa.Table) -> pa.Table:
         docs = []
@@ -90,7 +108,7 @@ def train(rows: DataFrame, training_rows: int = TRAINING_ROWS,
             pairs = np.unique((row << (BITS + 1)) | at)
             cut = np.searchsorted(pairs >> (BITS + 1), np.arange(1, count))
             docs += [np.append(d & ((1 << (BITS + 1)) - 1), 1 << BITS) for d in np.split(pairs, cut)]
-        w = learn(docs, table.column("label").to_numpy().astype(float))
+        w = learn(docs, table.column("label").to_numpy().astype(float), copies=table.column("n").to_numpy())
         at = np.flatnonzero(w)
         return pa.table({"at": pa.array(at, pa.int64()), "w": w[at]})
 

@@ -108,6 +108,25 @@ def test_awkward_languages(spark):
     assert language_id.identify(no_docs(spark)).collect() == []
 
 
+def test_toxicity_sample_is_bounded_with_copies(spark):
+    rows = [("a hot text", 1)] * 600 + [(f"text number {k}", k % 2) for k in range(300)]
+    df = spark.createDataFrame(rows, "text string, label int")
+    everything, shards = toxicity.sample(df, 400, 100)
+    got = everything.collect()
+    assert sorted((r.text, r.label, r.n) for r in got) == sorted({(t, y, 600 if t == "a hot text" else 1) for t, y in rows})
+    assert shards == 3 and max(sum(r.shard == k for r in got) for k in range(shards)) < 150
+    chosen, _ = toxicity.sample(df, 100, 50)
+    assert chosen.count() == 100
+    assert len(toxicity.sample(df.where("text = 'a hot text'"), 100, 50)[0].collect()) == 1
+
+
+def test_copies_teach_as_often():
+    documents, labels = [np.array([1, 2]), np.array([2, 3]), np.array([4])], np.array([1.0, 0.0, 1.0])
+    once = toxicity.learn(documents, labels, 1)
+    often = toxicity.learn(documents, labels, 1, np.array([1, 1, 30]))
+    assert once[4] == 0 and often[4] > 0 and (toxicity.learn(documents, labels, 1, np.ones(3, int)) == once).all()
+
+
 def test_languages_are_learnt_with_many_copies(spark):
     few = [(f"{prose(k, 12)} stone", "en") for k in range(40)]
     other = [("der hund schläft nicht hier " + "abcdefgh"[k % 8] * (k + 1), "de") for k in range(40)]
