@@ -36,6 +36,11 @@ BOILERPLATE = re.compile(r"""(?<![a-z])(?:
     comments?|comment-?list|commentary|disqus\w*|respond|reply|replies|discussion|
     share|sharing|social\w*|related\w*|recommend\w*|more-?stories|trending|tags?|meta|byline
     )(?![a-z])""", re.X)
+# Names that tell a state of what they stand on, and names of what readers and notices say.
+_STATE = re.compile(r"(?<![^\s])(?:(?:has|with|no|without|is|hide|show)-\S+|\S+-(?:open|closed|enabled|active|layout|page|wrap|wrapper|container))(?![^\s])")
+_SAID = re.compile(r"""(?<![a-z])(?:comments?|comment-?list|commentary|disqus\w*|respond|reply|replies|discussion|cookies?|consent|gdpr)(?![a-z])""")
+_FORMS = frozenset("form fieldset".split())
+_FORM_NAMES = re.compile(r"(?<![a-z])form(?![a-z])")
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SEMANTIC = {"article": 1.5, "main": 1.3}
 
@@ -45,7 +50,7 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _weigh(node: Element, linked: bool, sizes: dict[int, int]) -> int:
+def _weigh(node: Element, linked: bool, sizes: dict[int, int], skipped) -> int:
     """Characters of text below the node outside links, kept per element."""
     total = 0
     linked = linked or node.tag == "a"
@@ -65,7 +70,7 @@ def _weigh(node: Element, linked: bool, sizes: dict[int, int]) -> int:
         elif isinstance(child, str):
             if not in_link:
                 counts[-1] += len(child.strip())
-        elif child.tag not in SKIPPED:
+        elif not skipped(child):
             stack.append((child, in_link or child.tag == "a", iter(child.children)))
             counts.append(0)
     return total
@@ -76,18 +81,78 @@ class Page:
 
     def __init__(self, source: str):
         self.root = parse(source)
+        #: elements around the rest of the page, which stay whatever their tag or name
+        self.wraps: set[int] = set()
+        self.through = True  # forms are looked through
+        forms = self._measure()
+        main = self._main()
+        self.through = False
+        if forms:
+            self.wraps -= {id(f) for f in forms}
+            self.wraps |= {id(a) for a in (ancestors(main) if main is not None else ()) if a.tag in _FORMS}
+            self._measure()
+
+    def _measure(self) -> list[Element]:
+        """Weigh the page and note the named wrappers; its forms."""
         self.sizes: dict[int, int] = {}
-        self.total = _weigh(self.root, False, self.sizes)
+        self.total = _weigh(self.root, False, self.sizes, self.skipped)
+        forms, articles, first = [], [], None
+        stack = [self.root]
+        while stack:
+            node = stack.pop()
+            if node.hidden or self.skipped(node) and node.tag not in _FORMS:
+                continue
+            if node.tag in _FORMS:
+                forms.append(node)
+            elif node.tag == "main":
+                self.wraps.update(id(a) for a in ancestors(node) if a.tag not in _FORMS)
+            elif node.tag == "article" and not _SAID.search(node.words):
+                articles.append(node)
+            elif node.tag == "h1" and first is None:
+                first = node
+            stack += [c for c in reversed(node.children) if isinstance(c, Element)]
+        said = lambda n: any(_SAID.search(_STATE.sub(" ", a.words)) for a in ancestors(n) if a.tag not in ("html", "body"))
+        articles = [n for n in articles if not said(n)]
+        for anchor in (max(articles, key=lambda n: self.sizes.get(id(n), 0), default=None), first):
+            if anchor is not None:
+                self.wraps.update(id(a) for a in ancestors(anchor) if a is not anchor and a.tag not in _FORMS and self._most(a))
+        return forms
+
+    def _main(self) -> Element | None:
+        """The best container without anything named; if there is none, the best
+        one in a named element, whose wrappers then stay."""
+        best, _ = self.best()
+        if best is None and self.total:
+            self.names = _SAID
+            best, _ = self.best()
+            self.names = BOILERPLATE
+            if best is not None:
+                self.wraps.update(id(a) for a in ancestors(best) if a.tag not in SKIPPED)
+        return best
+
+    names = BOILERPLATE
+
+    def _most(self, node: Element) -> bool:
+        return 2 * self.sizes.get(id(node), 0) > self.total
+
+    def skipped(self, node: Element) -> bool:
+        """Elements that hold no main text by their tag."""
+        return node.tag in SKIPPED and not (node.tag in _FORMS and (self.through or id(node) in self.wraps))
 
     def dropped(self, node: Element) -> bool:
-        """Menus and the like, by tag or by name. A name alone doesn't drop an
-        element with most of the page's text."""
-        if node.tag in SKIPPED or node.hidden:
+        """Menus and the like, by tag or by name, whatever their size, unless they
+        wrap the rest of the page. A state in a name doesn't drop an element with
+        most of the page's text."""
+        if node.hidden or self.skipped(node):
             return True
-        if node.tag in ("html", "body", "article", "main"):
+        if node.tag in ("html", "body", "article", "main") or id(node) in self.wraps:
+            return False
+        if node.tag == "header":
+            return self.names is BOILERPLATE
+        words = _FORM_NAMES.sub(" ", node.words) if node.tag in _FORMS else node.words
+        if not words or not self.names.search(words):
             return False
-        named = node.tag == "header" or node.words and BOILERPLATE.search(node.words)
-        return bool(named) and 2 * self.sizes.get(id(node), 0) <= self.total
+        return not self._most(node) or bool(self.names.search(_STATE.sub(" ", words)))
 
     def elements(self, top: Element) -> Iterator[Element]:
         """Elements below ``top`` in page order, without those dropped."""

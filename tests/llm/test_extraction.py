@@ -26,6 +26,23 @@ def test_comments_and_sidebar_go():
     assert extraction.main_text(html, "html>body.has-sidebar>div>div.post.post-0") == TEXT
 
 
+@pytest.mark.parametrize("names", ["class='comments'", "id=comments", "class='sidebar'", "class='cookie-notice'"])
+def test_named_parts_go_whatever_their_size(names):
+    long = f"<div {names}>" + f"<article class=comment><p>{TEXT} says a reader</p></article><p>{TEXT}</p>" * 9 + "</div>"
+    for html in (page(f"<p>{TEXT}</p>", side=long), page(f"<h1>Head</h1><p>{TEXT}</p>{long}"), page(f"<article><p>{TEXT}</p>{long}</article>"),
+                 f"<body><main><p>{TEXT}</p>{long}</main>"):
+        assert extraction.main_text(html, None).removeprefix("Head\n") == TEXT
+        assert "comment" not in markup.path(extraction.Page(html).best()[0])
+
+
+@pytest.mark.parametrize("wrapper", ["form id=form1", "form id=aspnetForm class=search", "form><fieldset", "div class=has-sidebar", "div class=sidebar", "div class='header-fixed'"])
+def test_wrappers_of_the_page_stay(wrapper):
+    search = "<form class=x><p>Search here</p></form>" if not wrapper.startswith("form") else ""
+    for body in (f"<p>{TEXT}</p>", f"<h1>Head</h1><p>{TEXT}</p>", f"<article><p>{TEXT}</p></article>"):
+        html = f"<body><{wrapper}><div class=post>{body}</div>{search}<div class=comments><p>{TEXT} {TEXT}</p></div></body>"
+        assert extraction.main_text(html, None).removeprefix("Head\n") == TEXT, html
+
+
 @pytest.mark.parametrize("html", [None, "", " ", "<", "<p", "</p></div>", "<!--", "<script>x", "&", "<a b='", "<p>" * 3000, "<div>" * 3000 + "x"])
 def test_any_input(html):
     assert extraction.main_text(html, None) in ("", "&", "x", "<")
