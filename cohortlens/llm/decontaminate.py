@@ -171,21 +171,14 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_win
         yield [(r.name_, r.text.encode("utf-8")) for r in part.withColumnRenamed("name", "name_").toLocalIterator()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-               block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """One row per document: ``doc_id, n_words, hit_words, items``.
-
-    ``hit_words`` are the runs [first, end) of words inside occurrences of test
-    strings, ``items`` the names of the items these come from, sorted. A null
-    text has no words; an item without an id is called ``null``; items without
-    words match nothing; repeated documents and items count as they are. Empty
-    tables give an empty result, or one without hits."""
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+           window: int, block_windows: int) -> DataFrame:
+    """The rows of ``find_leaks`` with the hash of their text."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.col(text_col)).alias("_text_hash"))
     found = [_search_all(docs, rows, window) for rows in benchmark_blocks(benchmark, item_col, item_text_col, block_windows)]
     if len(found) == 1:
-        return found[0].drop("_text_hash")
+        return found[0]
     # several blocks: merge what each found in a document; rows that repeat id and text found the same
     once = stored(found[0], "leaks")
     keys = ["doc_id", "_text_hash"]
@@ -198,10 +191,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return (once.join(merged, (F.coalesce("doc_id", F.lit(0).cast("long")) == F.col("_doc_id"))
                       & (F.coalesce("_text_hash", F.lit(0).cast("long")) == F.col("__text_hash"))
                       & (F.col("doc_id").isNull() == F.col("_no_id")), "left")
-            .select("doc_id", "n_words", F.coalesce(_united(F.col("_runs")), "hit_words").alias("hit_words"),
+            .select("doc_id", "_text_hash", "n_words", F.coalesce(_united(F.col("_runs")), "hit_words").alias("hit_words"),
                     F.coalesce("_items", "items").alias("items")))
 
 
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+               block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """One row per document: ``doc_id, n_words, hit_words, items``.
+
+    ``hit_words`` are the runs [first, end) of words inside occurrences of test
+    strings, ``items`` the names of the items these come from, sorted. A null
+    text has no words; an item without an id is called ``null``; items without
+    words match nothing; repeated documents and items count as they are. Empty
+    tables give an empty result, or one without hits."""
+    return _leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, window, block_windows).drop("_text_hash")
+
+
 def _united(runs):
     """Sorted runs, those that overlap or touch made one."""
     joined = F.aggregate(runs, F.expr(f"cast(array() AS {_SPANS})"), lambda out, r: F.when(
@@ -214,9 +220,11 @@ def _united(runs):
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  **options) -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+                  block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """``docs`` without the documents that hold a test string, columns as they
-    were. Rows that repeat an id with different texts are judged together."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col, **options).where("size(items) > 0")
-    bad = stored(leaks.select(F.col("doc_id").alias("__leak")).distinct(), "leaking")
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__leak")), "left_anti")
+    were. Rows that share an id, or have none, are judged text by text."""
+    leaks = _leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, window, block_windows).where("size(items) > 0")
+    bad = stored(leaks.select(F.col("doc_id").alias("__leak"), F.col("_text_hash").alias("__leak_text")).distinct(), "leaking")
+    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__leak"))
+                     & (F.xxhash64(F.col(text_col)) == F.col("__leak_text")), "left_anti")

@@ -93,11 +93,11 @@ def _signed(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
             sizes, sums, small = signatures(b.column("text"), shingle, bands, rows)
             longs = lambda a: pa.FixedSizeListArray.from_arrays(pa.array(a.view(np.int64).ravel()), a.shape[1]).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes), pa.array(sums[:, 0].copy().view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)),
+                [b.column("doc_id"), b.column("h"), b.column("h2"), pa.array(sizes), pa.array(sums[:, 0].copy().view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)),
                  longs(small[:, :bands].copy()), longs(small[:, bands:].copy())],
-                ["doc_id", "n_shingles", "set_a", "set_b", "left", "right"])
+                ["doc_id", "h", "h2", "n_shingles", "set_a", "set_b", "left", "right"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, left array<long>, right array<long>")
+    return docs.mapInArrow(run, "doc_id long, h long, h2 long, n_shingles long, set_a long, set_b long, left array<long>, right array<long>")
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
@@ -253,27 +253,33 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
     return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
-                block: int = BLOCK) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+def _keys(id_col: str, text_col: str) -> dict[str, Column]:
+    """What tells documents apart: id and two hashes of the text, none null."""
+    key = F.col(id_col).cast("long")
+    return {"no_id": key.isNull(), "own_id": F.coalesce(key, F.lit(0).cast("long")),
+            "h": F.xxhash64(F.col(text_col)), "h2": F.xxhash64(F.lit(1), F.col(text_col))}
 
-    ``component_id`` is the smallest id that links lead to (itself included).
-    Words are what stands between ASCII white space, A-Z in lower case. Texts
-    without words, null ones too, have no shingles and are linked with nothing.
-    Rows that repeat an id are judged text by text. A row
-    without an id belongs to a group only through an equal set; its component is
-    null if it has none. An empty table gives an empty result."""
+
+_KEYS = ["no_id", "own_id", "h", "h2"]
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bands: int, rows: int, block: int) -> DataFrame:
+    """The rows of ``near_groups`` with the hashes of their texts. What is linked
+    are sets, each by a number and by the text of one of its documents."""
+    keys = _keys(id_col, text_col)
     # the binary of the text: any bytes, and no re-encoding on the way
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.col(text_col), "UTF-8").alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), keys["h"].alias("h"), keys["h2"].alias("h2"),
+                       F.encode(F.col(text_col), "UTF-8").alias("text"))
+    none, own = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast("long"))
     signed = stored(_signed(docs, shingle, bands, rows), "signatures")
     sets = (signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
-            .agg(F.min("doc_id").alias("id"), F.any_value("left").alias("left"), F.any_value("right").alias("right")))
-    sets = stored(sets, "sets")
-    reps = sets.where("id IS NOT NULL")
-    buckets = _buckets(reps)
-    texts = stored(docs.withColumnRenamed("doc_id", "id").join(
-        buckets.select("id").distinct(), "id", "left_semi").where("text IS NOT NULL"), "candidate-texts")
+            .agg(F.min(F.struct(none.alias("no_id"), own.alias("own_id"), "h", "h2")).alias("first"),
+                 F.any_value("left").alias("left"), F.any_value("right").alias("right")))
+    sets = stored(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
+    buckets = _buckets(sets)
+    wanted = sets.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "first.*")
+    texts = stored(docs.select(none.alias("no_id"), own.alias("own_id"), "h", "h2", "text").where("text IS NOT NULL")
+                   .join(wanted, _KEYS).groupBy("id").agg(F.any_value("text").alias("text")), "candidate-texts")
 
     links = stored(_confirmed(stored(_led(buckets, percent), "pairs"), texts, shingle, percent), "confirmed")
     parts = stored(components(links), "parts")
@@ -281,15 +287,47 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     more = stored(_confirmed(pairs, texts, shingle, percent), "confirmed")
     if not more.isEmpty():
         parts = stored(components(links.unionByName(more)), "parts")
-    labelled = sets.join(parts, F.col("id") == F.col("node"), "left").select(
-        "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group (the smallest id), columns as they were."""
-    gone = stored(near_groups(docs, id_col, text_col, **options).where("not kept")
-                  .select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    # the document that stands for each component: the smallest id, those without one last
+    linked = stored(parts.join(sets.select("id", "first"), F.col("id") == F.col("node")).select("node", "component", "first"), "linked")
+    leads = stored(linked.groupBy("component").agg(F.min("first").alias("lead")), "leads")
+    labelled = (sets.join(linked.join(leads, "component").select("node", "lead"), F.col("id") == F.col("node"), "left")
+                .select("set_a", "set_b", "n_shingles", F.coalesce("lead", "first").alias("lead")))
+    labelled = stored(labelled, "labelled")
+    out = signed.select("doc_id", "h", "h2", "n_shingles", "set_a", "set_b").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
+    component = F.when(F.col("lead").isNull(), F.col("doc_id")).when(~F.col("lead.no_id"), F.col("lead.own_id"))
+    kept = F.col("lead").isNull() | (F.struct(none.alias("no_id"), own.alias("own_id"), "h", "h2") == F.col("lead"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "h", "h2")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
+                block: int = BLOCK) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+
+    ``component_id`` is the smallest id that links lead to (itself included).
+    Words are what stands between ASCII white space, A-Z in lower case. Texts
+    without words, null ones too, have no shingles and are linked with nothing.
+    Rows that repeat an id are judged text by text, those without an id too;
+    ``component_id`` is null where no linked row has one. ``kept`` is true for one
+    text of one id (or of none) in each group, for all rows that repeat both. An
+    empty table gives an empty result."""
+    return _grouped(docs, id_col, text_col, shingle, percent, bands, rows, block).drop("h", "h2")
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                        percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """``docs`` with one document of each group (the smallest id), columns as they
+    were. Rows are told apart by id and text; of those that repeat both, one
+    stays where the text has words."""
+    own = [F.col("doc_id").isNull().alias("__no_id"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("__own_id"),
+           F.col("h").alias("__h"), F.col("h2").alias("__h2")]
+    keys = [f"__{k}" for k in _KEYS]
+    found = _grouped(docs, id_col, text_col, shingle, percent, bands, rows, block).where("n_shingles > 0")
+    gone = stored(found.groupBy(*own).agg(F.min("kept").alias("__kept"), F.count(F.lit(1)).alias("__n"))
+                  .where("NOT __kept OR __n > 1"), "near-copies")
+    keyed = docs.select("*", *[c.alias(f"__{k}") for k, c in _keys(id_col, text_col).items()])
+    left = keyed.join(gone.select(*keys), keys, "left_anti")
+    repeated = gone.where("__kept").select(*keys)
+    if not repeated.isEmpty():
+        left = left.unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
+    return left.drop(*keys)

@@ -68,3 +68,12 @@ def test_awkward_cases(spark):
     left = decontaminate.without_leaks(docs, odd)
     assert left.columns == docs.columns and left.count() == docs.count() - 3
     assert decontaminate.find_leaks(no_docs(spark), odd).collect() == []
+
+
+@pytest.mark.parametrize("block_windows", [1 << 17, 8])
+def test_rows_that_share_an_id_are_judged_by_text(spark, block_windows):
+    leak, clean = prose(1, 30), prose(2, 30)
+    docs = spark.createDataFrame([(None, leak), (None, clean), (None, None), (5, leak), (5, clean), (6, clean)], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", leak), ("b", prose(3, 30))], "item_id string, text string")
+    left = decontaminate.without_leaks(docs, bench, block_windows=block_windows).collect()
+    assert sorted(map(str, left)) == sorted(map(str, docs.where("text IS NULL OR text = '" + clean + "'").collect()))

@@ -61,6 +61,20 @@ def test_awkward_cases(spark):
     assert near_dedup.near_groups(no_docs(spark)).collect() == []
 
 
+def test_rows_that_share_an_id_are_judged_by_text(spark):
+    a, b, c, d = (prose(k, 100) for k in range(4))
+    rows = [(3, a), (5, a + " more"), (5, b), (None, c), (None, c + " more"), (None, c + " more"), (None, d), (None, d), (None, None), (None, None), (7, c + " again"), (8, d.upper().lower()), (9, "x y"), (9, "x y")]
+    rows += [(None, prose(9, 100)), (None, prose(9, 100) + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(r.doc_id, r.text) for r in near_dedup.without_near_copies(docs).collect()]
+    lone = [r for r in left if r in rows[-2:]]
+    assert len(lone) == 1
+    left.remove(lone[0])
+    assert sorted(map(str, left)) == sorted(map(str, [(3, a), (5, b), (7, c + " again"), (8, d), (9, "x y"), (None, None), (None, None)]))
+    found = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_groups(docs).collect()}
+    assert (5, 3, False) in found and (5, 5, True) in found and (None, 7, False) in found and (None, None, True) in found
+
+
 def test_components_of_chain_star_and_cycle(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(8, 40)] + [(50, 51), (51, 52), (52, 50)] + [(60, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
