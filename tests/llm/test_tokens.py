@@ -20,39 +20,50 @@ def plain():
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
-def test_pieces_give_the_same_ids(plain):
+def test_texts_give_the_same_ids(plain):
     r = random.Random(1)
-    odd = ["", " ", "  ", " a", "a ", "  a  b ", "a\n b", "it's  o'clock we'll ", "\x1c b \x85 c", "日本 語 text", "a\t b\t\tc   d\n\n e"]
+    odd = ["", " ", "  ", " a", "a ", "  a  b ", "a\n b", "it's  o'clock we'll ", "\x1c b \x85 c", "日本 語 text", "a\t b\t\tc   d\n\n e", " " * 300_000 + "b"]
     odd += ["".join(r.choice(" ab'1.\n\té  s!日\xa0") for _ in range(30)) for _ in range(500)]
+    odd += ["".join(r.choice("etaoinshrdlucmfw ") for _ in range(200)) for _ in range(300)]
     odd += [t for _, t, *_ in edge_rows() if t]
     for x in odd:
         assert np.frombuffer(tokens.encoder().encode(x), "<u4").tolist() == plain(x), repr(x[:60])
 
 
-def test_added_tokens_and_newer_characters_give_the_same_ids(plain):
-    ids = lambda x: np.frombuffer(tokens.Encoder().encode(x), "<u4").tolist()
+def test_any_entries_in_a_row_give_the_same_ids(plain):
+    r, entries = random.Random(3), []
+    for x in tokens.encoder().ranks:
+        try:
+            entries.append(x.decode())
+        except UnicodeDecodeError:
+            pass
+    for _ in range(20_000):
+        x = "".join(r.choice(entries) for _ in range(r.randrange(1, 5)))
+        assert tokens.encoder().ids(x) == plain(x), repr(x)
+
+
+def test_added_tokens_give_the_same_ids(plain):
+    ids = lambda x: np.frombuffer(tokens.encoder().encode(x), "<u4").tolist()
     assert 50256 in plain("a <|endoftext|> b")
     for x in ["a <|endoftext|> b", "<|endoftext|>", "it's<|endoftext|>é  b <|endoftext|", "a\ua7ce1\ua7ce.\ua7ce b", "x \u0558a \U000323b0b"]:
         assert ids(x) == plain(x), repr(x)
+    assert 50256 not in tokens.encoder(plain_added=True).ids("a <|endoftext|> b")
+
+
+def test_every_character_gives_the_same_ids(plain):
+    e = tokens.encoder()
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]):
+        text = f"{c}'s{c}"
+        assert e.ids(text) == plain(text), hex(ord(c))
 
 
-def test_splits_differ_on_listed_characters_only(plain):
+def test_other_vocabularies_go_to_their_library():
+    import public_tokenizers
     from tokenizers import Tokenizer
 
-    split = Tokenizer.from_file(tokens.VOCABULARY).pre_tokenizer.pre_tokenize_str
-    for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]):
-        if not tokens._DIFFER.match(c):
-            text = f"a{c}1{c}.{c}"
-            theirs = [place for _, place in split(text)]
-            assert theirs == [m.span() for m in tokens._PARTS.finditer(text)], hex(ord(c))
-            assert not c.isalpha() or theirs[0] == (0, 2), hex(ord(c))
-
-
-def test_small_cache_changes_nothing(plain, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
-    e = tokens.Encoder()
-    text = "a b c d e f g a b c d e f g a a b b"
-    assert np.frombuffer(e.encode(text), "<u4").tolist() == plain(text)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert tokens.encoder(path).fast is None
+    assert tokens.encoder(path).ids("Some text") == Tokenizer.from_file(path).encode("Some text", add_special_tokens=False).ids
 
 
 def test_files_round_trip(spark, plain):
