@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
+    byte_bpe,
     decontaminate,
     exact_dedup,
     extraction,
     language_id,
     near_dedup,
     packing,
+    periodic,
     repeats,
     token_files,
     toxicity,
@@ -138,3 +141,22 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, text_sha256
 FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.link_table(read(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", F.size("links").cast("long").alias("n_links"), "n_best", "count_sum",
+                       F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.find_runs(read(spark, sf_dir, "documents").select("doc_id", "text"), planted=True))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    return rows.select("doc_id", F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
