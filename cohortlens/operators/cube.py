@@ -5,15 +5,15 @@ max over n+1 columns (retained), a lag test (churned) and a first-occurrence
 flag (new), and multiplies the matrix by per-account totals for money. The
 same numbers follow from the sparse activity rows:
 
-* retained months of an active month m: m .. min(m+n, next active - 1, last);
-  cutting at the next active month makes the ranges disjoint, so no distinct
-  is needed;
+* retained from an active month m on, unless an earlier window still reaches m,
+  until a window of n months lapses: an event that adds in m, and one that takes
+  away in m+n+1, whatever n is; running sums over a segment's months give the cube;
 * churned at m+n+1 when the next active month is later (or absent) and
   m+n+1 is still inside the observed range;
 * new at the first active month.
 
-Each activity row becomes an array of (period, retained, churned, new) cells
-that is exploded once and aggregated once per (period, dims). Windows run
+Yearly cells come from the years that a window touches (two for n up to 12). All
+products read one stored roll-up of the deals, :func:`activity_layer`. Windows run
 per (account, dims) over monthly rows, which is bounded by the calendar, so
 a hot account cannot overload a task. The result is made dense (observed
 dims x every period, zero-filled) as the matrix was.
@@ -38,6 +38,21 @@ def _kept(base: DataFrame, key: str, dims: Sequence[str]) -> DataFrame:
     return base.where(keep)
 
 
+#: What is counted of an account in a period.
+FLAGS = ("retained", "churned", "new")
+#: Dimensions of the stored roll-up: those of every product below.
+LAYER_DIMS = (*CUBE_DIMS, "ps_indicator", "product_label_category")
+
+
+def activity_layer(base: DataFrame, key: str = "accountid", dims: Sequence[str] = LAYER_DIMS,
+                   date: str = "activity_date") -> DataFrame:
+    """Deals rolled up to (key, all dimensions, month), undated deals included, under
+    the names of the deal fact: the one input of all cubes, and of their bounds
+    and segments. Every product below gives the same from it as from the deals."""
+    return (base.groupBy(key, *dims, month_start(date).alias(date))
+            .agg(F.sum("gmv").alias("gmv"), F.sum("revenue").alias("revenue")))
+
+
 def activity(base: DataFrame, key: str = "accountid", dims: Sequence[str] = CUBE_DIMS,
              date: str = "activity_date") -> DataFrame:
     """Distinct (key, dims, month) with the (key, dims) money totals.
@@ -79,15 +94,28 @@ def _cells(period: Column, end: Column, step, next_p: Column, first_p: Column,
     return F.explode(F.concat(retained, churn))
 
 
-def monthly_cells(act: DataFrame, bounds: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
+def monthly_events(act: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
+    """Changes and flags per (month, dims), of two events an activity row: its
+    month, and the month in which its window has lapsed."""
     w = Window.partitionBy(key, *dims).orderBy("month")
-    f = act.crossJoin(bounds).withColumns({
-        "next": F.lead("month").over(w),
-        "first": F.min("month").over(Window.partitionBy(key, *dims))})
-    end = F.least(F.add_months("month", n), F.add_months("next", -1), F.col("hi"))
-    cell = _cells(F.col("month"), end, one_month(), F.col("next"), F.col("first"),
-                  F.add_months("month", n + 1), F.col("hi"))
-    return f.select(key, *dims, "gmv_total", "rev_total", "lo", "hi", cell.alias("cell"))
+    f = act.withColumns({"due": F.add_months("month", n + 1)}).withColumns({
+        "prev_due": F.lag("due").over(w), "next": F.lead("month").over(w)})
+    lapsed = F.col("next").isNull() | (F.col("next") > F.col("due"))
+    begins = F.col("prev_due").isNull() | (F.col("prev_due") < F.col("month"))
+
+    def event(month, change, churned, new, sign):
+        return F.struct(month.alias("activity_date"), change.cast("int").alias("retained"), churned.cast("int").alias("churned"),
+                        new.cast("int").alias("new"), F.lit(sign).alias("sign"))
+
+    events = f.select(*dims, "gmv_total", "rev_total", F.explode(F.array(
+        event(F.col("month"), begins, F.lit(0), F.col("prev_due").isNull(), 1),
+        event(F.col("due"), -lapsed.cast("int"), lapsed, F.lit(0), -1))).alias("e")).select(*dims, "gmv_total", "rev_total", "e.*")
+    money = {"gmv": "gmv_total", "rev": "rev_total"}
+    return events.groupBy("activity_date", *dims).agg(
+        *[F.sum(flag).alias(f"{flag}_accounts") for flag in FLAGS],
+        *[F.sum(F.col(total) * F.col(flag)).alias(f"{flag}_{m}") for m, total in money.items() for flag in FLAGS],
+        # once per active month inside the window
+        *[F.sum(F.col(total) * F.col("sign")).alias(f"active_{m}") for m, total in money.items()])
 
 
 def yearly_retained(act: DataFrame, bounds: DataFrame, key: str, dims: Sequence[str], n: int) -> DataFrame:
@@ -131,16 +159,6 @@ def _dense(observed: DataFrame, periods: DataFrame, agg: DataFrame, keys: list[s
                       *[F.coalesce(c, zero.cast("decimal(2,0)")).alias(c) for c in moneys])
 
 
-def _per_activity_money(act: DataFrame, bounds: DataFrame, dims: Sequence[str], n: int) -> DataFrame:
-    """Retained money under the SQL report's rule: an account's total is added
-    once per active month inside the window (overlapping windows repeat it)."""
-    f = act.crossJoin(bounds)
-    months = F.explode(F.sequence(F.col("month"), F.least(F.add_months("month", n), F.col("hi")), one_month()))
-    return (f.select(*dims, "gmv_total", "rev_total", months.alias("activity_date"))
-            .groupBy(*dims, "activity_date")
-            .agg(F.sum("gmv_total").alias("retained_gmv"), F.sum("rev_total").alias("retained_rev")))
-
-
 def kpi_cube(base: DataFrame, n: int = 12, grain: str = "month", key: str = "accountid",
              dims: Sequence[str] = CUBE_DIMS, rolling_window: int | None = None,
              money_mode: str = "per_account") -> DataFrame:
@@ -158,20 +176,26 @@ def kpi_cube(base: DataFrame, n: int = 12, grain: str = "month", key: str = "acc
         raise ValueError("money_mode='per_activity' is defined for the monthly cube only")
     dims = list(dims)
     act, bounds = activity(base, key, dims), activity_bounds(base, key, dims)
-    cells = (yearly_cells if grain == "year" else monthly_cells)(act, bounds, key, dims, n)
-    c = cells.select(*dims, "gmv_total", "rev_total", "cell.*")
-    flag = {"retained": "r", "churned": "c", "new": "nw"}
-    agg = c.groupBy(*dims, F.col("p").alias("activity_date")).agg(
-        *[F.sum(f).alias(f"{k}_accounts") for k, f in flag.items()],
-        *[F.sum(F.when(F.col(f) == 1, F.col("gmv_total"))).alias(f"{k}_gmv") for k, f in flag.items()],
-        *[F.sum(F.when(F.col(f) == 1, F.col("rev_total"))).alias(f"{k}_rev") for k, f in flag.items()])
     keys = ["activity_date", *dims]
-    if money_mode == "per_activity":
-        agg = agg.drop("retained_gmv", "retained_rev").join(
-            _per_activity_money(act, bounds, dims, n), keys, "full")
-    counts = [f"{k}_accounts" for k in flag]
-    moneys = [f"{k}_{m}" for m in ("gmv", "rev") for k in flag]
-    out = _dense(observed_segments(base, key, dims), _periods(bounds, grain), agg, keys, counts, moneys)
+    counts = [f"{k}_accounts" for k in FLAGS]
+    moneys = [f"{k}_{m}" for m in ("gmv", "rev") for k in FLAGS]
+    segments = observed_segments(base, key, dims)
+    if grain == "year":
+        c = yearly_cells(act, bounds, key, dims, n).select(*dims, "gmv_total", "rev_total", "cell.*")
+        flag = dict(zip(FLAGS, ("r", "c", "nw"), strict=True))
+        agg = c.groupBy(*dims, F.col("p").alias("activity_date")).agg(
+            *[F.sum(f).alias(f"{k}_accounts") for k, f in flag.items()],
+            *[F.sum(F.when(F.col(f) == 1, F.col("gmv_total"))).alias(f"{k}_gmv") for k, f in flag.items()],
+            *[F.sum(F.when(F.col(f) == 1, F.col("rev_total"))).alias(f"{k}_rev") for k, f in flag.items()])
+        out = _dense(segments, _periods(bounds, grain), agg, keys, counts, moneys)
+    else:
+        extra = ["active_gmv", "active_rev"] if money_mode == "per_activity" else []
+        out = _dense(segments, _periods(bounds, grain), monthly_events(act, key, dims, n), keys, counts, [*moneys, *extra])
+        # the grid has every month of a segment: a running sum over its rows
+        so_far = Window.partitionBy(*dims).orderBy("activity_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        source = "active" if extra else "retained"
+        out = out.withColumns({"retained_accounts": F.sum("retained_accounts").over(so_far),
+                               **{f"retained_{m}": F.sum(f"{source}_{m}").over(so_far) for m in ("gmv", "rev")}})
     cols = [*keys, "retained_accounts", "churned_accounts", "new_accounts"]
     if grain != "year":
         roll = Window.partitionBy(*dims).orderBy("activity_date").rowsBetween(-((rolling_window or n) - 1), 0)

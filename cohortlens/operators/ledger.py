@@ -5,6 +5,12 @@ order, in a fixed 72-column layout. Every pre-aggregate is grouped before it
 is joined (1:0..1 left joins), so no join fans out; the final UNION removes
 exact duplicates over all 72 columns, which is why money is decimal and never
 a float.
+
+What belongs to an obligation (a shipment or a factoring request) is put beside it
+once, in a stored layer: :func:`obligations`. The arms join to it what has other
+keys: relationships with both their companies (narrow, joined before), invoices.
+Their union meets the opportunities by slug, and that is also how duplicates meet:
+rows that agree in all columns have one slug, so removing them moves nothing.
 """
 
 from __future__ import annotations
@@ -138,41 +144,73 @@ def sale_opportunities(opps: DataFrame) -> DataFrame:
                     F.col("oms_transaction_id__c").alias("trade_order_id")).distinct())
 
 
+def obligation_totals(lines: DataFrame) -> DataFrame:
+    """D1a-D1d of every obligation in one aggregation of its lines
+    (:func:`~cohortlens.sources.adapters.obligation_lines`): the same values as the
+    pre-aggregates above give by themselves, under ``ob_`` names."""
+    desc, amount = F.col("fee_description"), F.col("fee_amount")
+    kept = ~desc.isin(*EXCLUDED_FEE_DESCRIPTIONS) | desc.isNull()
+    owner = {"s": "Shipment", "f": "FactoringRequest"}
+    marked = lines.withColumns({f"_desc_{k}": F.when(kept & (F.col("fee_owner") == v), desc) for k, v in owner.items()})
+    fee = lambda k, types: F.sum(F.when(kept & (F.col("fee_owner") == owner[k]) & F.col("fee_type").isin(*types), amount))
+    out = marked.groupBy("id").agg(
+        F.min("supp").alias("supp"), F.min("shipped").alias("first_ship"), F.max("shipped").alias("last_ship"),
+        *[fee(k, ADMIN_FEE_TYPES).alias(f"ob_{k}_admin_fee") for k in owner],
+        *[fee(k, APPLICATION_FEE_TYPES).alias(f"ob_{k}_application_fees") for k in owner],
+        *[F.coalesce(listagg(f"_desc_{k}", f"_desc_{k}"), F.lit("")).alias(f"_list_{k}") for k in owner],
+        F.sum("add_amount").alias("ob_add_fee"),
+        F.sum(F.when(F.col("is_item"), F.coalesce("item_accepted", "item_quantity", F.lit(0)))).alias("ob_accepted_shipment"),
+        F.sum("item_price").alias("ob_total_gmv"), F.sum("pay_amount").alias("ob_pay"),
+        F.sum(F.when(F.col("transfer_to") == "FactoringRequest", F.coalesce("transfer_amount", F.lit(0)))).alias("ob_bal"))
+    priced = lambda k: F.col(f"ob_{k}_admin_fee").isNotNull() | F.col(f"ob_{k}_application_fees").isNotNull()
+    return out.withColumns({f"ob_{k}_description": F.when(priced(k), F.col(f"_list_{k}")) for k in owner}).drop("_list_s", "_list_f")
+
+
+def obligations(t: Tables) -> DataFrame:
+    """Orders with the totals of their lines and their notes, one row per order:
+    the one stored input of relationships, shipments and factoring requests."""
+    def build():
+        totals = obligation_totals(A.obligation_lines(t))
+        note = notes_rollup(A.notes(t), A.shipment_items(t)).select(
+            F.col("id").alias("owner_id"), F.col("self_note_body").alias("ob_note_body"), F.col("noteable_type").alias("ob_note_type"))
+        o = t.orders.join(totals, F.col("o_orderkey") == F.col("id"), "left")
+        return o.join(note, F.col("o_orderkey") == F.col("owner_id"), "left").drop("id", "owner_id")
+
+    return t.shared("obligations", build)
+
+
 # -------------------------------------------------------------------------- arms
 
-def _shipment_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFrame) -> DataFrame:
-    s = A.shipments(t).where(F.col("marketplace_order_id").isNull()).alias("s")
-    r = A.relationships(t).alias("r")
+def _note(prefix: str, kind: str) -> Column:
+    return F.when(F.col(f"{prefix}.ob_note_type").like(kind), F.col(f"{prefix}.ob_note_body"))
+
+
+def _shipment_arm(t: Tables, orders: DataFrame) -> DataFrame:
+    s = A.shipments(t, orders).where(F.col("marketplace_order_id").isNull()).alias("s")
     comsh, comdist = A.companies(t).alias("comsh"), A.companies(t).alias("comdist")
-    fees = fees_p.where(F.col("feeable_type") == "Shipment").alias("fees")
-    si = shipment_totals(A.shipment_items(t)).alias("si")
-    addf = additional_fee_totals(A.additional_shipment_fees(t)).alias("addf")
-    nts = notes_r.where(F.col("noteable_type").like("Ship%")).alias("notes")
-    sp = sop.alias("sop")
     c = lambda name: F.col(name)
-    j = (s.join(r, c("r.id") == c("s.relationship_id"))
-         .join(comsh, c("comsh.id") == c("r.grower_id"))
-         .join(comdist, c("comdist.id") == c("r.distributor_id"))
-         .join(fees, c("fees.feeable_id") == c("s.id"), "left")
-         .join(si, c("si.shipment_id") == c("s.id"), "left")
-         .join(addf, c("addf.shipment_id") == c("s.id"), "left")
-         .join(nts, c("notes.id") == c("s.id"), "left")
-         .join(sp, c("sop.slug") == c("s.slug"), "left"))
-    admin_t = F.coalesce(c("fees.admin_fee"), _zero()) + F.coalesce(c("fees.application_fees"), _zero())
+    # narrow sides first: a relationship with both its companies
+    r = A.relationships(t, orders).alias("r")
+    r = (r.join(comsh, c("comsh.id") == c("r.grower_id")).join(comdist, c("comdist.id") == c("r.distributor_id"))
+         .select(c("r.id").alias("r_id"), c("r.grower_marketplace_fee_percentage").alias("r_grower_percentage"),
+                 c("r.distributor_marketplace_fee_percentage").alias("r_distributor_percentage"),
+                 *[c(f"{side}.{x}").alias(f"{side}_{x}") for side in ("comsh", "comdist") for x in ("name", "addr_state", "country")]))
+    j = s.join(r, c("r_id") == c("s.relationship_id"))
+    admin_t = F.coalesce(c("s.ob_s_admin_fee"), _zero()) + F.coalesce(c("s.ob_s_application_fees"), _zero())
     adv1 = F.coalesce(c("s.fixed_advance1"), c("s.calc_advance1"))
     adv2 = F.coalesce(c("s.fixed_advance2"), c("s.calc_advance2"))
     exprs = {
         "u_id": c("s.slug"), "trade_order_id": F.lit(""), "state": c("s.state"),
-        "name": c("s.reference_no"), "buyer_company_name": c("comdist.name"),
-        "company_name": c("comsh.name"), "receiver_company_name": F.lit(""),
+        "name": c("s.reference_no"), "buyer_company_name": c("comdist_name"),
+        "company_name": c("comsh_name"), "receiver_company_name": F.lit(""),
         "date_shipment_closed": F.to_date(c("s.closed_at")),
         "date_shipment_accepted": F.to_date(c("s.accepted_at")),
         "date_shipment_shipped": F.to_date(c("s.shipping_date")),
-        "total_gmv": c("si.total_gmv"),
+        "total_gmv": c("s.ob_total_gmv"),
         "estimated_gmv": F.coalesce(c("s.fixed_estimated_shipment_value"),
                                     c("s.calc_estimated_shipment_value"), _zero()),
-        "seller_addr_state": c("comsh.addr_state"), "dist_addr_state": c("comdist.addr_state"),
-        "shipment_id": c("s.id").cast("string"), "self_note_body": c("notes.self_note_body"),
+        "seller_addr_state": c("comsh_addr_state"), "dist_addr_state": c("comdist_addr_state"),
+        "shipment_id": c("s.id").cast("string"), "self_note_body": _note("s", "Ship%"),
         "buyer_deduction": c("s.distributor_deduction"),
         "wire_receiver": F.when(c("s.grower_receives_advance"), "grower").otherwise("distributor"),
         "payable_days1": c("s.payable_days1"),
@@ -181,9 +219,9 @@ def _shipment_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFra
                                  .otherwise(F.coalesce(adv1, _zero()) + F.coalesce(adv2, _zero())),
         "date_shipment_advanced": F.to_date(c("s.advanced1_at")),
         "seller_admin_fee_notes": F.lit(""), "buyer_admin_fee_notes": F.lit(""),
-        "admin_fee_notes": c("fees.description"), "admin_fee": c("fees.admin_fee"),
-        "admin_fee_t": admin_t, "application_fee": c("fees.application_fees"),
-        "total_admin_fees_with_additional": F.coalesce(c("addf.add_fee"), _zero()) + admin_t,
+        "admin_fee_notes": c("s.ob_s_description"), "admin_fee": c("s.ob_s_admin_fee"),
+        "admin_fee_t": admin_t, "application_fee": c("s.ob_s_application_fees"),
+        "total_admin_fees_with_additional": F.coalesce(c("s.ob_add_fee"), _zero()) + admin_t,
         "base_fee_percentage": c("s.base_servicing_fee1"),
         "total_base_fees": F.coalesce(c("s.calc_base_fee1"), _zero())
                            + F.coalesce(c("s.calc_base_fee2"), _zero()),
@@ -195,19 +233,18 @@ def _shipment_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFra
         "seller_marketplace_fee": F.coalesce(c("s.fixed_grower_marketplace_fee"),
                                              c("s.calc_grower_marketplace_fee"), _zero()),
         "seller_marketplace_fee_percentage": F.coalesce(c("s.grower_marketplace_fee_percentage"),
-                                                        c("r.grower_marketplace_fee_percentage"), _zero()),
+                                                        c("r_grower_percentage"), _zero()),
         "buyer_marketplace_fee": F.coalesce(c("s.fixed_distributor_marketplace_fee"),
                                             c("s.calc_distributor_marketplace_fee"), _zero()),
         "buyer_marketplace_fee_percentage": F.coalesce(c("s.distributor_marketplace_fee_percentage"),
-                                                       c("r.distributor_marketplace_fee_percentage"), _zero()),
+                                                       c("r_distributor_percentage"), _zero()),
         "produce_pay_fee": c("s.calc_pp_fees"),
         "collection_due_on": F.to_date(c("s.collection_due_on")),
-        "company_country": c("comsh.country"), "buyer_company_country": c("comdist.country"),
+        "company_country": c("comsh_country"), "buyer_company_country": c("comdist_country"),
         "total_late_fees": F.coalesce(c("s.calc_late_fee1"), _zero())
                            + F.coalesce(c("s.calc_late_fee2"), _zero()),
-        "slug": c("s.slug"), "total_quantity": c("si.accepted_shipment"),
+        "slug": c("s.slug"), "total_quantity": c("s.ob_accepted_shipment"),
         "date_shipment_paid_to_bank": F.to_date(c("s.settled_at")),
-        "product_type": c("sop.product_type"),
     }
     return j.select(conform({**_legacy_constants(), **exprs}))
 
@@ -226,27 +263,17 @@ def _legacy_constants() -> dict[str, Column]:
     return out
 
 
-def _factoring_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFrame) -> DataFrame:
+def _factoring_arm(t: Tables, orders: DataFrame) -> DataFrame:
     # Requests of shipments that aren't migrated, before anything is joined to them
     live = A.marketplace_orders(t).where(F.col("marketplace_order_id").isNull()).select(F.col("id").alias("_live"))
-    fr = A.factoring_requests(t)
+    fr = A.factoring_requests(t, orders)
     fr = fr.join(live, fr.shipment_id == live._live, "left_semi").alias("fr")
     fi = A.factoring_invoices(t).alias("fi")
     com = A.companies(t).alias("com")
-    fees = fees_p.where(F.col("feeable_type") == "FactoringRequest").alias("fees")
-    pay = factoring_payments(A.factoring_request_payments(t)).alias("payments")
-    bal = factoring_balance(A.asset_balance_transfers(t)).alias("balance")
-    nts = notes_r.where(F.col("noteable_type").like("Fact%")).alias("notes")
-    sp = sop.alias("sop")
     c = lambda name: F.col(name)
     j = (fr.join(fi, c("fr.id") == c("fi.factoring_request_id"))
-         .join(com, c("com.id") == c("fr.distributor_id"))
-         .join(fees, c("fees.feeable_id") == c("fr.id"), "left")
-         .join(pay, c("payments.factoring_request_id") == c("fr.id"), "left")
-         .join(bal, c("balance.to_id") == c("fr.id"), "left")
-         .join(nts, c("notes.id") == c("fr.id"), "left")
-         .join(sp, c("sop.slug") == c("fr.slug"), "left"))
-    admin_t = F.coalesce(c("fees.admin_fee"), _zero()) + F.coalesce(c("fees.application_fees"), _zero())
+         .join(com, c("com.id") == c("fr.distributor_id")))
+    admin_t = F.coalesce(c("fr.ob_f_admin_fee"), _zero()) + F.coalesce(c("fr.ob_f_application_fees"), _zero())
     exprs = {
         "u_id": c("fr.slug"), "trade_order_id": F.lit(""), "state": c("fr.state"),
         "name": c("fi.invoice_number"), "buyer_company_name": c("com.name"),
@@ -255,17 +282,17 @@ def _factoring_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFr
         "date_shipment_accepted": F.to_date(c("fr.approved_at")),
         "date_shipment_shipped": F.to_date(c("fr.created_at")),
         # NULL unless both the payments and the balance exist
-        "total_gmv": c("payments.pay") + c("balance.bal"),
+        "total_gmv": c("fr.ob_pay") + c("fr.ob_bal"),
         "estimated_gmv": c("fi.amount"),
         "seller_addr_state": F.lit(""), "dist_addr_state": c("com.addr_state"),
-        "shipment_id": c("fr.shipment_id").cast("string"), "self_note_body": c("notes.self_note_body"),
+        "shipment_id": c("fr.shipment_id").cast("string"), "self_note_body": _note("fr", "Fact%"),
         "buyer_deduction": F.lit(0), "wire_receiver": F.lit("distributor"),
         "payable_days1": c("fr.payable_days1"), "advanced_percentage": c("fr.advance2_limit_percentage"),
         "total_advance_amount": F.coalesce(c("fr.fixed_advance1"), c("fr.calc_advance1")),
         "date_shipment_advanced": F.to_date(c("fr.advanced_at")),
         "seller_admin_fee_notes": F.lit(""), "buyer_admin_fee_notes": F.lit(""),
-        "admin_fee_notes": c("fees.description"), "admin_fee": c("fees.admin_fee"),
-        "admin_fee_t": admin_t, "application_fee": c("fees.application_fees"),
+        "admin_fee_notes": c("fr.ob_f_description"), "admin_fee": c("fr.ob_f_admin_fee"),
+        "admin_fee_t": admin_t, "application_fee": c("fr.ob_f_application_fees"),
         "total_admin_fees_with_additional": admin_t, "base_fee_percentage": _zero(),
         "total_base_fees": F.coalesce(c("fr.calc_base_fee1"), _zero())
                            + F.coalesce(c("fr.calc_base_fee2"), _zero()),
@@ -279,7 +306,6 @@ def _factoring_arm(t: Tables, fees_p: DataFrame, notes_r: DataFrame, sop: DataFr
                            + F.coalesce(c("fr.calc_late_fee2"), _zero()),
         "slug": c("fr.slug"), "total_quantity": F.lit(0),
         "date_shipment_paid_to_bank": F.to_date(c("fr.settled_at")),
-        "product_type": c("sop.product_type"),
     }
     return j.select(conform({**_legacy_constants(), **exprs}))
 
@@ -301,12 +327,13 @@ def fee_ledger(t: Tables, with_second_platform: bool = True,
     ``numeric_buyer_deduction``: the later script's ``BUYER_DEDUCTION::NUMBER``
     (P17/X18), rounding the legacy rows' deduction to a whole number.
     """
-    fees_p = t.shared("fee-pivot", lambda: fee_pivot(A.fees(t)))
-    notes_r = t.shared("notes", lambda: notes_rollup(A.notes(t), A.shipment_items(t)))
-    sop = sale_opportunities(A.opportunities(t))
-    legacy = _shipment_arm(t, fees_p, notes_r, sop).union(_factoring_arm(t, fees_p, notes_r, sop))
+    orders = obligations(t)
+    legacy = _shipment_arm(t, orders).union(_factoring_arm(t, orders)).drop("product_type")
     if numeric_buyer_deduction:
         legacy = legacy.withColumn(
             "buyer_deduction", F.col("buyer_deduction").cast("decimal(38,0)").cast(MONEY))
-    out = legacy.union(_tms_arm(t)) if with_second_platform else legacy
-    return out.distinct()
+    sop = sale_opportunities(A.opportunities(t)).select(F.col("slug").alias("sop_slug"), "product_type")
+    # by slug: equal rows have equal slugs, so they are in one partition already
+    legacy = legacy.join(sop, F.col("slug") == F.col("sop_slug"), "left").select(*LEDGER_COLUMNS).distinct()
+    # the arms differ in their source, so no row is in both
+    return legacy.union(_tms_arm(t).distinct()) if with_second_platform else legacy

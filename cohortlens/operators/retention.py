@@ -4,8 +4,9 @@ The reference joins the scaffold to the account-month fact with a band
 condition (``month BETWEEN closed_month AND closed_month + n``) and finds
 churn with a left join plus NULL test. Here:
 
-* retention explodes each account-month into the n+1 months it covers and
-  equi-joins on (month, dims): a hash join instead of a nested loop;
+* retention is counted by difference events: an account-month adds to its
+  segment from its month on and takes the same away a month after its window ends,
+  whatever n is; a running sum over a segment's months gives the report;
 * churn is a ``lead`` gap test over the account's active months: an account
   churns n+1 months after an active month when its next active month is
   later than that;
@@ -19,6 +20,7 @@ calendar month), so a hot account cannot overload a task.
 from __future__ import annotations
 
 import datetime as dt
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -100,16 +102,6 @@ def _rolling_new(window: int, dims) -> Column:
     return F.sum("new_accounts").over(roll)
 
 
-def new_accounts(mg: DataFrame, scaffold: DataFrame, window: int = 12,
-                 dims: tuple[str, ...] = REPORT_DIMS) -> DataFrame:
-    """D7 (J10, W6): accounts whose first deal falls in the month, plus a
-    rolling sum over ``window`` months per segment."""
-    out = _scaffold_keys(scaffold, dims).join(_new_sparse(mg, dims), ["month_idx", *dims], "left")
-    out = out.withColumn("new_accounts", F.coalesce("new_accounts", F.lit(0)))
-    return out.select("month_idx", *dims, "new_accounts", _rolling_new(window, dims).alias("new_accounts_rolling"),
-                      F.col("new_revenue").alias("revenue"), F.col("new_gmv").alias("gmv"))
-
-
 def _covered_months(mg: DataFrame, span: tuple[dt.date, dt.date] | None) -> DataFrame:
     """Each account-month exploded into the months its retention window covers
     (clipped to the span); one output row per (account-month, covered month)."""
@@ -122,13 +114,93 @@ def _covered_months(mg: DataFrame, span: tuple[dt.date, dt.date] | None) -> Data
         F.greatest("closed_month", lo_c), F.least("ret_date_max", hi_c), one_month())))
 
 
-def _retained_sparse(mg: DataFrame, dims, start: dt.date | None, as_of: dt.date | None) -> DataFrame:
-    cov = _covered_months(mg, calendar_span(mg, start, as_of))
-    per_account = (cov.groupBy("month_idx", *dims, "account_id")
-                   .agg(F.sum("revenue").alias("revenue"), F.sum("gmv").alias("gmv")))
-    return (per_account.groupBy("month_idx", *dims)
-            .agg(F.count(F.lit(1)).alias("retained_accounts"), F.sum("revenue").alias("ret_revenue"),
-                 F.sum("gmv").alias("ret_gmv")))
+def gaps(mg: DataFrame, dims: Sequence[str] = REPORT_DIMS) -> DataFrame:
+    """Account-months with the account's active month before and after."""
+    w = Window.partitionBy("account_id", *dims).orderBy("closed_month")
+    return mg.where(F.col("closed_month").isNotNull()).withColumns({
+        "prev_churn": F.lag("churn_date").over(w), "next_month": F.lead("closed_month").over(w)})
+
+
+def churn_candidates(mg: DataFrame, dims: tuple[str, ...] = REPORT_DIMS) -> DataFrame:
+    """Account-months with their churn month and whether the account is still
+    inactive then (J14/J15 as a ``lead`` gap test)."""
+    return gaps(mg, dims).drop("prev_churn").withColumn("is_churn", _lapsed())
+
+
+def _lapsed() -> Column:
+    return F.col("next_month").isNull() | (F.col("next_month") > F.col("churn_date"))
+
+
+#: Changes of a segment in a month, whose running sums hold in the months after it:
+#: accounts, money, and how many values the money is made of (none: NULL).
+CHANGES = ("d_accounts", "d_revenue", "d_gmv", "d_revenues", "d_gmvs")
+
+
+def difference_events(mg: DataFrame, dims: Sequence[str] = REPORT_DIMS) -> DataFrame:
+    """Two events per account-month, whatever its window: one in its month, one in
+    the month after the window. Per (month, dims):
+
+    * the changes of what is retained. An account counts from its month on unless an
+      earlier window still reaches it, and until a window ends with no month in it;
+      its lifetime value counts once per active month inside the window;
+    * the accounts that are new, and those due and lapsed (churned)."""
+    rev, gmv = F.col("revenue"), F.col("gmv")
+
+    def event(month, accounts, sign, new, due):
+        nothing = F.lit(None)
+        lapsed = due & _lapsed()
+        zero = lambda v: F.coalesce(v, F.lit(0)) * F.lit(sign)
+        return F.struct(
+            month.alias("month_idx"), accounts.cast("bigint").alias("d_accounts"), zero(rev).alias("d_revenue"), zero(gmv).alias("d_gmv"),
+            (rev.isNotNull().cast("int") * sign).alias("d_revenues"), (gmv.isNotNull().cast("int") * sign).alias("d_gmvs"),
+            new.cast("int").alias("is_new"), F.when(new, rev).otherwise(nothing).alias("new_rev"), F.when(new, gmv).otherwise(nothing).alias("new_gmv"),
+            lapsed.cast("int").alias("lapsed"), (due & ~_lapsed()).cast("int").alias("kept"),
+            F.when(lapsed, rev).otherwise(nothing).alias("lost_rev"), F.when(lapsed, gmv).otherwise(nothing).alias("lost_gmv"))
+
+    first = F.coalesce(F.col("min_account_closedate_row") == 1, F.lit(False))
+    begins = F.col("prev_churn").isNull() | (F.col("prev_churn") < F.col("closed_month"))
+    events = gaps(mg, dims).select(*dims, F.explode(F.array(
+        event(F.col("closed_month"), begins.cast("int"), 1, first, F.lit(False)),
+        event(F.col("churn_date"), -_lapsed().cast("int"), -1, F.lit(False), F.lit(True)))).alias("e")).select(*dims, "e.*")
+    return events.groupBy("month_idx", *dims).agg(
+        *[F.sum(c).alias(c) for c in CHANGES],
+        F.sum("is_new").alias("new_accounts"), F.sum("new_rev").alias("new_revenue"), F.sum("new_gmv").alias("new_gmv"),
+        F.sum("lapsed").alias("churned_accounts"), F.sum("kept").alias("_kept"), F.sum("lost_rev").alias("_rev"), F.sum("lost_gmv").alias("_gmv"))
+
+
+def _over_months(mg: DataFrame, scaffold: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Every scaffold row with its month's events and the running sums up to it."""
+    keys = ["month_idx", *dims]
+    asked = _scaffold_keys(scaffold, dims).withColumn("_asked", F.lit(True))
+    # months with events that the scaffold lacks (before its first) still count
+    rows = asked.join(difference_events(mg, dims), keys, "full")
+    so_far = Window.partitionBy(*dims).orderBy("month_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = lambda c: F.coalesce(F.sum(c).over(so_far), F.lit(0))
+    rows = rows.withColumns({
+        "retained_accounts": total("d_accounts"),
+        "ret_revenue": F.when(total("d_revenues") > 0, F.sum("d_revenue").over(so_far)),
+        "ret_gmv": F.when(total("d_gmvs") > 0, F.sum("d_gmv").over(so_far))})
+    return rows.where("_asked").drop("_asked", *CHANGES)
+
+
+def _within(measure: str, start: dt.date | None, as_of: dt.date | None) -> Column:
+    """The measure in the months from ``start`` to ``as_of`` (where given), else NULL."""
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (F.col("month_idx") >= date_lit(_month(start)))
+    if as_of is not None:
+        inside = inside & (F.col("month_idx") <= date_lit(_month(as_of)))
+    return F.when(inside, F.col(measure))
+
+
+def new_accounts(mg: DataFrame, scaffold: DataFrame, window: int = 12,
+                 dims: tuple[str, ...] = REPORT_DIMS) -> DataFrame:
+    """D7 (J10, W6): accounts whose first deal falls in the month, plus a
+    rolling sum over ``window`` months per segment."""
+    out = _scaffold_keys(scaffold, dims).join(_new_sparse(mg, dims), ["month_idx", *dims], "left")
+    out = out.withColumn("new_accounts", F.coalesce("new_accounts", F.lit(0)))
+    return out.select("month_idx", *dims, "new_accounts", _rolling_new(window, dims).alias("new_accounts_rolling"),
+                      F.col("new_revenue").alias("revenue"), F.col("new_gmv").alias("gmv"))
 
 
 def retained(mg: DataFrame, scaffold: DataFrame, dims: tuple[str, ...] = REPORT_DIMS,
@@ -136,20 +208,12 @@ def retained(mg: DataFrame, scaffold: DataFrame, dims: tuple[str, ...] = REPORT_
     """D8 (J11): accounts active within the window ending in the month.
 
     Money follows the SQL report: an account's lifetime value is added once
-    per active month inside the window (``money_mode="per_activity"``).
+    per active month inside the window (``money_mode="per_activity"``). Months
+    outside ``start`` and ``as_of`` have no retained accounts.
     """
-    out = _scaffold_keys(scaffold, dims).join(_retained_sparse(mg, dims, start, as_of),
-                                              ["month_idx", *dims], "left")
-    return out.select("month_idx", *dims, F.coalesce("retained_accounts", F.lit(0)).alias("retained_accounts"),
-                      F.col("ret_revenue").alias("revenue"), F.col("ret_gmv").alias("gmv"))
-
-
-def churn_candidates(mg: DataFrame, dims: tuple[str, ...] = REPORT_DIMS) -> DataFrame:
-    """Account-months with their churn month and whether the account is still
-    inactive then (J14/J15 as a ``lead`` gap test)."""
-    w = Window.partitionBy("account_id", *dims).orderBy("closed_month")
-    c = mg.where(F.col("closed_month").isNotNull()).withColumn("next_month", F.lead("closed_month").over(w))
-    return c.withColumn("is_churn", F.col("next_month").isNull() | (F.col("next_month") > F.col("churn_date")))
+    return _over_months(mg, scaffold, dims).select(
+        "month_idx", *dims, F.coalesce(_within("retained_accounts", start, as_of), F.lit(0)).alias("retained_accounts"),
+        _within("ret_revenue", start, as_of).alias("revenue"), _within("ret_gmv", start, as_of).alias("gmv"))
 
 
 def _churned_sparse(mg: DataFrame, dims) -> DataFrame:
@@ -185,20 +249,18 @@ def churn_report(mg: DataFrame, scaffold: DataFrame, window: int = 12,
     """D10 (J16): new, rolling new, churned and retained-without-new accounts,
     revenue and GMV per month and segment.
 
-    The three measures are computed sparse (only months with activity), merged
-    with one aggregation and joined to the dense scaffold once, instead of
-    three scaffold joins and two joins between them. The reference's inner
-    joins drop keys with a NULL part (accounts without a dated deal); so does
-    this.
+    One pass over the account-months gives the events of all three measures, one
+    aggregation their totals per month and segment, and one join puts them on the
+    dense scaffold, whose order the running and the rolling sum share. The
+    reference's inner joins drop keys with a NULL part (accounts without a dated
+    deal); so does this.
     """
     keys = ["month_idx", *dims]
-    parts = [_new_sparse(mg, dims), _retained_sparse(mg, dims, start, as_of), _churned_sparse(mg, dims)]
-    merged = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
-    merged = merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in merged.columns if c not in keys])
-    kd = _scaffold_keys(scaffold, dims)
+    whole = scaffold
     for d in keys:
-        kd = kd.where(F.col(d).isNotNull())
-    m = kd.join(merged, keys, "left").withColumn("new_accounts", F.coalesce("new_accounts", F.lit(0)))
+        whole = whole.where(F.col(d).isNotNull())
+    m = _over_months(mg, whole, dims).withColumn("new_accounts", F.coalesce("new_accounts", F.lit(0)))
+    m = m.withColumns({c: _within(c, start, as_of) for c in ("retained_accounts", "ret_revenue", "ret_gmv")})
     nvl0 = lambda x: F.coalesce(F.col(x), F.lit(0))
     return m.select(
         F.col("month_idx").alias("closed_month"), *dims, "new_accounts",
@@ -251,25 +313,19 @@ def global_churn_v1(t: Tables, n: int = 12, window: int = 12, start: dt.date | N
     start, as_of = start or seen[0], as_of or seen[1]
     # the rolling sum sees every observed month, whichever of them are reported
     months = calendar_months(t.spark, (min(start, seen[0]), max(as_of, seen[1]))).select("month_idx")
-    w = Window.partitionBy("account_id").orderBy("closed_month")
-    am = acct_month.withColumns({"next_month": F.lead("closed_month").over(w),
-                                 "first_month": F.min("closed_month").over(Window.partitionBy("account_id"))})
-    hi = date_lit(_month(max(as_of, seen[1])))
-    # retention intervals cut at the next active month never overlap: count(*) = count(distinct)
-    end = F.least(F.add_months("closed_month", n), F.add_months("next_month", -1), hi)
-    churn_m = F.add_months("closed_month", n + 1)
-    cells = am.select(F.explode(F.concat(
-        F.transform(F.sequence("closed_month", end, one_month()),
-                    lambda x: F.struct(x.alias("m"), F.lit(1).alias("r"), F.lit(0).alias("c"),
-                                       (x == F.col("first_month")).cast("int").alias("nw"))),
-        F.filter(F.array(F.struct(churn_m.alias("m"), F.lit(0).alias("r"), F.lit(1).alias("c"),
-                                  F.lit(0).alias("nw"))),
-                 lambda s: F.col("next_month").isNull() | (F.col("next_month") > churn_m)),
-    )).alias("cell")).select("cell.*")
-    agg = cells.groupBy(F.col("m").alias("month_idx")).agg(
-        F.sum("r").alias("retained"), F.sum("c").alias("churned"), F.sum("nw").alias("new"))
+    one = acct_month.withColumn("churn_date", F.add_months("closed_month", n + 1))
+    event = lambda month, change, churned, new: F.struct(
+        month.alias("month_idx"), change.cast("int").alias("change"), churned.cast("int").alias("churned"), new.cast("int").alias("new"))
+    begins = F.col("prev_churn").isNull() | (F.col("prev_churn") < F.col("closed_month"))
+    # no active month before it: the account's first; a window that lapses takes the account out
+    events = gaps(one, ()).withColumn("earlier", F.col("prev_churn").isNotNull()).select(F.explode(F.array(
+        event(F.col("closed_month"), begins, F.lit(0), ~F.col("earlier")),
+        event(F.col("churn_date"), -_lapsed().cast("int"), _lapsed(), F.lit(0)))).alias("e")).select("e.*")
+    agg = events.groupBy("month_idx").agg(*[F.sum(c).alias(c) for c in ("change", "churned", "new")])
     out = months.join(agg, "month_idx", "left").select(
-        "month_idx", *[F.coalesce(x, F.lit(0)).cast("bigint").alias(x) for x in ("retained", "churned", "new")])
+        "month_idx", *[F.coalesce(x, F.lit(0)).cast("bigint").alias(x) for x in ("change", "churned", "new")])
+    so_far = Window.orderBy("month_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = out.withColumn("retained", F.sum("change").over(so_far))
     # One series of calendar months (bounded), a single ordered window is fine
     roll = Window.orderBy("month_idx").rowsBetween(-(window - 1), 0)
     out = out.withColumn("new_rolling", F.sum("new").over(roll))

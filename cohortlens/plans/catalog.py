@@ -37,8 +37,9 @@ class Layers:
     ``rebuild`` (or the setting ``spark.cohortlens.rebuild``) builds them anew."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, rebuild: bool | None = None):
-        self.spark, self.t = spark, Tables(spark, sf_dir)
+        self.spark = spark
         self.store = LayerStore(spark, sf_dir, INPUT_TABLES, rebuild)
+        self.t = Tables(spark, sf_dir, share=self.store.get)
 
     @property
     def ledger(self) -> DataFrame:
@@ -56,6 +57,11 @@ class Layers:
     def scaffold(self) -> DataFrame:
         return self.store.get("dim_scaffold", lambda: retention.dim_scaffold(self.base))
 
+    @property
+    def activity(self) -> DataFrame:
+        """Account-months with every cube dimension: what D14-D19 and D25 read of the deals."""
+        return self.store.get("activity", lambda: cube.activity_layer(self.base))
+
     def mg(self, n: int = 12) -> DataFrame:
         # one row per account-month: small, and read three times by the churn report
         return self.store.get(f"account_month_n{n}", lambda: retention.account_months(self.base, n))
@@ -86,9 +92,9 @@ QUERIES: dict[str, Query] = {
     "d01b_shipment_totals": lambda s, d: edge(ledger.shipment_totals(A.shipment_items(_t(s, d)))),
     "d01c_notes_rollup": lambda s, d: ledger.notes_rollup(A.notes(_t(s, d)), A.shipment_items(_t(s, d))),
     "d01d_factoring_gmv": lambda s, d: edge(ledger.factoring_gmv(
-        A.factoring_requests(_t(s, d)), A.factoring_request_payments(_t(s, d)),
+        A.factoring_request_ids(_t(s, d)), A.factoring_request_payments(_t(s, d)),
         A.asset_balance_transfers(_t(s, d)))),
-    "d01_fee_ledger": lambda s, d: edge(ledger.fee_ledger(_t(s, d))),
+    "d01_fee_ledger": lambda s, d: edge(ledger.fee_ledger(Layers(s, d).t)),
     "d01e_fee_ledger_whole_deduction": lambda s, d: edge(Layers(s, d).ledger_v2),
     # Deal fact
     "d02_deal_fact": lambda s, d: edge(deals.deal_fact(_t(s, d), Layers(s, d).ledger)),
@@ -110,18 +116,18 @@ QUERIES: dict[str, Query] = {
     "d13_products_per_year": lambda s, d: retention.products_per_year(Layers(s, d).base),
     "d13b_products_per_closed_year": lambda s, d: retention.products_per_closed_year(Layers(s, d).base),
     # Notebook path
-    "d14_monthly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=12, grain="month")),
-    "d14c_monthly_kpi_cube_6": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=6, grain="month")),
-    "d14b_monthly_kpi_cube_sql_money": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=12, grain="month",
+    "d14_monthly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).activity, n=12, grain="month")),
+    "d14c_monthly_kpi_cube_6": lambda s, d: edge(cube.kpi_cube(Layers(s, d).activity, n=6, grain="month")),
+    "d14b_monthly_kpi_cube_sql_money": lambda s, d: edge(cube.kpi_cube(Layers(s, d).activity, n=12, grain="month",
                                                                        money_mode="per_activity")),
-    "d15_yearly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).base, n=6, grain="year")),
-    "d16_yearly_retained_by_dim": lambda s, d: cube.yearly_retained_by_dim(Layers(s, d).base, n=6),
-    "d17_yearly_retained_by_label": lambda s, d: cube.yearly_retained_by_label(Layers(s, d).base, n=6),
-    "d17b_yearly_retained_by_label_12": lambda s, d: cube.yearly_retained_by_label(Layers(s, d).base, n=12),
-    "d18_cohort_table": lambda s, d: cube.cohort_table(Layers(s, d).base, n=6),
-    "d19_churn_rate": lambda s, d: cube.churn_rate(cube.kpi_cube(Layers(s, d).base, n=12, grain="month")),
+    "d15_yearly_kpi_cube": lambda s, d: edge(cube.kpi_cube(Layers(s, d).activity, n=6, grain="year")),
+    "d16_yearly_retained_by_dim": lambda s, d: cube.yearly_retained_by_dim(Layers(s, d).activity, n=6),
+    "d17_yearly_retained_by_label": lambda s, d: cube.yearly_retained_by_label(Layers(s, d).activity, n=6),
+    "d17b_yearly_retained_by_label_12": lambda s, d: cube.yearly_retained_by_label(Layers(s, d).activity, n=12),
+    "d18_cohort_table": lambda s, d: cube.cohort_table(Layers(s, d).activity, n=6),
+    "d19_churn_rate": lambda s, d: cube.churn_rate(cube.kpi_cube(Layers(s, d).activity, n=12, grain="month")),
     "d25_yearly_retained_ps_indicator": lambda s, d: cube.yearly_retained_by(
-        Layers(s, d).base, ["ps_indicator", "cohort_ym"], n=6,
+        Layers(s, d).activity, ["ps_indicator", "cohort_ym"], n=6,
         dims=["account_class", "ps_indicator", "cohort_ym", "country"]),
     # D20-D23
     "d20_return_interval": lambda s, d: intervals.return_interval_stats(Layers(s, d).base),

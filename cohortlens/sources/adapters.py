@@ -204,20 +204,53 @@ def asset_balance_transfers(t: Tables) -> DataFrame:
     )
 
 
-def _order_lines(t: Tables) -> DataFrame:
-    """Per-order line summary: supplier of the relationship and ship dates."""
-    return t.shared("order-lines", lambda: (t.lineitem.groupBy("l_orderkey")
-            .agg(F.min("l_suppkey").alias("supp"), F.min("l_shipdate").alias("first_ship"),
-                 F.max("l_shipdate").alias("last_ship"))))
+def obligation_lines(t: Tables) -> DataFrame:
+    """Lines of shipments and factoring requests, with what the fee, additional fee,
+    item, payment and transfer inputs above have for each (NULL where they have no
+    row), and the line's supplier and ship date.
+
+    Those inputs share their key, the obligation's id, and come from one table here:
+    one scan and one shuffle by the key serve them all."""
+    l = t.lineitem
+    ln, rf, odd = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linenumber") % 2 == 1
+    price, qty = _dec("l_extendedprice"), F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(_dec("l_quantity"))
+    return l.select(
+        F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("supp"), F.col("l_shipdate").alias("shipped"),
+        F.when(odd, "Shipment").otherwise("FactoringRequest").alias("fee_owner"),
+        F.when(rf == "A", F.when(odd, "AdminFee").otherwise("FactoringRequestAdminFee"))
+         .when(rf == "R", F.when(odd, "ApplicationFee").otherwise("FactoringRequestApplicationFee"))
+         .otherwise("Other").alias("fee_type"),
+        (price * _dec("l_tax")).cast(FEE_MONEY).alias("fee_amount"),
+        F.when(F.col("l_linestatus") == "F", F.lit(None)).when(ln == 3, F.lit("starting_balance"))
+         .when(ln == 5, F.lit("Preseason Fee")).otherwise(rf).alias("fee_description"),
+        F.when((rf == "A") & (ln <= 2), (price * _dec("l_discount")).cast(FEE_MONEY)).alias("add_amount"),
+        F.lit(True).alias("is_item"), qty.alias("item_quantity"),
+        F.when(rf == "R", F.lit(None)).otherwise(qty).alias("item_accepted"), price.alias("item_price"),
+        F.when(rf == "R", price).alias("pay_amount"),
+        F.when(rf == "N", F.when(ln % 2 == 0, "FactoringRequest").otherwise("Shipment")).alias("transfer_to"),
+        F.when((rf == "N") & (ln != 4), _dec("l_quantity")).alias("transfer_amount"))
+
+
+def order_summaries(t: Tables) -> DataFrame:
+    """Orders with the supplier and the ship dates of their lines (NULL without lines)."""
+    lines = t.lineitem.groupBy("l_orderkey").agg(
+        F.min("l_suppkey").alias("supp"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    return t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+
+
+def _carried(orders: DataFrame) -> list[str]:
+    """Totals of an order that go along with what is derived of it."""
+    return [c for c in orders.columns if c.startswith("ob_")]
 
 
 def _relationship_id(cust: Column, supp: Column) -> Column:
     return F.concat(F.lit("R"), cust.cast("string"), F.lit("-"), supp.cast("string"))
 
 
-def relationships(t: Tables) -> DataFrame:
-    o = t.orders.join(_order_lines(t), F.col("o_orderkey") == F.col("l_orderkey"))
-    pairs = o.select(F.col("o_custkey").alias("cust"), F.col("supp")).distinct()
+def relationships(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """Buyers and suppliers with a common order. ``orders``: stored :func:`order_summaries`."""
+    o = order_summaries(t) if orders is None else orders
+    pairs = o.where(F.col("supp").isNotNull()).select(F.col("o_custkey").alias("cust"), F.col("supp")).distinct()
     return pairs.select(
         _relationship_id(F.col("cust"), F.col("supp")).alias("id"),
         (F.lit(SUPPLIER_ID_OFFSET) + F.col("supp")).alias("grower_id"),
@@ -248,8 +281,10 @@ def marketplace_orders(t: Tables) -> DataFrame:
     return t.orders.select(k.alias("id"), F.when(k % 5 == 0, k).alias("marketplace_order_id"))
 
 
-def shipments(t: Tables) -> DataFrame:
-    o = t.orders.join(_order_lines(t), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+def shipments(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """One shipment per order. ``orders``: stored :func:`order_summaries`, whose
+    totals (``ob_``) go along."""
+    o = order_summaries(t) if orders is None else orders
     k, status, p = F.col("o_orderkey"), F.col("o_orderstatus"), _dec("o_totalprice")
     fin = status == "F"
     return o.select(
@@ -289,12 +324,17 @@ def shipments(t: Tables) -> DataFrame:
         (p * _rate(0.03, 2)).alias("calc_pp_fees"),
         F.when(fin, p * _rate(0.004)).alias("calc_late_fee1"),
         F.when(k % 7 == 0, p * _rate(0.002)).alias("calc_late_fee2"),
+        *_carried(o),
     )
 
 
-def factoring_requests(t: Tables) -> DataFrame:
-    o = t.orders.where(F.col("o_orderkey") % 2 == 0) \
-        .join(_order_lines(t), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+def factoring_request_ids(t: Tables) -> DataFrame:
+    return t.orders.where(F.col("o_orderkey") % 2 == 0).select(F.col("o_orderkey").alias("id"))
+
+
+def factoring_requests(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """Requests for even orders. ``orders`` as in :func:`shipments`."""
+    o = (order_summaries(t) if orders is None else orders).where(F.col("o_orderkey") % 2 == 0)
     k, status, p = F.col("o_orderkey"), F.col("o_orderstatus"), _dec("o_totalprice")
     fin = status == "F"
     return o.select(
@@ -317,6 +357,7 @@ def factoring_requests(t: Tables) -> DataFrame:
         F.when(k % 3 == 1, p * _rate(0.005)).alias("calc_base_fee2"),
         F.when(fin, p * _rate(0.003)).alias("calc_late_fee1"),
         F.when(k % 7 == 0, p * _rate(0.001)).alias("calc_late_fee2"),
+        *_carried(o),
     )
 
 

@@ -33,8 +33,9 @@ def test_label_rollup_counts_each_label(spark):
 import pytest
 
 
+@pytest.mark.parametrize("range_rows", [40, 700, deals.RANGE_ROWS])
 @pytest.mark.parametrize("ids", ["numbers", "sparse", "same_prefix", "nulls"])
-def test_account_windows_match_plain_windows(spark, ids):
+def test_account_windows_match_plain_windows(spark, ids, range_rows):
     """Ranges equal one window over each account, including a hot account holding
     most rows, whatever its ids look like."""
     rows = [(1 if i % 10 else 2 + i % 3, i, (i * 7919) % 50 if i % 13 else None, f"p{i % 5}") for i in range(3000)]
@@ -45,7 +46,7 @@ def test_account_windows_match_plain_windows(spark, ids):
         "numbers": number, "sparse": number * 10**12, "same_prefix": F.concat(F.lit("a long common prefix "), F.lpad(number.cast("string"), 5, "0")),
         "nulls": F.when(number != 77, number)}[ids])
     got = deals.account_windows(df, "acct", "day", ["id"], firsts={"fl": "label", "fd": "day"},
-                                lasts={"ll": "label"}, maxes={"mx": F.col("d")}, sums={"sd": "d"}, row_number="rn")
+                                lasts={"ll": "label"}, maxes={"mx": F.col("d")}, sums={"sd": "d"}, row_number="rn", range_rows=range_rows)
     w = Window.partitionBy("acct").orderBy(F.col("day").asc_nulls_last(), F.col("id").asc_nulls_first())
     wf = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     want = df.select("acct", "id", F.row_number().over(w).alias("rn"), F.first("label").over(wf).alias("fl"),
