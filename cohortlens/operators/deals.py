@@ -4,7 +4,7 @@ Account-level window values (row number, first/last value, lifetime sums) are
 computed without a window over a whole account: an account may hold a third
 of all deals. The narrow sort keys and window inputs are stored once. Accounts with
 more than ``RANGE_ROWS`` of them are split into ranges of the sort order, whose
-bounds come from a sample of the keys; a row's range is an expression over its
+bounds come from a sample of the keys (:mod:`.ranges`); a row's range is an expression over its
 own key. First, last, maximum and sum are aggregates per (account, range); the row
 number is the account's rows in earlier ranges plus the rank within the range.
 The wide rows move once, to their range, and are never written in between.
@@ -23,13 +23,13 @@ from ..sources import adapters as A
 from ..sources.scratch import stored
 from ..sources.tables import Tables
 from .ledger import fee_ledger
+from .ranges import ORDER as _ORDER
+from .ranges import RANGE as _PART
+from .ranges import RANGE_ROWS, range_bounds, with_range
 
 NULLS_LAST_DAY = dt.date(9999, 12, 31)   # sort key that puts NULL dates last
-_DKEY, _ORDER, _PART = "_day_key", "_order", "_range"
+_DKEY = "_day_key"
 MONEY = "decimal(26,6)"                  # deal-level money: report sums may exceed 10^12
-#: Rows of an account beyond which it is split, ranges it is split into at most,
-#: and keys sampled for each bound (some 16,000 keys an account at most).
-RANGE_ROWS, MOST_RANGES, SAMPLED = 1_000_000, 512, 32
 
 
 def qualified(opps: DataFrame) -> DataFrame:
@@ -59,11 +59,11 @@ def account_windows(df: DataFrame, account: str, date: str, tie: list[str],
     order = [F.col(_DKEY), *[F.col(c).asc_nulls_first() for c in tie]]
     keyed = df.withColumn(_DKEY, F.coalesce(F.col(date), F.lit(NULLS_LAST_DAY))).withColumn(_ORDER, F.struct(_DKEY, *tie))
     given = {f"_in_{c}": F.col(c) for c in dict.fromkeys([*firsts.values(), *lasts.values(), *sums.values()])}
-    narrow = stored(keyed.select(F.col(account).alias("_account"), _ORDER, *[e.alias(k) for k, e in given.items()],
+    narrow = stored(keyed.select(F.col(account).alias("_of"), _ORDER, *[e.alias(k) for k, e in given.items()],
                                  *[e.alias(f"_in_max_{k}") for k, e in maxes.items()]), "account-keys")
     bounds = range_bounds(narrow, range_rows)
-    narrow = _with_range(narrow, "_account", bounds)
-    per_range = narrow.groupBy("_account", _PART).agg(
+    narrow = with_range(narrow, "_of", bounds)
+    per_range = narrow.groupBy("_of", _PART).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.struct(F.col(_ORDER).alias("o"), *[F.col(f"_in_{c}").alias(f"f{i}") for i, c in enumerate(firsts.values())])).alias("_first"),
         F.max(F.struct(F.col(_ORDER).alias("o"), *[F.col(f"_in_{c}").alias(f"l{i}") for i, c in enumerate(lasts.values())])).alias("_last"),
@@ -71,10 +71,10 @@ def account_windows(df: DataFrame, account: str, date: str, tie: list[str],
         *[F.sum(f"_in_{c}").alias(f"_sum_{k}") for k, c in sums.items()],
     )
     # one row per account and range: at most MOST_RANGES + 1 of an account
-    whole = Window.partitionBy("_account")
+    whole = Window.partitionBy("_of")
     before = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     ranges = per_range.select(
-        F.struct(F.col("_account"), F.col(_PART)).alias("_of"),
+        F.struct(F.col("_of"), F.col(_PART)).alias("_to"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         *[F.min("_first").over(whole)[f"f{i}"].alias(k) for i, k in enumerate(firsts)],
         *[F.max("_last").over(whole)[f"l{i}"].alias(k) for i, k in enumerate(lasts)],
@@ -82,39 +82,11 @@ def account_windows(df: DataFrame, account: str, date: str, tie: list[str],
         *[F.sum(f"_sum_{k}").over(whole).alias(k) for k in sums],
     )
     # one struct as key: its parts may be NULL, and rank and join need the same shuffle
-    rows = _with_range(keyed, account, bounds).withColumn("_at", F.struct(F.col(account).alias("_account"), F.col(_PART)))
+    rows = with_range(keyed, account, bounds).withColumn("_at", F.struct(F.col(account).alias("_of"), F.col(_PART)))
     rank = F.row_number().over(Window.partitionBy("_at").orderBy(*order))
-    out = rows.withColumn("_rank", rank).join(ranges, F.col("_at") == F.col("_of"))
+    out = rows.withColumn("_rank", rank).join(ranges, F.col("_at") == F.col("_to"))
     return (out.withColumn(row_number, F.col("_offset") + F.col("_rank"))
-            .drop(_DKEY, _ORDER, _PART, "_at", "_of", "_offset", "_rank"))
-
-
-def range_bounds(narrow: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame | None:
-    """``_of, _bounds``: ascending sort keys that cut the accounts with more than
-    ``range_rows`` rows into ranges of about as many, or into MOST_RANGES; None
-    without such accounts. Bounds only deal out rows: any would give the same result."""
-    hot = narrow.groupBy("_account").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > range_rows)
-    hot = stored(hot, "hot-accounts").select(F.struct("_account").alias("_of"), "_n",
-                                             F.least(F.ceil(F.col("_n") / range_rows), F.lit(MOST_RANGES)).alias("_ranges"))
-    if hot.isEmpty():
-        return None
-    share = F.least(F.lit(1.0), F.col("_ranges") * SAMPLED / F.col("_n"))
-    drawn = F.pmod(F.xxhash64(_ORDER), F.lit(1 << 30)) < share * (1 << 30)
-    sample = narrow.withColumn("_key", F.struct("_account")).join(hot, F.col("_key") == F.col("_of")).where(drawn)
-    # an account's sample is bounded; keys that many rows share are drawn together, once
-    keys = sample.select("_of", "_ranges", _ORDER).distinct().groupBy("_of").agg(
-        F.first("_ranges").alias("_ranges"), F.sort_array(F.collect_list(_ORDER)).alias("_keys"))
-    step = F.greatest(F.lit(1), F.floor(F.size("_keys") / F.col("_ranges")))
-    return stored(keys.select("_of", F.filter("_keys", lambda _, i: (i > 0) & (i % step == 0)).alias("_bounds")), "range-bounds")
-
-
-def _with_range(rows: DataFrame, account: str, bounds: DataFrame | None) -> DataFrame:
-    """The rows with the number of the range that their sort key lies in."""
-    if bounds is None:
-        return rows.withColumn(_PART, F.lit(0))
-    joined = rows.withColumn("_key", F.struct(F.col(account).alias("_account"))).join(bounds, F.col("_key") == F.col("_of"), "left")
-    part = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col(_ORDER))), F.lit(0))
-    return joined.withColumn(_PART, F.when(F.col("_bounds").isNull(), 0).otherwise(part)).drop("_key", "_of", "_bounds")
+            .drop(_DKEY, _ORDER, _PART, "_at", "_to", "_offset", "_rank"))
 
 
 def _ledger_for_deals(ledger: DataFrame) -> DataFrame:

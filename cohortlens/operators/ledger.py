@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import listagg, trunc_toward_zero
 from ..sources import adapters as A
 from ..sources.tables import Tables
+from .ranges import RANGE_ROWS, ordered_strings
 
 # Fixed values of the reference.
 ADMIN_FEE_TYPES = ("AdminFee", "FactoringRequestAdminFee")
@@ -99,23 +100,21 @@ def shipment_totals(items: DataFrame) -> DataFrame:
         F.sum("total_sale_price").alias("total_gmv"))
 
 
-def notes_rollup(notes: DataFrame, items: DataFrame) -> DataFrame:
-    """Note bodies per owner; a note names a factoring request directly or a
-    shipment through one of its items.
+def notes_rollup(notes: DataFrame, items: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Note bodies per owner, by note id; a note names a factoring request
+    directly or a shipment through one of its items.
 
     Notes without an owner id (neither kind) form no group: no ledger row can
-    join them, and grouping them would put every such note into one string.
-    """
+    join them, and grouping them would put every such note into one string. An
+    owner with very many notes is put together from ranges of them."""
     # an item belongs to one shipment; a repeated item row doesn't repeat its notes
     n, si = notes.alias("n"), items.select("id", "shipment_id").distinct().alias("si")
     owner = (F.when(F.col("n.noteable_type").like("Fact%"), F.col("n.noteable_id"))
              .when(F.col("n.noteable_type").like("Ship%"), F.col("si.shipment_id")))
     joined = n.join(si, F.col("n.noteable_id") == F.col("si.id"), "left").select(
         owner.alias("id"), F.col("n.note_id").alias("note_id"),
-        F.col("n.body").alias("body"), F.col("n.noteable_type").alias("noteable_type"))
-    return (joined.where(F.col("id").isNotNull()).groupBy("id")
-            .agg(listagg("body", "note_id").alias("self_note_body"),
-                 listagg("noteable_type", "note_id").alias("noteable_type")))
+        F.col("n.body").alias("self_note_body"), F.col("n.noteable_type").alias("noteable_type"))
+    return ordered_strings(joined.where(F.col("id").isNotNull()), "id", ["note_id"], ["self_note_body", "noteable_type"], range_rows=range_rows)
 
 
 def factoring_payments(payments: DataFrame) -> DataFrame:
@@ -166,17 +165,18 @@ def obligation_totals(lines: DataFrame) -> DataFrame:
     return out.withColumns({f"ob_{k}_description": F.when(priced(k), F.col(f"_list_{k}")) for k in owner}).drop("_list_s", "_list_f")
 
 
+def build_obligations(t: Tables) -> DataFrame:
+    """Orders with the totals of their lines and their notes, one row per order."""
+    totals = obligation_totals(A.obligation_lines(t))
+    note = notes_rollup(A.notes(t), A.shipment_items(t)).select(
+        F.col("id").alias("owner_id"), F.col("self_note_body").alias("ob_note_body"), F.col("noteable_type").alias("ob_note_type"))
+    o = t.orders.join(totals, F.col("o_orderkey") == F.col("id"), "left")
+    return o.join(note, F.col("o_orderkey") == F.col("owner_id"), "left").drop("id", "owner_id")
+
+
 def obligations(t: Tables) -> DataFrame:
-    """Orders with the totals of their lines and their notes, one row per order:
-    the one stored input of relationships, shipments and factoring requests."""
-    def build():
-        totals = obligation_totals(A.obligation_lines(t))
-        note = notes_rollup(A.notes(t), A.shipment_items(t)).select(
-            F.col("id").alias("owner_id"), F.col("self_note_body").alias("ob_note_body"), F.col("noteable_type").alias("ob_note_type"))
-        o = t.orders.join(totals, F.col("o_orderkey") == F.col("id"), "left")
-        return o.join(note, F.col("o_orderkey") == F.col("owner_id"), "left").drop("id", "owner_id")
-
-    return t.shared("obligations", build)
+    """The one stored input of relationships, shipments and factoring requests."""
+    return t.shared("obligations", lambda: build_obligations(t))
 
 
 # -------------------------------------------------------------------------- arms

@@ -7,14 +7,18 @@ edge (:func:`edge`), so that results compare exactly with the oracle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import DecimalType
 
 from ..operators import cube, deals, intervals, ledger, retention, sampling
+from ..session import checkpoint_dir
 from ..sources import adapters as A
+from ..sources import sinks
 from ..sources.tables import Tables
 from .layers import LayerStore
 
@@ -34,37 +38,72 @@ INPUT_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem",
 class Layers:
     """The reference's layer chain (fee ledger -> deal fact -> scaffold), each
     layer stored once per state of the inputs and read back by the products.
-    ``rebuild`` (or the setting ``spark.cohortlens.rebuild``) builds them anew."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, rebuild: bool | None = None):
+    ``rebuild`` (or the setting ``spark.cohortlens.rebuild``) builds all of them anew,
+    or those named, and then what is made of them."""
+
+    #: What each layer is made of.
+    NEEDS = {"obligations": (), "fee_ledger": ("obligations",), "fee_ledger_v2": ("obligations",), "deal_fact": ("fee_ledger",),
+             "activity": ("deal_fact",), "dim_scaffold": ("deal_fact",), "account_month": ("deal_fact",)}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, rebuild: bool | Collection[str] | None = None):
         self.spark = spark
         self.store = LayerStore(spark, sf_dir, INPUT_TABLES, rebuild)
-        self.t = Tables(spark, sf_dir, share=self.store.get)
+        self.t = Tables(spark, sf_dir, share=lambda name, _: self.get(name))
+
+    def get(self, name: str, **more) -> DataFrame:
+        """A layer, after those that it is made of."""
+        for need in self.NEEDS[name]:
+            self.get(need)
+        build, label = getattr(self, f"_{name}"), "_".join([name, *(f"{k}{v}" for k, v in more.items())])
+        return self.store.get(label, lambda: build(**more), self.NEEDS[name])
+
+    def _obligations(self) -> DataFrame:
+        # with what it shares put aside: this is what is shared
+        return ledger.build_obligations(self.t)
+
+    def _fee_ledger(self) -> DataFrame:
+        return ledger.fee_ledger(self.t)
+
+    def _fee_ledger_v2(self) -> DataFrame:
+        return ledger.fee_ledger(self.t, numeric_buyer_deduction=True)
+
+    def _deal_fact(self) -> DataFrame:
+        return deals.deal_fact(self.t, self.ledger)
+
+    def _activity(self) -> DataFrame:
+        """Account-months with every cube dimension: what D14-D19 and D25 read of the deals."""
+        return cube.activity_layer(self.base)
+
+    def _dim_scaffold(self) -> DataFrame:
+        return retention.dim_scaffold(self.base)
+
+    def _account_month(self, n: int) -> DataFrame:
+        # one row per account-month: small, and read by every part of the churn report
+        return retention.account_months(self.base, n)
 
     @property
     def ledger(self) -> DataFrame:
-        return self.store.get("fee_ledger", lambda: ledger.fee_ledger(self.t))
+        return self.get("fee_ledger")
 
     @property
     def ledger_v2(self) -> DataFrame:
-        return self.store.get("fee_ledger_v2", lambda: ledger.fee_ledger(self.t, numeric_buyer_deduction=True))
+        return self.get("fee_ledger_v2")
 
     @property
     def base(self) -> DataFrame:
-        return self.store.get("deal_fact", lambda: deals.deal_fact(self.t, self.ledger))
+        return self.get("deal_fact")
 
     @property
-    def scaffold(self) -> DataFrame:
-        return self.store.get("dim_scaffold", lambda: retention.dim_scaffold(self.base))
+    def activity(self) -> DataFrame:
+        return self.get("activity")
 
     @property
-    def activity(self) -> DataFrame:
-        """Account-months with every cube dimension: what D14-D19 and D25 read of the deals."""
-        return self.store.get("activity", lambda: cube.activity_layer(self.base))
+    def scaffold(self) -> DataFrame:
+        return self.get("dim_scaffold")
 
     def mg(self, n: int = 12) -> DataFrame:
-        # one row per account-month: small, and read three times by the churn report
-        return self.store.get(f"account_month_n{n}", lambda: retention.account_months(self.base, n))
+        return self.get("account_month", n=n)
 
 
 def _t(spark, d) -> Tables:
@@ -86,6 +125,14 @@ def _of_base(measure, spark, d) -> DataFrame:
     return measure(L.base, L.scaffold)
 
 
+def _exported(spark: SparkSession, df: DataFrame, order: list[str], index: str) -> DataFrame:
+    """What one ordered CSV file with an index column holds, read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens-exports/{uuid.uuid4().hex}.csv"
+    sinks.export_csv(df, path, order, index)
+    schema = T.StructType([T.StructField(index, T.LongType()), *df.schema.fields])
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 QUERIES: dict[str, Query] = {
     # Fee ledger and its pre-aggregates
     "d01a_fee_pivot": lambda s, d: edge(ledger.fee_pivot(A.fees(_t(s, d)))),
@@ -94,7 +141,7 @@ QUERIES: dict[str, Query] = {
     "d01d_factoring_gmv": lambda s, d: edge(ledger.factoring_gmv(
         A.factoring_request_ids(_t(s, d)), A.factoring_request_payments(_t(s, d)),
         A.asset_balance_transfers(_t(s, d)))),
-    "d01_fee_ledger": lambda s, d: edge(ledger.fee_ledger(Layers(s, d).t)),
+    "d01_fee_ledger": lambda s, d: edge(Layers(s, d)._fee_ledger()),
     "d01e_fee_ledger_whole_deduction": lambda s, d: edge(Layers(s, d).ledger_v2),
     # Deal fact
     "d02_deal_fact": lambda s, d: edge(deals.deal_fact(_t(s, d), Layers(s, d).ledger)),
@@ -133,5 +180,10 @@ QUERIES: dict[str, Query] = {
     "d20_return_interval": lambda s, d: intervals.return_interval_stats(Layers(s, d).base),
     "d21_return_interval_by_category": lambda s, d: intervals.return_interval_stats_by(Layers(s, d).base),
     "d22_return_histogram": lambda s, d: intervals.return_interval_histogram(Layers(s, d).base),
+    "d23b_sample_in_order": lambda s, d: edge(sinks.numbered(
+        sampling.sample_accounts(Layers(s, d).base), ["accountid", "account_closedate_row"], "position")),
+    "o04_sample_with_replacement": lambda s, d: edge(sampling.sample_accounts_with_replacement(Layers(s, d).base, k=40)),
+    "s05_indexed_csv_export": lambda s, d: _exported(s, cube.yearly_retained_by_dim(Layers(s, d).activity, n=6),
+                                                     ["activity_date", "dim_name", "dim_value"], "idx"),
     "d23_sample_entities": lambda s, d: edge(sampling.sample_accounts(Layers(s, d).base)),
 }

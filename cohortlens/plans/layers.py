@@ -6,21 +6,28 @@ shared folder named by ``spark.checkpoint.dir``: later products scan it with
 column pruning and pushdown, and the write cuts the lineage.
 
 A layer belongs to a *state* of its inputs: its key holds the input folder, the
-names, sizes and modification times of the input files, and the version of this
-package. When a file changes, the key changes, and the old layer is never read
-for it.
+names, sizes and modification times of the input files, and the state of this
+package's code. When a file or the code changes, the key changes, and the old layer
+is never read for it.
+
+Layers are built from layers. A build is registered with the versions of those it
+was built from, and counts only as long as these are the current ones: building the
+ledger anew makes the deal fact and what comes of it be built anew, and nothing else.
 
 Every build writes a folder of its own. Only when that write has been committed
 does the layer's register (a small Parquet table that is appended to) name it;
 readers take the last entry. A build that fails leaves the register, and so the
-layer before it, as they were."""
+layer before it, as they were. Versions that later ones have replaced are removed,
+but for the last, which a reader may still hold."""
 
 from __future__ import annotations
 
 import hashlib
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
+from functools import lru_cache
+from importlib import resources
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +35,10 @@ from pyspark.sql import functions as F
 
 from .. import __version__
 from ..session import checkpoint_dir
+from ..sources import hadoop
 
 REBUILD_CONF = "spark.cohortlens.rebuild"
-_REGISTER = "version string, built_at long"
+_REGISTER = "version string, built_at long, inputs map<string,string>"
 
 
 def inputs_state(spark: SparkSession, root: str, tables: tuple[str, ...]) -> str:
@@ -42,32 +50,56 @@ def inputs_state(spark: SparkSession, root: str, tables: tuple[str, ...]) -> str
     return hashlib.sha256(repr((paths, *map(str, one))).encode()).hexdigest()[:24]
 
 
+@lru_cache(maxsize=1)
+def code_state() -> str:
+    """Digest of the code that makes the layers, so that changed code never reads
+    layers of the code before it."""
+    digest = hashlib.sha256(__version__.encode())
+    for part in ("functions", "operators", "plans", "sources"):
+        for file in sorted((f for f in resources.files(__package__.rpartition(".")[0]).joinpath(part).iterdir() if f.name.endswith(".py")),
+                           key=lambda f: f.name):
+            digest.update(file.name.encode() + b"\0" + file.read_bytes())
+    return digest.hexdigest()
+
+
 class LayerStore:
-    """Layers of one state of one input folder."""
+    """Layers of one state of one input folder. ``rebuild``: all of them, or those
+    named; each once per store."""
 
-    def __init__(self, spark: SparkSession, root: str, tables: tuple[str, ...], rebuild: bool | None = None):
+    def __init__(self, spark: SparkSession, root: str, tables: tuple[str, ...], rebuild: bool | Collection[str] | None = None):
         self.spark = spark
-        key = hashlib.sha256(f"{inputs_state(spark, root, tables)}|{__version__}".encode()).hexdigest()[:24]
+        key = hashlib.sha256(f"{inputs_state(spark, root, tables)}|{code_state()}".encode()).hexdigest()[:24]
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens-layers/{key}"
         self.rebuild = spark.conf.get(REBUILD_CONF, "false") == "true" if rebuild is None else rebuild
-        self._known: dict[str, DataFrame] = {}
+        self._known: dict[str, tuple[str, DataFrame]] = {}
 
-    def _registered(self, name: str) -> str | None:
+    def _registered(self, name: str) -> list[tuple[str, dict[str, str]]]:
+        """Versions and what they were built from, the last one first."""
         try:
             rows = self.spark.read.schema(_REGISTER).parquet(f"{self.root}/{name}/register")
-            last = rows.orderBy(F.col("built_at").desc(), "version").first()
+            return [(r["version"], r["inputs"] or {}) for r in rows.orderBy(F.col("built_at").desc(), "version").collect()]  # a row per build
         except AnalysisException:  # no build has been registered yet
-            return None
-        return last["version"] if last else None
+            return []
+
+    def version(self, name: str) -> str:
+        """The version of a layer that this store reads."""
+        return self._known[name][0]
 
-    def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Read the layer; build it first if there is none, or, once per store, on rebuild."""
+    def get(self, name: str, build: Callable[[], DataFrame], needs: tuple[str, ...] = ()) -> DataFrame:
+        """Read the layer; build it first if there is none, if one of the layers it
+        ``needs`` (which this store has read) has changed, or on rebuild."""
         if name not in self._known:
-            version = None if self.rebuild else self._registered(name)
-            if version is None:
+            inputs = {n: self.version(n) for n in needs}
+            wanted = self.rebuild if isinstance(self.rebuild, bool) else name in self.rebuild
+            before = self._registered(name)
+            if not wanted and before and before[0][1] == inputs:
+                version = before[0][0]
+            else:
                 version = uuid.uuid4().hex
                 build().write.parquet(f"{self.root}/{name}/{version}")
-                (self.spark.createDataFrame([(version, time.time_ns())], _REGISTER).coalesce(1)
+                (self.spark.createDataFrame([(version, time.time_ns(), inputs)], _REGISTER).coalesce(1)
                  .write.mode("append").parquet(f"{self.root}/{name}/register"))
-            self._known[name] = self.spark.read.parquet(f"{self.root}/{name}/{version}")
-        return self._known[name]
+                for old, _ in before[1:]:
+                    hadoop.remove(self.spark, f"{self.root}/{name}/{old}")
+            self._known[name] = version, self.spark.read.parquet(f"{self.root}/{name}/{version}")
+        return self._known[name][1]

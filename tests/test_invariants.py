@@ -97,3 +97,58 @@ def test_cube_per_activity_money_equals_sql_report(spark):
     assert len(j) > 0
     assert (j.iloc[:, len(dims) + 1] == j.iloc[:, len(dims) + 3]).all()     # account counts
     assert ((j.retained_rev.astype(float) - j.rev.fillna(0).astype(float)).abs() < 1e-6).all()
+
+
+def test_notes_of_a_hot_owner_are_put_together_from_ranges(spark):
+    """Every range gives one string; no group of rows is a whole hot owner."""
+    from cohortlens.operators import ranges
+
+    notes = spark.range(3000).select(
+        ((F.col("id") * 7919) % 3000).alias("note_id"), F.when(F.col("id") % 3 == 0, F.col("id") % 50 + 2).otherwise(1).alias("noteable_id"),
+        F.lit("FactoringRequest").alias("noteable_type"), F.when(F.col("id") % 11 != 0, F.concat(F.lit("n"), F.col("id"))).alias("body"))
+    items = spark.createDataFrame([], "id long, shipment_id long")
+    plain = {r.id: r for r in ledger.notes_rollup(notes, items).collect()}
+    split = {r.id: r for r in ledger.notes_rollup(notes, items, range_rows=100).collect()}
+    assert split == plain and len(plain) == 51
+    want = notes.where("noteable_id = 1").orderBy("note_id").collect()
+    assert plain[1].self_note_body == ", ".join(r.body for r in want if r.body is not None)
+    keys = notes.select(F.col("noteable_id").alias("_of"), F.struct("note_id").alias(ranges.ORDER))
+    sizes = ranges.with_range(keys, "_of", ranges.range_bounds(keys, 100)).groupBy("_of", ranges.RANGE).count()
+    assert sizes.agg(F.max("count")).first()[0] < 300 < 2000
+
+
+def test_obligation_totals_equal_their_parts(spark):
+    from cohortlens.sources import adapters as A
+
+    t = Tables(spark, SMALL)
+    got = {r.id: r for r in ledger.obligation_totals(A.obligation_lines(t)).collect()}
+    for r in ledger.fee_pivot(A.fees(t)).collect():
+        k = {"Shipment": "s", "FactoringRequest": "f"}[r.feeable_type]
+        o = got[r.feeable_id]
+        assert (o[f"ob_{k}_admin_fee"], o[f"ob_{k}_application_fees"], o[f"ob_{k}_description"]) == (r.admin_fee, r.application_fees, r.description)
+    owners = {(r.feeable_id, r.feeable_type) for r in ledger.fee_pivot(A.fees(t)).collect()}
+    assert all(((i, "Shipment") in owners) == (o.ob_s_description is not None) for i, o in got.items())
+    parts = [(ledger.shipment_totals(A.shipment_items(t)), "shipment_id", {"accepted_shipment": "ob_accepted_shipment", "total_gmv": "ob_total_gmv"}),
+             (ledger.additional_fee_totals(A.additional_shipment_fees(t)), "shipment_id", {"add_fee": "ob_add_fee"}),
+             (ledger.factoring_payments(A.factoring_request_payments(t)), "factoring_request_id", {"pay": "ob_pay"}),
+             (ledger.factoring_balance(A.asset_balance_transfers(t)), "to_id", {"bal": "ob_bal"})]
+    for df, key, columns in parts:
+        rows = {r[key]: r for r in df.collect()}
+        for i, o in got.items():
+            assert all(o[c] == (rows[i][p] if i in rows else None) for p, c in columns.items())
+
+
+def test_difference_events_do_not_depend_on_the_window(spark):
+    """Two events an account-month, whatever n is; the same report as the months spelt out."""
+    from cohortlens.operators import retention
+
+    L = Layers(spark, SMALL)
+    for n in (0, 3, 30):
+        mg = retention.account_months(L.base, n)
+        dims = list(retention.REPORT_DIMS)
+        got = retention.retained(mg, L.scaffold).select("month_idx", *dims, "retained_accounts", "revenue", "gmv")
+        months = mg.where("closed_month IS NOT NULL").withColumn("month_idx", F.explode(F.sequence("closed_month", "ret_date_max", F.expr("interval 1 month"))))
+        per = months.groupBy("month_idx", *dims).agg(F.count_distinct("account_id").alias("retained_accounts"), F.sum("revenue").alias("revenue"), F.sum("gmv").alias("gmv"))
+        want = L.scaffold.select("month_idx", *dims).join(per, ["month_idx", *dims], "left").withColumn("retained_accounts", F.coalesce("retained_accounts", F.lit(0)))
+        numbers = lambda df: df.select("month_idx", *dims, *[F.col(c).cast("double") for c in ("retained_accounts", "revenue", "gmv")])
+        assert numbers(got).exceptAll(numbers(want)).isEmpty() and got.count() == want.count()

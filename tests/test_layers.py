@@ -78,3 +78,54 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_a_rebuilt_layer_rebuilds_what_is_made_of_it_only(spark, tables):
+    names = ["obligations", "fee_ledger", "deal_fact", "activity", "dim_scaffold", "account_month"]
+
+    def versions(**more):
+        layers = Layers(spark, tables, **more)
+        out = {}
+        for n in names:
+            layers.get(n, **({"n": 12} if n == "account_month" else {}))
+            out[n] = layers.store.version("account_month_n12" if n == "account_month" else n)
+        return out
+
+    first = versions()
+    assert versions() == first
+    second = versions(rebuild={"fee_ledger"})
+    assert {n for n in names if first[n] != second[n]} == {"fee_ledger", "deal_fact", "activity", "dim_scaffold", "account_month"}
+    third = versions(rebuild={"dim_scaffold"})
+    assert {n for n in names if second[n] != third[n]} == {"dim_scaffold"}
+    assert versions() == third
+
+
+def test_replaced_versions_are_removed(spark):
+    from cohortlens.sources import hadoop
+
+    root = tempfile.mkdtemp(prefix="cohortlens-layer-test-")
+    spark.range(1).write.parquet(f"{root}/t.parquet")
+    used = []
+    for _ in range(5):
+        store = LayerStore(spark, root, ("t",), rebuild=True)
+        store.get("x", lambda: spark.range(20_000))
+        used.append(hadoop.size(spark, f"{store.root}/x"))
+    kept = [n for n in hadoop.children(spark, f"{store.root}/x") if n != "register"]
+    assert len(kept) == 2 and store.version("x") in kept
+    assert used[4] < 1.2 * used[1]
+    assert LayerStore(spark, root, ("t",)).get("x", lambda: None).count() == 20_000
+
+
+def test_changed_code_changes_the_key(monkeypatch, spark, tmp_path):
+    from cohortlens.plans import layers
+
+    before = layers.code_state()
+    package = tmp_path / "cohortlens"
+    shutil.copytree(layers.resources.files("cohortlens"), package, ignore=shutil.ignore_patterns("__pycache__", "llm"))
+    monkeypatch.setattr(layers.resources, "files", lambda _: package)
+    layers.code_state.cache_clear()
+    assert layers.code_state() == before
+    (package / "operators" / "cube.py").write_text("changed")
+    layers.code_state.cache_clear()
+    assert layers.code_state() != before
+    layers.code_state.cache_clear()
