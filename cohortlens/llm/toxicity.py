@@ -6,8 +6,11 @@ Every coordinate has a learning rate of its own, and the L1 term keeps all but
 the telling ones at exactly zero, so that the model is a short list of weights.
 
 Training takes a bounded sample of the labelled rows, those of equal text and
-label as one row with their number, dealt to groups of about ``GROUP_ROWS`` that
-learn side by side; the model is the mean of their weights.
+label as one row with their number, dealt to groups of about ``GROUP_ROWS`` rows and
+``GROUP_BYTES`` of features at most on average, which learn side by side; the model is
+the mean of their weights. Labels meet texts by id and two hashes; only the texts
+drawn are read again, by a list of their hashes that the sample's bound limits, and
+what is shuffled of them are their features (one text has ``2 ** BITS`` at most).
 Scores are computed where the texts lie."""
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ BITS = 20
 #: The most rows that training takes (copies are one row), those that one group
 #: learns from (about), and how often it does.
 TRAINING_ROWS, GROUP_ROWS, EPOCHS = 48_000, 16_000, 5
+#: Bytes of features (four each) that one group holds, about.
+GROUP_BYTES = 96 << 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.01
 
 
@@ -72,47 +77,73 @@ def learn(documents: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS,
     return weights(z, n)
 
 
-def sample(rows: DataFrame, training_rows: int = TRAINING_ROWS, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, int]:
-    """At most ``training_rows`` rows ``shard, text, label, n``, and the number of
-    shards. Rows of equal text and label are one row with their number ``n``,
-    which alone is dealt to a shard; what is taken are the smallest hashes."""
-    keys = ["h", "h2", "label"]
-    rows = rows.where("text IS NOT NULL AND label IS NOT NULL").select(
-        F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("h2"), F.col("label").cast("int").alias("label"), "text")
-    distinct = stored(rows.select(*keys).distinct(), "labelled")
+def _text_keys() -> list[Column]:
+    return [F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("h2")]
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``h, h2, label, n``: distinct labelled texts by two hashes, and how many rows
+    have them. Both sides are counted before they meet, so that an id that many rows
+    share on both sides is one row on each."""
+    texts = (docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", *_text_keys())
+             .groupBy("doc_id", "h", "h2").agg(F.count(F.lit(1)).alias("rows")))
+    given = (labels.where("label IS NOT NULL").select("doc_id", F.col("label").cast("int").alias("label"))
+             .groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("times")))
+    met = texts.join(given, "doc_id").groupBy("h", "h2", "label").agg(F.sum(F.col("rows") * F.col("times")).alias("n"))
+    return stored(met, "labelled")
+
+
+def sample(distinct: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
+    """At most ``training_rows`` rows of :func:`labelled`: those of the smallest hashes."""
     n = distinct.count()
-    shards = max(1, round(min(n, training_rows) / group_rows))
-    if n > training_rows:
-        below = F.col("h") < int(-(1 << 63) + min(0.99, (training_rows + 10 * training_rows ** 0.5 + 10) / n) * (1 << 64))
-        hashes = np.sort(distinct.where(below).select("h").toArrow()["h"].to_numpy())  # a few more than wanted
-        if len(hashes) > training_rows:
-            below = F.col("h") < int(hashes[training_rows])
-        rows = rows.where(below)
-    # copies meet map-side
-    chosen = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.any_value("text").alias("text"))
-    return chosen.select(F.pmod("h2", F.lit(shards)).cast("int").alias("shard"), "text", "label", "n"), shards
-
-
-def train(rows: DataFrame, training_rows: int = TRAINING_ROWS,
-          group_rows: int = GROUP_ROWS) -> dict[int, float]:
-    """Weights that aren't zero, learnt of ``rows(text, label)``.
-
-    The rows taken are chosen by the hash of their text. Null labels and texts
+    if n <= training_rows:
+        return distinct
+    below = F.col("h") < int(-(1 << 63) + min(0.99, (training_rows + 10 * training_rows ** 0.5 + 10) / n) * (1 << 64))
+    hashes = np.sort(distinct.where(below).select("h").toArrow()["h"].to_numpy())  # a few more than wanted
+    return distinct.where(F.col("h") < int(hashes[training_rows])) if len(hashes) > training_rows else distinct.where(below)
+
+
+def training_features(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``h, h2, label, n, features``: the distinct coordinates of each chosen text
+    (int32). The chosen rows are at most TRAINING_ROWS: a bounded broadcast."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for count, row, at in _by_text(b.column("text")):
+                pairs = np.unique((row << (BITS + 1)) | at)
+                cut = np.searchsorted(pairs >> (BITS + 1), np.arange(1, count))
+                out += [(d & ((1 << (BITS + 1)) - 1)).astype("<i4").tobytes() for d in np.split(pairs, cut)]
+            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("h2"), pa.array(out, pa.binary())], ["h", "h2", "features"])
+
+    wanted = F.broadcast(chosen.select("h", "h2").distinct())
+    texts = docs.where("text IS NOT NULL").select("text", *_text_keys()).join(wanted, ["h", "h2"], "left_semi")
+    # copies of a text leave a task as one row
+    rows = texts.select("h", "h2", "text").mapInArrow(run, "h long, h2 long, features binary")
+    once = rows.groupBy("h", "h2").agg(F.any_value("features").alias("features"))
+    return stored(once.join(F.broadcast(chosen), ["h", "h2"]), "features")
+
+
+def train(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
+          group_rows: int = GROUP_ROWS, group_bytes: int = GROUP_BYTES) -> dict[int, float]:
+    """Weights that aren't zero, learnt of the texts of ``docs(doc_id, text)`` that
+    ``labels(doc_id, label)`` name.
+
+    The rows taken are chosen by the hash of their text. Null labels, ids and texts
     are left out; without rows, or with one label only, what is learnt is the
     bias."""
-    chosen, shards = sample(rows, training_rows, group_rows)
+    chosen = training_features(docs, stored(sample(labelled(docs, labels), training_rows), "chosen"))
+    size = chosen.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("features")).alias("bytes")).first()
+    shards = max(1, round(size["n"] / group_rows), -(-(size["bytes"] or 0) // group_bytes))
+    dealt = chosen.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("int"))
 
     def fit(table: pa.Table) -> pa.Table:
-        docs = []
-        for count, row, at in _by_text(table.column("text")):
-            pairs = np.unique((row << (BITS + 1)) | at)
-            cut = np.searchsorted(pairs >> (BITS + 1), np.arange(1, count))
-            docs += [np.append(d & ((1 << (BITS + 1)) - 1), 1 << BITS) for d in np.split(pairs, cut)]
+        table = table.sort_by([("h", "ascending"), ("h2", "ascending"), ("label", "ascending")])  # one order, whatever came first
+        docs = [np.append(np.frombuffer(x.as_buffer(), "<i4"), np.int32(1 << BITS)) for x in table.column("features")]
         w = learn(docs, table.column("label").to_numpy().astype(float), copies=table.column("n").to_numpy())
         at = np.flatnonzero(w)
         return pa.table({"at": pa.array(at, pa.int64()), "w": w[at]})
 
-    fitted = chosen.groupBy("shard").applyInArrow(fit, "at long, w double")
+    fitted = dealt.groupBy("shard").applyInArrow(fit, "at long, w double")
     summed = fitted.groupBy("at").agg((F.sum("w") / shards).alias("w")).collect()  # at most 2 ** BITS + 1 rows
     return {r["at"]: r["w"] for r in summed}
 
@@ -153,6 +184,6 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
-    model = train(docs.where(~held).join(known, "doc_id").select("text", "label"))
+    model = train(docs.where(~held), known)
     scored = score(docs, model, [F.col("doc_id"), held.alias("held_out")])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

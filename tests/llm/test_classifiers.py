@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohortlens.llm import language_id, toxicity
@@ -110,14 +111,50 @@ def test_awkward_languages(spark):
 
 def test_toxicity_sample_is_bounded_with_copies(spark):
     rows = [("a hot text", 1)] * 600 + [(f"text number {k}", k % 2) for k in range(300)]
-    df = spark.createDataFrame(rows, "text string, label int")
-    everything, shards = toxicity.sample(df, 400, 100)
-    got = everything.collect()
-    assert sorted((r.text, r.label, r.n) for r in got) == sorted({(t, y, 600 if t == "a hot text" else 1) for t, y in rows})
-    assert shards == 3 and max(sum(r.shard == k for r in got) for k in range(shards)) < 150
-    chosen, _ = toxicity.sample(df, 100, 50)
-    assert chosen.count() == 100
-    assert len(toxicity.sample(df.where("text = 'a hot text'"), 100, 50)[0].collect()) == 1
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(rows)], "doc_id long, label int")
+    distinct = toxicity.labelled(docs, labels)
+    got = toxicity.training_features(docs, toxicity.sample(distinct, 400)).collect()
+    assert sorted((r.label, r.n) for r in got) == sorted([(1, 600)] + [(k % 2, 1) for k in range(300)])
+    hot = next(r for r in got if r.n == 600)
+    (_, _, at), = toxicity._by_text(pa.array(["a hot text"]))
+    assert np.frombuffer(hot.features, "<i4").tolist() == sorted(set(at.tolist()))
+    assert toxicity.sample(distinct, 100).count() == 100
+
+
+def test_ids_repeated_on_both_sides_are_counted_not_multiplied(spark):
+    docs = spark.createDataFrame([(1, "a b")] * 40 + [(1, "c d")] * 3 + [(None, "e"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 50 + [(1, 0)] * 2 + [(None, 1), (2, 1)], "doc_id long, label int")
+    assert sorted((r.label, r.n) for r in toxicity.labelled(docs, labels).collect()) == [(0, 6), (0, 80), (1, 150), (1, 2000)]
+
+
+def test_learning_equals_a_plain_loop():
+    """FTRL-proximal, coordinate by coordinate, in plain Python."""
+    r = random.Random(4)
+    documents = [np.array(sorted(r.sample(range(40), 6))) for _ in range(60)]
+    labels = np.array([float(d.min() < 8) for d in documents])
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= toxicity.L1:
+            return 0.0
+        return -(zi - math.copysign(toxicity.L1, zi)) / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    order = np.random.default_rng(7)
+    for _ in range(20):
+        for k in order.permutation(len(documents)).tolist():
+            w = {i: weight(i) for i in documents[k].tolist()}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[k]
+            if abs(g) < 1e-3:
+                continue
+            for i, wi in w.items():
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * wi
+                n[i] = n.get(i, 0.0) + g * g
+    got = toxicity.learn(documents, labels, 20)
+    want = np.array([weight(i) for i in range(40)])
+    assert want.any() and np.allclose(got[:40], want) and not got[40:].any()
 
 
 def test_copies_teach_as_often():
