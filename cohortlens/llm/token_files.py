@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ MAGIC = b"TOKIDS\x00\x01"
 #: ids taken of each (a sample of a sample: the files hold every id).
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_BYTES = 64 << 10, 800, 16 << 10
 LEVEL = 3
+#: Bytes of text for a file, and documents that are read at once.
+FILE_BYTES, READ_DOCS = 12 << 20, 2000
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -50,9 +54,10 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if len(data) >= 8 else None
 
 
-def _sampled(docs: DataFrame, vocabulary: str) -> list[bytes]:
-    """Serialised ids of about SAMPLE_DOCS documents spread over the table."""
-    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+def _sampled(docs: DataFrame, n: int, vocabulary: str) -> list[bytes]:
+    """Serialised ids of the beginnings of about SAMPLE_DOCS of the ``n`` documents,
+    spread over the table."""
+    share = min(1.0, SAMPLE_DOCS / max(n, 1))
     chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
     def heads(batches):
@@ -60,20 +65,23 @@ def _sampled(docs: DataFrame, vocabulary: str) -> list[bytes]:
             ids = [x[:SAMPLE_BYTES] for x in tokens.encoded(b.column("text").to_pylist(), vocabulary)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
-    rows = chosen.select("text").mapInArrow(heads, "ids binary").limit(4 * SAMPLE_DOCS)
+    # an id is a byte or more: no more of a text than may be kept of it
+    rows = chosen.limit(4 * SAMPLE_DOCS).select(F.substring("text", 1, 4 * SAMPLE_BYTES).alias("text")).mapInArrow(heads, "ids binary")
     return sorted(bytes(r.ids) for r in rows.collect())
 
 
 def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
-          end_id: int | None = 2, vocabulary: str = tokens.VOCABULARY) -> DataFrame:
+          end_id: int | None = 2, vocabulary: str = tokens.VOCABULARY, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the data set and return its manifest, one row per file:
     ``part, path, n_docs, n_tokens`` (parts ascend with the ids).
 
     Null ids come first; rows with equal ids follow each other by the hash of
     their text; a null text has the end id alone. An empty table writes only
-    the dictionary. Further columns are ignored."""
+    the dictionary. Further columns are ignored. A file is for about ``file_bytes``
+    bytes of text, however many rows share an id or are alike."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dictionary = train_dictionary(_sampled(docs, vocabulary))
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    dictionary = train_dictionary(_sampled(docs, size["n"], vocabulary))
     with files.create(f"{folder}/dictionary.zstd") as out:
         out.write(dictionary)
     end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
@@ -82,7 +90,7 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
         out, path = None, ""
         shared = _dictionary(dictionary)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared) if shared else zstandard.ZstdCompressor(level=LEVEL)
-        ids, known, ends, counts, at = [], [], [], [], 0
+        ids, known, ends, counts, at = [], [], [], array("L"), 0
         try:
             for b in batches:
                 if b.num_rows == 0:
@@ -115,10 +123,11 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
             [pa.array([part], pa.int32()), pa.array([path]), pa.array([len(counts)], pa.int64()),
              pa.array([sum(counts)], pa.int64())], ["part", "path", "n_docs", "n_tokens"])
 
-    # the text's hash spreads an id that many rows share over several files
-    order = [F.col("doc_id"), F.xxhash64("text")]
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stored(docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # the text's hash, and then the row's number, spread what many rows share over several files
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("_row")]
+    parts = max(1, -(-(size["bytes"] or 0) // file_bytes))
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(parts, *order)
+                  .sortWithinPartitions(*order).select("doc_id", "text")
                   .mapInArrow(write_part, "part int, path string, n_docs long, n_tokens long"), "token-manifest")
 
 
@@ -166,13 +175,14 @@ def read(manifest: DataFrame) -> DataFrame:
     def read_part(batches):
         for b in batches:
             for path, start in zip(b.column("path").to_pylist(), b.column("start").to_pylist(), strict=True):
-                rows = []
-                for doc, ids in documents(path):
-                    rows.append((doc, start, len(ids) // 4, zlib.crc32(ids)))
-                    start += len(ids) // 4
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                                 ["doc_id", "start", "n_tokens", "ids_crc32"])
+                for some in batched(documents(path), READ_DOCS):
+                    rows = []
+                    for doc, ids in some:
+                        rows.append((doc, start, len(ids) // 4, zlib.crc32(ids)))
+                        start += len(ids) // 4
+                    columns = list(zip(*rows, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return parts.repartition(n).mapInArrow(read_part, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -86,6 +86,15 @@ def test_files_round_trip(spark, plain):
     assert len(found) == 1 and np.frombuffer(found[0][10], "<u4").tolist() == plain(dict((r[0], r[1]) for r in edge_rows())[10]) + [2]
 
 
+def test_rows_that_are_all_alike_go_to_several_files(spark, plain):
+    docs = spark.createDataFrame([(5, "some text " * 20)] * 200 + [(6, "end")], "doc_id long, text string")
+    manifest = token_files.write(docs, scratch(spark, "test-alike"), file_bytes=8000).cache()
+    assert manifest.count() >= 4 and max(r.n_docs for r in manifest.collect()) < 120
+    rows = token_files.read(manifest).collect()
+    n = len(plain("some text " * 20)) + 1
+    assert sorted((r.start, r.n_tokens) for r in rows) == [(k * n, n) for k in range(200)] + [(200 * n, 2)]
+
+
 def test_files_of_nothing(spark):
     assert token_files.round_trip(no_docs(spark)).collect() == []
 
