@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import batched
 
 import pyarrow as pa
 import zstandard
@@ -30,6 +31,8 @@ SKIPPABLE_MAGIC = 0x184D2A5D
 MIN_REVISIT_BYTES = 100
 #: Dictionary size, and the bytes of records that a task holds to train it.
 DICTIONARY_BYTES, TRAINING_BYTES, LEVEL = 32 << 10, 1 << 20, 3
+#: Records that are read at once.
+READ_ROWS = 2000
 DATE = "2001-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -83,16 +86,11 @@ def with_roles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     digests = stored(rows.where(F.octet_length("payload") >= min_bytes).select("page_id", "digest"), "warc-digests")
     copies = (digests.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").drop("n"))
+    # one row for each id and payload: a page's id may come with several payloads
     revisits = (digests.distinct().join(copies, "digest").where(~F.col("page_id").eqNullSafe(F.col("first")))
-                .select(_key("page_id", "digest").alias("key"), F.col("digest").alias("same"), F.col("first").alias("refers_to")))
-    return (rows.withColumn("key", _key("page_id", "digest"))
-            .join(revisits, "key", "left").select(
-                "page_id", "url", "payload", "digest",
-                F.when(F.col("same") == F.col("digest"), F.col("refers_to")).alias("refers_to")))
-
-
-def _key(page: str, digest: str):
-    return F.coalesce(F.col(page).cast("string"), F.col(digest))
+                .select(F.struct("page_id", "digest").alias("copy"), F.col("first").alias("refers_to")))
+    return (rows.withColumn("own", F.struct("page_id", "digest")).join(revisits, F.col("own") == F.col("copy"), "left")
+            .select("page_id", "url", "payload", "digest", "refers_to"))
 
 
 def _archive(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
@@ -194,9 +192,10 @@ def read(manifest: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for path in b.column("path").to_pylist():
-                columns = zip(*rows(path), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)],
-                                                 list(kinds))
+                for part in batched(rows(path), READ_ROWS):
+                    columns = zip(*part, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)],
+                                                     list(kinds))
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return manifest.repartition(n).mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, "

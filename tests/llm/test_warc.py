@@ -36,6 +36,16 @@ def test_round_trip(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_an_id_with_several_repeated_payloads(spark):
+    a, b = "a" * 200, "b" * 200
+    data = [(7, "u", a), (7, "v", b), (3, "w", a), (4, "x", b), (7, "u", a), (None, "n", a)]
+    got = sorted((r.page_id or 0, r.payload_digest[:4], r.record_type, r.refers_to) for r in warc.round_trip(
+        spark.createDataFrame([(*r, None, None, None, None) for r in data], PAGES)).collect())
+    name = {x: hashlib.sha256(x.encode()).hexdigest()[:4] for x in (a, b)}
+    assert got == sorted([(7, name[a], "revisit", 3), (7, name[b], "revisit", 4), (3, name[a], "response", None), (4, name[b], "response", None),
+                          (7, name[a], "revisit", 3), (0, name[a], "revisit", 3)])
+
+
 def test_file_format(spark):
     pages = spark.createDataFrame(rows(), PAGES)
     manifest = warc.write(pages, scratch(spark, "test-warc")).collect()
