@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 _TOKEN = re.compile(
@@ -30,7 +33,7 @@ _STOPS = frozenset("table td th caption button".split())
 
 
 class Element:
-    __slots__ = ("children", "hidden", "names", "parent", "tag", "words")
+    __slots__ = ("children", "hidden", "mark", "names", "parent", "tag", "words")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
@@ -46,13 +49,43 @@ class Element:
                 elif name in ("class", "id", "role"):
                     words.append(value)
             self.words = " ".join(words)
+        #: crc32 of the path, continued from the parent's: a path is written out only where it is wanted
+        self.mark = 0 if parent is None else zlib.crc32((step(self) if parent.parent is None else ">" + step(self)).encode(), parent.mark)
+
+
+class _Open:
+    """The open elements, and where those of each tag stand among them."""
+
+    def __init__(self, root: Element):
+        self.stack, self.places = [root], defaultdict(list)
+
+    def push(self, node: Element) -> None:
+        self.places[node.tag].append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all in it."""
+        for node in self.stack[place:]:
+            self.places[node.tag].pop()
+        del self.stack[place:]
+
+    def last(self, tags) -> int:
+        """Where the innermost of the tags stands; 0 without any."""
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+
+    def outermost(self, tags, after: int) -> int:
+        """Where the outermost of the tags after a place stands; 0 without any."""
+        found = [p[k] for t in tags if (p := self.places[t]) and (k := bisect_right(p, after)) < len(p)]
+        return min(found, default=0)
 
 
 def parse(page: str) -> Element:
     """The root, with the elements and texts (as decoded strings) below it."""
-    root = here = Element("#page", None)
+    root = Element("#page", None)
+    opened = _Open(root)
     at, n = 0, len(page)
     while at < n:
+        here = opened.stack[-1]
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else n]
         if text:
@@ -69,36 +102,26 @@ def parse(page: str) -> Element:
             continue
         tag = tag.lower()
         if m[1] or m[4]:
-            node = here
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            if place := opened.last((tag,)):
+                opened.cut(place)
             continue
         if tag in _CLOSES_P:
-            node = here
-            while node is not root and node.tag != "p" and node.tag not in _STOPS:
-                node = node.parent
-            if node.tag == "p":
-                here = node.parent
+            if (place := opened.last(("p",))) > opened.last(_STOPS):
+                opened.cut(place)
         elif tag in _ENDS:
             ended, limit = _ENDS[tag]
-            node, found = here, None
-            while node is not root and node.tag not in limit:
-                if node.tag in ended:
-                    found = node
-                node = node.parent
-            if found is not None:
-                here = found.parent
-        if tag in ("html", "body") and any(a.tag == tag for a in ancestors(here)):
+            if place := opened.outermost(ended, opened.last(limit)):
+                opened.cut(place)
+        if tag in ("html", "body") and opened.places[tag]:
             continue
+        here = opened.stack[-1]
         element = Element(tag, here, m[3] or m[6] or "")
         here.children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
         elif tag not in VOID and not (m[3] or m[6] or "").endswith("/"):
-            here = element
+            opened.push(element)
     return root
 
 
@@ -112,7 +135,16 @@ def ancestors(node: Element) -> Iterator[Element]:
 _DIGITS = re.compile(r"\d+")
 
 
+def step(node: Element) -> str:
+    """Tag and classes; numbers are generalised."""
+    return ".".join([node.tag, *sorted({_DIGITS.sub("0", c) for c in node.names})])
+
+
 def path(node: Element) -> str:
-    """Tags and classes from the page down to the node; numbers are generalised."""
-    steps = [".".join([a.tag, *sorted({_DIGITS.sub("0", c) for c in a.names})]) for a in ancestors(node)]
-    return ">".join(reversed(steps))
+    """The steps from the page down to the node."""
+    return ">".join(reversed([step(a) for a in ancestors(node)]))
+
+
+def path_mark(written: str) -> int:
+    """The mark of the elements at a path (and, rarely, of some others)."""
+    return zlib.crc32(written.encode())

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from cohortlens.llm import extraction, markup
@@ -43,6 +45,46 @@ def test_wrappers_of_the_page_stay(wrapper):
         assert extraction.main_text(html, None).removeprefix("Head\n") == TEXT, html
 
 
+PROSE = [f"{TEXT} Part {k} goes on about it for a while, so that no one can take it for a label or a menu." for k in range(4)]
+
+
+@pytest.mark.parametrize("tag", ["p", "section", "div"])
+@pytest.mark.parametrize("name", ["navy", "form", "meta", "toc", "respond", "promotion", "commentary", "notice", "banner", "alert", "menuet", "advent", "subscribers"])
+def test_ordinary_words_as_names_drop_nothing(tag, name):
+    for attribute in ("class", "id"):
+        body = "".join(f"<{tag} {attribute}={name}>{t}</{tag}>" if k == 2 else f"<{tag}>{t}</{tag}>" for k, t in enumerate(PROSE))
+        assert extraction.main_text(f"<body><article>{body}</article>", None).split("\n") == PROSE
+
+
+@pytest.mark.parametrize("part", [
+    "<div class=notice><a href=/a>Terms that apply</a> <a href=/b>and more</a></div>", "<div class=meta>By a writer, 3 May</div>",
+    "<div class=respond><textarea></textarea>Leave a reply, which is shown when an editor has read it and finds that it keeps to the rules</div>",
+    f"<ul class=toc>{''.join(f'<li><a href=#{k}>{TEXT}</a></li>' for k in range(3))}</ul>"])
+def test_names_that_structure_confirms_drop(part):
+    paragraphs = "".join(f"<p>{t}</p>" for t in PROSE)
+    assert extraction.main_text(f"<body><article>{paragraphs}{part}</article>", None).split("\n") == PROSE
+
+
+def test_texts_that_most_pages_of_a_host_have_go(spark):
+    again = "<div class=notice><p>Our shop is closed for the whole of the season and will open again when the days are longer and warm.</p></div>"
+    rows = [(k, f"http://h.example/{k}", f"<body><article><p>{PROSE[0]} {k}</p>{again}</article>", None, None, None, None) for k in range(6)]
+    rows += [(7, "http://alone.example/7", f"<body><article><p>{PROSE[0]}</p>{again}</article>", None, None, None, None)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(got[k] == f"{PROSE[0]} {k}" for k in range(6)) and "Our shop" in got[7]
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 50_000 + "<p>" + TEXT, "<div class=a>x</div>" * 50_000, "<p><button>" + "<div>y" * 50_000, "<article><div class=b>" * 25_000 + TEXT,
+    "<ul><li>" * 25_000 + TEXT, "<main>" * 50_000 + TEXT, "</i>" * 50_000 + "<b>" * 50_000 + TEXT, "<form><fieldset>" * 25_000 + TEXT])
+def test_deep_and_long_pages_take_little_time(html):
+    began = time.process_time()
+    page = extraction.Page(html)
+    best, _ = page.best()
+    wanted = None if best is None else markup.path(best)
+    assert bool(extraction.main_text(html, wanted)) == (best is not None)
+    assert time.process_time() - began < 12  # three readings; the figure of one is in the README
+
+
 @pytest.mark.parametrize("html", [None, "", " ", "<", "<p", "</p></div>", "<!--", "<script>x", "&", "<a b='", "<p>" * 3000, "<div>" * 3000 + "x"])
 def test_any_input(html):
     assert extraction.main_text(html, None) in ("", "&", "x", "<")
