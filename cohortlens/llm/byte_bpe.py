@@ -63,13 +63,16 @@ _PATTERN = regex.compile(public_tokenizers.PATTERN)
 
 
 class _Remembered(dict):
-    """A bounded memory of a function: what is used again comes back from the older half."""
+    """A bounded memory of a function: what is used again comes back from the older
+    half. Keys longer than LONGEST aren't remembered."""
 
     def __init__(self, make: Callable, most: int = REMEMBERED):
         super().__init__()
         self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST:
+            return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
@@ -164,13 +167,10 @@ class Codec:
         half = len(data) // 2
         return self.join(self.encode(data[:half]), self.encode(data[half:]))
 
-    def ids(self, piece: str) -> tuple[int, ...]:
-        return self.known[piece] if len(piece) <= LONGEST else self.encode(piece.encode())
-
     def part(self, text: str) -> Part:
         """A stretch of text by itself."""
-        pieces, known = split(text), self.known
-        return Part(pieces, [known[x] if len(x) <= LONGEST else self.encode(x.encode()) for x in pieces])
+        pieces = split(text)
+        return Part(pieces, list(map(self.known.__getitem__, pieces)))
 
     def joined(self, left: Part, right: Part) -> Part:
         """The stretch that ``left`` and ``right`` make."""
@@ -204,7 +204,7 @@ class Codec:
             if at + len(left.pieces[-1]) == tail and x == left.pieces[-1] + right.pieces[0]:
                 ids.append(self.join(left.ids[-1], right.ids[0]))  # one match through the seam
             else:
-                ids.append(self.ids(x))
+                ids.append(self.known[x])
             at += len(x)
         rest = begins[at]
         return Part(left.pieces[:keep] + found + right.pieces[rest:], left.ids[:keep] + ids + right.ids[rest:])
@@ -230,9 +230,29 @@ _STAND_IN = {k: "\ue000" for k in tokens.newer_characters()}
 _NEWER = re.compile("[%s]" % "".join("-".join(chr(int(c, 16)) for c in run.split("-")) for run in tokens.NEWER.split()))
 
 
+#: Below this character, Python's own expressions match the pattern, twice as fast.
+_FEW = 0x250
+
+
+def _class(name: str) -> str:
+    return "".join(f"\\u{k:04x}" for k in range(_FEW) if regex.match(name, chr(k)))
+
+
+def _plain_pattern() -> re.Pattern:
+    """The pattern with its classes spelt out, as far as they are below ``_FEW``."""
+    letter, number, space = map(_class, (r"\p{L}", r"\p{N}", r"\s"))
+    spelt = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]")
+    return re.compile(spelt.replace(r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]").replace(r"\s", f"[{space}]").replace(r"\S", f"[^{space}]"))
+
+
+_PLAIN, _BEYOND = _plain_pattern(), re.compile(f"[^\\x00-\\u{_FEW - 1:04x}]")
+
+
 def split(text: str) -> list[str]:
     """The pattern's matches, as the tiktoken library's Unicode tables have them."""
-    if text.isascii() or not _NEWER.search(text):
+    if not _BEYOND.search(text):
+        return _PLAIN.findall(text)
+    if not _NEWER.search(text):
         return _PATTERN.findall(text)
     return [text[a:b] for a, b in (m.span() for m in _PATTERN.finditer(text.translate(_STAND_IN)))]
 
