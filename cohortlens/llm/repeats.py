@@ -5,24 +5,29 @@ place too. A suffix array of the whole corpus would sort every position; here
 only suffixes that can have such a match are sorted, and each sort is local:
 
 1. *Anchors.* In every string of ``length`` bytes the ``key``-byte window with
-   the smallest hash is its anchor. Equal strings have their anchor at the same
-   place, so a repeated string has an anchor whose key occurs again.
+   the smallest hash (40 bits; the first of equals) is its anchor. Equal strings have
+   their anchor at the same place, so a repeated string has an anchor whose key
+   occurs again.
 2. *Contexts.* All strings that belong to an anchor lie in the bytes around it
    (``length - key`` before, ``length`` from it on). Anchors with equal keys
-   and equal contexts form a class. Each member of a class of several is
-   covered by matches from end to end.
-3. *Suffix order.* For keys with several classes, one context of each class is
-   fetched. In its task, the suffixes after a key are sorted, and so are the
+   and equal contexts (by a 64-bit hash) form a class. Each member of a class of
+   several is covered by matches from end to end; one stands for them below.
+3. *Longest previous factors.* For keys with several classes, one context of each
+   class is fetched. In its task, the suffixes after a key are sorted, and so are the
    reversed prefixes before it; neighbours in the two orders give the common
-   prefixes. A string that begins ``s`` bytes before the key is equal to another
-   one if these reach ``s`` bytes to the left and ``length - key - s`` to the
-   right, so that each ``s`` splits both orders into runs. Within a run, the
-   previous and the next smaller position give the earlier match, which is the
-   longest previous factor cut off at ``length``; greater ones give a later match.
+   prefixes. Strings that begin ``s`` bytes before the key agree in ``length`` bytes if
+   they lie in one run of both orders, that is, of the order of these suffixes cut
+   where neighbours share less. Within a run, the previous and the next smaller
+   position in suffix order (:func:`smaller_neighbours`) are where an earlier match
+   begins: the longest previous factor reaches ``length`` if there is either. The
+   previous and next greater positions give a later match in the same way.
 4. A key with more than ``HOT_CLASSES`` classes isn't sorted in one task: its
-   strings are dealt out one by one by their hash, and counted map-side.
+   strings are dealt out one by one by their hash, and counted map-side. This
+   replaces the arrays for such keys; results are the same (tests compare them).
 
-Nothing is capped. Places are ordered by document id, text hash and offset."""
+Nothing is capped. Places are ordered by document id, text hash and offset.
+Classes and strings that hold more than a thousandth of all rows are at most a
+thousand; they go to the rows as a broadcast, the others meet by a shuffle."""
 
 from __future__ import annotations
 
@@ -41,6 +46,9 @@ LENGTH, KEY = 400, 200
 #: Classes of a key that one task sorts together, and the bytes of contexts
 #: that a task ranks at once (whole keys).
 HOT_CLASSES, RANK_BYTES = 4096, 1 << 20
+#: Bits of a window's hash and of its place in a stretch, which make one number; and
+#: of how many rows a group is hot.
+PLACE_BITS, HOT_SHARE = 24, 1000
 
 _PLACE = "doc_id long, text_hash long"
 
@@ -68,11 +76,16 @@ def anchors(buf: np.ndarray, offsets: np.ndarray, length: int, key: int):
     sums = prefix_sums(buf)
     start = np.arange(len(buf) - key + 1)
     h = span_hashes(sums, start, start + key)
-    bits = np.uint64(max(20, len(h).bit_length()))
-    least = window_minima((h >> bits << bits) | start.astype(np.uint64), width)
-    row = np.searchsorted(offsets, np.arange(len(least)), "right") - 1
-    inside = np.arange(len(least)) + length <= offsets[row + 1]
-    at = np.unique(least[inside] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    bits, found = np.uint64(PLACE_BITS), []
+    # stretches overlap by a string less a byte, so that each string is in one
+    stretch = (1 << PLACE_BITS) - width
+    for first in range(0, len(h), stretch):
+        part = h[first:first + stretch + width - 1]
+        least = window_minima((part >> bits << bits) | np.arange(len(part), dtype=np.uint64), width)
+        begin = first + np.arange(len(least))
+        row = np.searchsorted(offsets, begin, "right") - 1
+        found.append(first + (least[begin + length <= offsets[row + 1]] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64))
+    at = np.unique(np.concatenate(found))
     if not len(at):
         return empty
     row = np.searchsorted(offsets, at, "right") - 1
@@ -117,6 +130,28 @@ def _reach(order: np.ndarray, common: np.ndarray) -> np.ndarray:
     return out
 
 
+def smaller_neighbours(values: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place, where the previous and the next smaller value of its run are
+    (-1 without any). Runs are stretches of equal ``run``.
+
+    As on a stack, a place whose value isn't smaller leads on to its own smaller
+    neighbour; all places take that step together."""
+    def previous(values, run):
+        n = len(values)
+        at = np.arange(-1, n - 1)
+        at[at >= 0] = np.where(run[at[at >= 0]] == run[1:], at[at >= 0], -1)
+        while True:
+            open_ = np.flatnonzero(at >= 0)
+            open_ = open_[values[at[open_]] >= values[open_]]
+            if not len(open_):
+                return at
+            at[open_] = at[at[open_]]
+
+    before = previous(values, run)
+    after = previous(values[::-1], run[::-1])[::-1]
+    return before, np.where(after < 0, -1, len(values) - 1 - after)
+
+
 def factor_matches(before: np.ndarray, after: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray,
                    place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each distance ``s`` before the key and each context: whether the string
@@ -129,6 +164,8 @@ def factor_matches(before: np.ndarray, after: np.ndarray, left: np.ndarray, righ
     hopeful = _reach(order_b, common_b) + _reach(order_a, common_a) >= span
     earlier, later = np.zeros((span + 1, n), bool), np.zeros((span + 1, n), bool)
     run_b, run_a = np.empty(n, np.int64), np.empty(n, np.int64)
+    rank = np.empty(n, np.int64)
+    rank[order_a] = np.arange(n)
     for s in range(span + 1):
         rows = np.flatnonzero(hopeful & (left >= s) & (right >= span - s))
         if len(rows) < 2:
@@ -136,13 +173,12 @@ def factor_matches(before: np.ndarray, after: np.ndarray, left: np.ndarray, righ
         run_b[order_b] = np.cumsum(common_b < s)
         run_a[order_a] = np.cumsum(common_a < span - s)
         run = run_b[rows] * (n + 1) + run_a[rows]
-        order = np.argsort(run, kind="stable")
+        # the suffixes that begin here, in order, as far as they may share a run
+        order = np.lexsort((rank[rows], run))
         run, at, p = run[order], rows[order], place[rows[order]]
-        new = np.concatenate([[True], run[1:] != run[:-1]])
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(run)) - 1
-        which = np.cumsum(new) - 1
-        earlier[s, at], later[s, at] = p > p[first][which], p < p[last][which]
+        smaller, greater = smaller_neighbours(p, run), smaller_neighbours(-p, run)
+        earlier[s, at] = (smaller[0] >= 0) | (smaller[1] >= 0)
+        later[s, at] = (greater[0] >= 0) | (greater[1] >= 0)
     return earlier, later
 
 
@@ -228,6 +264,17 @@ def _fetched(docs: DataFrame, reps: DataFrame, key_bytes: int) -> DataFrame:
     return joined.mapInArrow(run, f"key long, {_PLACE}, at int, left int, bytes binary")
 
 
+def _met(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` with what ``groups(keys, n, ...)`` has for them. Groups that hold more
+    than a thousandth of the ``total`` rows are a thousand at most: a broadcast."""
+    hot = groups.where(F.col("n") * HOT_SHARE > total)
+    if hot.isEmpty():
+        return rows.join(groups, keys)
+    many = F.broadcast(hot.select(*keys))
+    return rows.join(F.broadcast(hot), keys).unionByName(
+        rows.join(many, keys, "left_anti").join(groups.where(F.col("n") * HOT_SHARE <= total), keys))
+
+
 def _counted_spans(contexts: DataFrame, length: int, key: int, keep_first: bool) -> DataFrame:
     """Spans of keys with very many classes: every string by its hash."""
     around = length - key
@@ -253,9 +300,9 @@ def _counted_spans(contexts: DataFrame, length: int, key: int, keep_first: bool)
 
     rows = stored(contexts.mapInArrow(run, f"key long, suffix long, {_PLACE}, begin int"), "hot-suffixes")
     place = F.struct("doc_id", "text_hash", "begin")
-    runs = (rows.groupBy("key", "suffix").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    runs = (rows.groupBy("key", "suffix").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
             .where("first.doc_id IS DISTINCT FROM last.doc_id OR first.text_hash <> last.text_hash OR first.begin <> last.begin"))
-    hits = rows.join(runs, ["key", "suffix"])
+    hits = _met(rows, stored(runs, "hot-runs"), ["key", "suffix"], rows.count())
     if keep_first:
         hits = hits.where(~place.eqNullSafe(F.col("first")))
     return hits.select("doc_id", "text_hash", "begin", (F.col("begin") + length).cast("int").alias("end"))
@@ -272,7 +319,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, keep_f
     keys = stored(classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1"), "repeated-keys")
     open_keys = stored(classes.join(keys, "key").select("key", "classes", "first.*"), "open-keys")
 
-    covered = found.join(classes.where("n > 1").select("key", "context", "first"), ["key", "context"])
+    covered = _met(found, classes.where("n > 1").select("key", "context", "n", "first"), ["key", "context"], found.count())
     if keep_first:
         covered = covered.where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
                                   & (F.col("at") == F.col("first.at"))))
@@ -309,7 +356,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     spans = stored(repeated_spans(docs, length, key, keep_first, hot_classes), "spans")
-    by_doc = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("begin").alias("begin"), F.collect_list("end").alias("end"))
+    # a row repeated often has its spans once
+    by_doc = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans")).select(
+        "doc_id", "text_hash", F.col("spans.begin").alias("begin"), F.col("spans.end").alias("end"))
     same = docs["doc_id"].eqNullSafe(by_doc["doc_id"]) & (docs["text_hash"] == by_doc["text_hash"])
     joined = docs.join(by_doc, same, "left").select(docs["doc_id"], "text", "begin", "end")
     span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from cohortlens.llm import repeats
@@ -63,3 +64,30 @@ def test_factor_arrays_equal_brute_force():
         for k, x in enumerate(strings):
             assert earlier[s, k] == (x is not None and x in strings[:k])
             assert later[s, k] == (x is not None and x in strings[k + 1:])
+
+
+def test_smaller_neighbours_equal_a_scan():
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        n = int(r.integers(1, 40))
+        run = np.sort(r.integers(0, 5, n))
+        values = r.permutation(n) if r.random() < 0.5 else r.integers(0, 6, n)
+        before, after = repeats.smaller_neighbours(values, run)
+        for i in range(n):
+            left = [j for j in range(i) if run[j] == run[i] and values[j] < values[i]]
+            right = [j for j in range(i + 1, n) if run[j] == run[i] and values[j] < values[i]]
+            assert before[i] == max(left, default=-1) and after[i] == min(right, default=-1)
+
+
+def test_stretches_change_no_anchor(monkeypatch):
+    r = np.random.default_rng(2)
+    row = r.integers(97, 100, 9000).astype(np.uint8)
+    row[5000:6500] = row[1000:2500]
+    offsets = np.array([0, 4000, 9000])
+    whole = repeats.anchors(row, offsets, 60, 20)
+    monkeypatch.setattr(repeats, "PLACE_BITS", 10)
+    cut = repeats.anchors(row, offsets, 60, 20)
+    places = {int(x) + (0 if k == 0 else 4000) for k, x in zip(cut[0], cut[1], strict=True)}
+    # every string has its anchor, and equal strings have it at one place within them
+    assert len(whole[0]) and all(any(x <= p <= x + 40 for p in places) for x in [*range(0, 3940, 7), *range(4000, 8940, 7)])
+    assert {p - 1000 for p in places if 1060 <= p < 2400} == {p - 5000 for p in places if 5060 <= p < 6400}
