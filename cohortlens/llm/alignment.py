@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from .common import stored
 
 A_VOCABULARY, B_MODEL = tokens.VOCABULARY, public_tokenizers.path("piece_bpe_32k.model")
 #: Bytes of texts that are aligned at once (or one text).
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 
 
 class Side:
@@ -94,7 +95,7 @@ def pair_bound(a: list[bytes], b: list[bytes]) -> int:
 def tokens_of(ids: list[list[int]], lengths: np.ndarray) -> pd.DataFrame:
     """One row per token: ``doc, id, start, end``; bytes are counted on over the
     documents, of which each has a place of its own."""
-    flat = np.fromiter((k for x in ids for k in x), np.int64)
+    flat = np.fromiter(chain.from_iterable(ids), np.int64)
     doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
     end = np.cumsum(lengths[flat])
     return pd.DataFrame({"doc": doc, "id": flat, "start": end - lengths[flat], "end": end})
@@ -136,7 +137,8 @@ def align(a_ids: list[list[int]], b_ids: list[list[int]], kit: Tokenizers) -> tu
     x, y = x[order], y[order]
     link = a["id"].to_numpy()[x] << 32 | b["id"].to_numpy()[y]
     link_doc = a["doc"].to_numpy()[x]
-    ends = np.unique(a_end[x])  # where groups end
+    ends = a_end[x]  # ascending: where groups end
+    ends = ends[np.diff(ends, prepend=-1) != 0]
     counts = np.bincount(a["doc"].to_numpy()[np.searchsorted(a_end, ends)], minlength=n)
     # tokens by group, A before B, each with the mark that follows it
     group = np.concatenate([np.searchsorted(ends, a_end) * 2, np.searchsorted(ends, b_end) * 2 + 1])
