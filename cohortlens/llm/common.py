@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from ..sources import hadoop
 
 #: Arrow batches stay small in rows and bytes, so that a worker's memory does
 #: not depend on how long the texts are (one text is the unit that remains).
@@ -46,7 +48,30 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     path = scratch(spark, tag)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove what :func:`stored` wrote, once all that is made of it is stored too."""
+    for t in tables:
+        hadoop.remove(t.sparkSession, t.stored_at)
+
+
+#: Buckets of a list of ids, and so the most rows of what is broadcast of it.
+ID_BUCKETS = 1 << 20
+
+
+def split_by_ids(rows: DataFrame, own: Column, ids: DataFrame, listed: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that surely have none of the ids in column ``listed``, and the others.
+
+    Ids fall into a fixed number of buckets, and the list of the buckets hit is
+    broadcast, which has a proven size: rows of other buckets never move."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS))
+    hit = F.broadcast(ids.select(bucket(F.col(listed)).alias("__bucket")).distinct())
+    marked = rows.withColumn("__bucket", bucket(own))
+    return marked.join(hit, "__bucket", "left_anti").drop("__bucket"), marked.join(hit, "__bucket", "left_semi").drop("__bucket")
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

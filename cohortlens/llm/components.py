@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 
 
 def _contract(links: DataFrame, larger_only: bool) -> DataFrame:
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
     links = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "links")
     state = _state(links)
     while state[0]:
-        links = stored(_contract(_contract(links, larger_only=True), larger_only=False), "links")
+        former, links = links, stored(_contract(_contract(links, larger_only=True), larger_only=False), "links")
+        dropped(former)
         state, before = _state(links), state
         if state == before:
             break

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import split_by_ids, stored
 
 #: Characters whose hash makes the second refinement.
 PREFIX_CHARS = 64
@@ -87,17 +87,19 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     were. Of rows that repeat id and text, one stays (any, where their other
     columns differ).
 
-    What goes is a stored list of ids and digests, so that Spark knows its size:
-    it is broadcast only while small, and else joined by id and digest."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")
-    rows = stored(copy_groups(docs, id_col, text_col, digest_all=True).groupBy(key, F.col("text_sha256").alias("__text"))
+    What goes is a stored list of ids and digests. Rows whose ids fall into none of
+    its buckets stay where they are; the others meet it by id and digest."""
+    own = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    rows = stored(copy_groups(docs, id_col, text_col, digest_all=True)
+                  .groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("text_sha256").alias("__text"))
                   .agg(F.max("kept").alias("some"), F.min("kept").alias("all"), F.count(F.lit(1)).alias("n"))
                   .where("NOT all"), "copies")
+    others, suspects = split_by_ids(docs, own, rows, "__id")
     text = F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256)
-    keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("string"), F.lit(""))).withColumn("__text", text)
+    keyed = suspects.withColumn("__id", own).withColumn("__text", text)
     keys = ["__id", "__text"]
     left = keyed.join(rows.select(*keys), keys, "left_anti")
     repeated = rows.where("some").select(*keys)  # a row that stays and others like it
     if not repeated.isEmpty():
         left = left.unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
-    return left.drop(*keys)
+    return others.unionByName(left.drop(*keys))

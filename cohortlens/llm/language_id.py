@@ -14,6 +14,7 @@ a row per piece and a column per language; it grows with neither table."""
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -28,9 +29,12 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: Distinct labelled texts per language (about) that training takes, rounds, the weight
 #: of the languages' common distribution in each, and its floor.
 TRAINING_TEXTS, ROUNDS, PRIOR, FLOOR = 1500, 3, 200.0, 1e-3
-#: Longer words are cut after so many characters; words in a worker's cache.
+#: Characters (the word's mark included) up to which words are taken side by side;
+#: longer ones are taken one by one. Words in a worker's cache.
 LONGEST_WORD, CACHE_WORDS = 24, 700_000
 UNKNOWN = "und"
+#: The least share of the best language among all with which the pipeline keeps a text.
+LEAST_SHARE = 0.5
 
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -57,6 +61,53 @@ def n_pieces(vocabulary: str = VOCABULARY) -> int:
     return max(pieces(vocabulary).values()) + 1
 
 
+def _edges(t: str, find) -> Iterator[tuple[int, int, int]]:
+    """(begin, end, piece) of all pieces in a word; any single character is one."""
+    n = len(t)
+    for a in range(n):
+        found = find(t[a])
+        yield a, a + 1, found if found and found > 0 else 0
+        if found is None:
+            continue
+        for b in range(a + 2, n + 1):
+            found = find(t[a:b])
+            if found is None:
+                break
+            if found > 0:
+                yield a, b, found
+
+
+class LongWord:
+    """The pieces of one word of any length; probabilities as logarithms, as they
+    may be smaller than any number."""
+
+    def __init__(self, t: str, vocabulary: str):
+        self.edges = np.array(list(_edges(t, pieces(vocabulary).get)), np.int64)
+        self.n = len(t)
+
+    def _lead(self, logs: np.ndarray, ends: int, begins: int, way: range) -> np.ndarray:
+        """Logarithm of all that leads to each place, from one side."""
+        order = np.argsort(self.edges[:, ends], kind="stable")
+        at, source, piece = self.edges[order, ends], self.edges[order, begins], self.edges[order, 2]
+        cuts = np.searchsorted(at, np.arange(self.n + 2))
+        out = np.full((self.n + 1, logs.shape[1]), -np.inf)
+        out[way.start - way.step] = 0
+        for place in way:
+            part = slice(cuts[place], cuts[place + 1])
+            out[place] = np.logaddexp.reduce(out[source[part]] + logs[piece[part]], axis=0)
+        return out
+
+    def log_probability(self, p: np.ndarray) -> np.ndarray:
+        return self._lead(np.log(p), 1, 0, range(1, self.n + 1))[-1]
+
+    def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        logs = np.log(p)
+        f, b = self._lead(logs, 1, 0, range(1, self.n + 1)), self._lead(logs, 0, 1, range(self.n - 1, -1, -1))
+        begin, end, piece = self.edges.T
+        shares = np.exp(f[begin] + logs[piece] + b[end] - f[-1]) * counts
+        return np.stack([np.bincount(piece, x, len(p)) for x in shares.T], 1)
+
+
 class Lattice:
     """All pieces that occur in some words, with their places. ``edges`` are
     ordered by their end: word, begin, end, piece."""
@@ -64,10 +115,13 @@ class Lattice:
     def __init__(self, words: list[bytes], vocabulary: str = VOCABULARY):
         find = pieces(vocabulary).get
         texts, self.owner = [], []
+        self.long: list[tuple[int, LongWord]] = []
         for k, w in enumerate(words):
             t = "▁" + w.decode("utf-8", "replace")
-            for a in range(0, len(t), LONGEST_WORD):
-                texts.append(t[a:a + LONGEST_WORD])
+            if len(t) > LONGEST_WORD:
+                self.long.append((k, LongWord(t, vocabulary)))
+            else:
+                texts.append(t)
                 self.owner.append(k)
         out: list[int] = []
         add = out.append
@@ -109,8 +163,10 @@ class Lattice:
     def log_probabilities(self, p: np.ndarray) -> np.ndarray:
         """Per word and language."""
         out = np.zeros((self.n_words, p.shape[1]))
-        if self.n_words:
-            _add(out, self.owner, np.log(np.maximum(self.totals(self.forward(p)), 1e-300)))
+        if len(self.owner):
+            out[self.owner] = np.log(np.maximum(self.totals(self.forward(p)), 1e-300))
+        for k, word in self.long:
+            out[k] = word.log_probability(p)
         return out
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -127,7 +183,8 @@ class Lattice:
                 flow = p[piece] * b[k, end]
                 b[k, a] += flow  # one edge from a place to this end
                 shares[edges] = f[k, a] * flow / total[k] * counts[self.owner[k]]
-        return np.stack([np.bincount(self.edges[:, 3], s, len(p)) for s in shares.T], 1)
+        found = np.stack([np.bincount(self.edges[:, 3], s, len(p)) for s in shares.T], 1)
+        return sum((word.expected(p, counts[k]) for k, word in self.long), found)
 
 
 def _add(target: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
@@ -284,13 +341,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(docs, model, [F.col("doc_id"), held.alias("held_out")])
 
 
-def known_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without those in no known language, columns as they were. Each row
-    is judged by its own text, where it lies."""
+def known_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    least_share: float = LEAST_SHARE) -> DataFrame:
+    """``docs`` in a known language: what the model predicts, with at least
+    ``least_share`` of the probability of all languages; columns as they were. Each
+    row is judged by its own text, where it lies."""
     names = docs.columns
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])  # no name clashes with the result's
     own = {name: F.col(f"c{names.index(name)}") for name in (id_col, text_col, lang_col)}
     held = F.coalesce(F.crc32(own[id_col].cast("string")) % 4 == 2, F.lit(False))
     model = train(plain.where(~held).select(own[text_col].alias("text"), own[lang_col].alias("lang")))
     found = predict(plain.withColumn("text", own[text_col]), model, [F.col(f"c{k}") for k in range(len(names))])
-    return found.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*names)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_share)).drop("lang_pred", "score").toDF(*names)

@@ -16,11 +16,16 @@ Groups are never expanded into pairs:
    links found are closed to components.
 3. Buckets whose members are still in several components get their members'
    sets and are compared in blocks of at most ``BLOCK`` by ``BLOCK``, within
-   tasks and only across components; what leaves a task are pairs that are
-   similar enough, which are confirmed on the full texts.
+   tasks and only across components. What leaves a task are pairs whose sets of
+   52-bit hashes are similar, which join their components for the rest of the
+   block, and pairs just short of it, which don't. All are confirmed on the full
+   texts. If one that joined components is turned down there (two shingles had one
+   hash), it may have hidden others: then the round is made once more, and no pair
+   joins anything in it.
 
 Two documents that share a bucket are therefore in one component, or were
-compared."""
+compared and found to differ. What is stored on the way is removed as soon as all
+that was made of it is stored."""
 
 from __future__ import annotations
 
@@ -29,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, utf8
+from .common import dropped, slices, split_by_ids, stored, utf8
 from .components import components
 from .words import SPACED, Words, mix, run_hashes
 
 #: Words of a shingle, hashes of a collection, minhashes of a hash, similarity
 #: in hundredths, and members that a task compares with as many others at once.
 SHINGLE, BANDS, ROWS, PERCENT, BLOCK = 2, 8, 2, 80, 1024
+#: Shared shingles that a comparison by hashes may be short of.
+SLACK = 1
 #: Bits of a shingle's hash: what 64 bits leave beside the row within a slice.
 SLICE_ROWS_BITS = 12
 
@@ -130,8 +137,10 @@ def _divided(buckets: DataFrame, parts: DataFrame) -> DataFrame:
     return stored(rows.join(split, "key", "left_semi"), "divided")
 
 
-def compare_block(ids: list[int], parts: list[int], chunks: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Pairs of a block that are similar enough and join two components.
+def compare_block(ids: list[int], parts: list[int], chunks: list[int], sets: list[np.ndarray], percent: int,
+                  joining: bool = True) -> list[tuple[int, int, bool]]:
+    """Pairs of a block in two components that are similar enough by their hashes
+    (true), which joins these if ``joining``, or are SLACK shingles short of it.
 
     Members of the commonest component come last, so that only the others are
     held against all that follow. With two chunks, one is held against the
@@ -160,20 +169,24 @@ def compare_block(ids: list[int], parts: list[int], chunks: list[int], sets: lis
         marked[mine] = 1
         shared = np.add.reduceat(marked[flat[begins[i + 1]:]], begins[i + 1:] - begins[i + 1])
         marked[mine] = 0
-        near = 100 * shared >= percent * (sizes[i] + sizes[i + 1:] - shared)
+        similar = 100 * shared >= percent * (sizes[i] + sizes[i + 1:] - shared)
+        # two shingles of a set may have one hash: the slack leaves such pairs to the full sets
+        near = 100 * (shared + SLACK) >= percent * (sizes[i] + sizes[i + 1:] - shared - SLACK)
         if two:
             near &= chunk[i + 1:] != chunk[i]
         for j in np.flatnonzero(near).tolist():
             other = order[i + 1 + j]
             a, b = find(parts[k]), find(parts[other])
             if a != b:
-                root[a] = b
-                found.append((ids[k], ids[other]))
+                if similar[j] and joining:
+                    root[a] = b
+                found.append((ids[k], ids[other], bool(similar[j])))
     return found
 
 
-def _across(buckets: DataFrame, parts: DataFrame, texts: DataFrame, shingle: int, percent: int, block: int) -> DataFrame:
-    """Similar pairs of one bucket in different components, by blocks."""
+def _across(buckets: DataFrame, parts: DataFrame, texts: DataFrame, shingle: int, percent: int, block: int, joining: bool) -> DataFrame:
+    """Pairs of one bucket in different components that are or may be similar, by
+    blocks: ``a, b, similar``."""
     rows = _divided(buckets, parts)
     chunks = F.ceil(F.col("n") / block)
     rows = (rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), chunks))
@@ -187,7 +200,7 @@ def _across(buckets: DataFrame, parts: DataFrame, texts: DataFrame, shingle: int
             buf, offsets = utf8(b.column("text"))
             for k in range(b.num_rows):
                 words = Words(buf[offsets[k]:offsets[k + 1]], offsets[k:k + 2] - offsets[k], SPACED)
-                sets.append(np.unique((_sets(words, shingle)[1] >> np.uint64(20)).astype(np.uint32)).tobytes())
+                sets.append(_sets(words, shingle)[1].tobytes())
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], ["id", "members"])
 
     def compare(batches):
@@ -197,29 +210,30 @@ def _across(buckets: DataFrame, parts: DataFrame, texts: DataFrame, shingle: int
             held = table if held is None else pa.concat_tables([held, table])
             if held.num_rows < 3 * block:
                 continue
-            out, held = _compare_groups(held, percent, False)
+            out, held = _compare_groups(held, percent, False, joining)
             yield out
         if held is not None:
-            yield _compare_groups(held, percent, True)[0]
+            yield _compare_groups(held, percent, True, joining)[0]
 
     sets = members.select("id", "text").mapInArrow(as_set, "id long, members binary").dropDuplicates(["id"])
     return (rows.join(sets, "id").select("key", "x", "y", "chunk", "id", "part", "members").repartition("key", "x", "y")
-            .sortWithinPartitions("key", "x", "y").mapInArrow(compare, "a long, b long"))
+            .sortWithinPartitions("key", "x", "y").mapInArrow(compare, "a long, b long, similar boolean"))
 
 
-def _compare_groups(table: pa.Table, percent: int, ended: bool) -> tuple[pa.RecordBatch, pa.Table]:
+def _compare_groups(table: pa.Table, percent: int, ended: bool, joining: bool) -> tuple[pa.RecordBatch, pa.Table]:
     """Links of the whole blocks of a table ordered by block, and the rows of
     the last one, which may go on, unless the input has ended."""
     key, x, y = (table.column(k).to_numpy() for k in ("key", "x", "y"))
     cuts = np.flatnonzero((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
     cuts = [0, *cuts.tolist(), *([table.num_rows] if ended else [])]
     ids, parts, chunks = (table.column(k).to_pylist() for k in ("id", "part", "chunk"))
-    members = [np.frombuffer(m, np.uint32) for m in table.column("members").to_pylist()]
+    members = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
     found = []
     for a, b in zip(cuts, cuts[1:], strict=False):
         if min(parts[a:b]) != max(parts[a:b]):
-            found += compare_block(ids[a:b], parts[a:b], chunks[a:b], members[a:b], percent)
-    out = pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+            found += compare_block(ids[a:b], parts[a:b], chunks[a:b], members[a:b], percent, joining)
+    columns = list(zip(*found, strict=True)) or [(), (), ()]
+    out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.bool_()), strict=True)], ["a", "b", "similar"])
     return out, table.slice(cuts[-1])
 
 
@@ -281,18 +295,30 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     texts = stored(docs.select(none.alias("no_id"), own.alias("own_id"), "h", "h2", "text").where("text IS NOT NULL")
                    .join(wanted, _KEYS).groupBy("id").agg(F.any_value("text").alias("text")), "candidate-texts")
 
-    links = stored(_confirmed(stored(_led(buckets, percent), "pairs"), texts, shingle, percent), "confirmed")
+    pairs = stored(_led(buckets, percent), "pairs")
+    links = stored(_confirmed(pairs, texts, shingle, percent), "confirmed")
+    dropped(pairs)
     parts = stored(components(links), "parts")
-    pairs = stored(_across(buckets, parts, texts, shingle, percent, block).distinct(), "pairs")
-    more = stored(_confirmed(pairs, texts, shingle, percent), "confirmed")
-    if not more.isEmpty():
-        parts = stored(components(links.unionByName(more)), "parts")
+    for joining in (True, False):
+        found = _across(buckets, parts, texts, shingle, percent, block, joining)
+        pairs = stored(found.groupBy("a", "b").agg(F.max("similar").alias("similar")), "pairs")
+        more = stored(_confirmed(pairs.select("a", "b"), texts, shingle, percent), "confirmed")
+        if not more.isEmpty():
+            former, links = links, stored(links.unionByName(more), "confirmed")
+            old, parts = parts, stored(components(links), "parts")
+            dropped(former, old)
+        hidden = not pairs.where("similar").join(more, ["a", "b"], "left_anti").isEmpty()
+        dropped(pairs, more)
+        if not hidden:
+            break
+    dropped(buckets, texts, links)
     # the document that stands for each component: the smallest id, those without one last
     linked = stored(parts.join(sets.select("id", "first"), F.col("id") == F.col("node")).select("node", "component", "first"), "linked")
     leads = stored(linked.groupBy("component").agg(F.min("first").alias("lead")), "leads")
     labelled = (sets.join(linked.join(leads, "component").select("node", "lead"), F.col("id") == F.col("node"), "left")
                 .select("set_a", "set_b", "n_shingles", F.coalesce("lead", "first").alias("lead")))
     labelled = stored(labelled, "labelled")
+    dropped(sets, parts, linked, leads)
     out = signed.select("doc_id", "h", "h2", "n_shingles", "set_a", "set_b").join(labelled, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("lead").isNull(), F.col("doc_id")).when(~F.col("lead.no_id"), F.col("lead.own_id"))
     kept = F.col("lead").isNull() | (F.struct(none.alias("no_id"), own.alias("own_id"), "h", "h2") == F.col("lead"))
@@ -325,9 +351,11 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = _grouped(docs, id_col, text_col, shingle, percent, bands, rows, block).where("n_shingles > 0")
     gone = stored(found.groupBy(*own).agg(F.min("kept").alias("__kept"), F.count(F.lit(1)).alias("__n"))
                   .where("NOT __kept OR __n > 1"), "near-copies")
-    keyed = docs.select("*", *[c.alias(f"__{k}") for k, c in _keys(id_col, text_col).items()])
+    # rows whose ids fall into none of the list's buckets stay where they are
+    others, suspects = split_by_ids(docs, _keys(id_col, text_col)["own_id"], gone, "__own_id")
+    keyed = suspects.select("*", *[c.alias(f"__{k}") for k, c in _keys(id_col, text_col).items()])
     left = keyed.join(gone.select(*keys), keys, "left_anti")
     repeated = gone.where("__kept").select(*keys)
     if not repeated.isEmpty():
         left = left.unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
-    return left.drop(*keys)
+    return others.unionByName(left.drop(*keys))

@@ -71,6 +71,40 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(logs, np.log(total))
 
 
+def test_long_words_are_summed_whole(monkeypatch):
+    """A word of 60 letters, taken by itself, as if all words were as long."""
+    r = np.random.default_rng(2)
+    p = r.random((language_id.n_pieces(), 3))
+    p /= p.sum(0)
+    words = [("donaudampfschifffahrt" * 3)[:60].encode(), b"the", ("日本語" * 12).encode()]
+    table, lattice = language_id.pieces(), language_id.Lattice(words)
+    assert [k for k, _ in lattice.long] == [0, 2]
+    for w, logs in zip(words, lattice.log_probabilities(p), strict=True):
+        t = "▁" + w.decode()
+        f = [np.ones(3)] + [np.zeros(3) for _ in t]
+        for end in range(1, len(t) + 1):
+            for a in range(end):
+                k = table.get(t[a:end], -1)
+                if k > 0 or end - a == 1:
+                    f[end] = f[end] + f[a] * p[max(k, 0)]
+        assert np.allclose(logs, np.log(f[-1]))
+    counts = np.array([[2.0, 0, 1], [1, 1, 1], [0, 3, 0]])
+    got = lattice.expected(p, counts)
+    monkeypatch.setattr(language_id, "LONGEST_WORD", 2)  # all words by themselves
+    assert np.allclose(language_id.Lattice(words).expected(p, counts), got)
+    far = language_id.Lattice([b"x" * 20_000]).log_probabilities(p)
+    assert np.isfinite(far).all() and (far < -10_000).all()
+
+
+def test_texts_between_languages_are_not_kept(spark):
+    rows = [(k, prose(k, 60), "en") for k in range(30)] + [(100 + k, prose(k, 60)[::-1], "xx") for k in range(30)]
+    docs = spark.createDataFrame([*rows, (900, "zzz qqq 1", None), (901, "123", None)], "doc_id long, text string, lang string")
+    scores = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs).collect()}
+    for share in (0.5, 0.999999):
+        kept = {r.doc_id for r in language_id.known_languages(docs, least_share=share).collect()}
+        assert kept == {k for k, (lang, score) in scores.items() if lang != "und" and score >= share}
+
+
 def test_expected_counts_equal_brute_force():
     table = language_id.pieces()
     p = np.full((language_id.n_pieces(), 1), 1e-3)

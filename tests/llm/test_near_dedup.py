@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from cohortlens.llm import near_dedup
@@ -79,3 +80,31 @@ def test_components_of_chain_star_and_cycle(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(8, 40)] + [(50, 51), (51, 52), (52, 50)] + [(60, 60)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 100 for k in range(100, 161)} | {k: 7 for k in range(7, 40)} | {50: 50, 51: 50, 52: 50}
+
+
+def test_pairs_short_of_the_threshold_by_hash_hide_nothing():
+    """What isn't surely similar is handed on, and joins nothing."""
+    sets = [np.arange(n, dtype=np.uint64) for n in (100, 79, 80)] + [np.arange(500, 600, dtype=np.uint64)]
+    pairs = lambda found, wanted: {(min(a, b), max(a, b)) for a, b, similar in found if similar in wanted}
+    for joining in (True, False):
+        found = near_dedup.compare_block([1, 2, 3, 4], [1, 2, 3, 4], [0] * 4, sets, 80, joining)
+        assert pairs(found, (False,)) == {(1, 2)} and pairs(found, (True,)) == {(1, 3), (2, 3)}
+    # three that are alike: two links join them, and without joining all three are found
+    same = [np.arange(50, dtype=np.uint64)] * 3
+    assert len(near_dedup.compare_block([1, 2, 3], [1, 2, 3], [0] * 3, same, 80)) == 2
+    assert len(near_dedup.compare_block([1, 2, 3], [1, 2, 3], [0] * 3, same, 80, joining=False)) == 3
+
+
+def test_a_family_below_the_threshold_stays_apart(spark):
+    """A template that all share for 0.6 to 0.75, so that they meet in many buckets."""
+    r = random.Random(8)
+    template = prose(5, 70).split()
+    texts = []
+    for k in range(120):
+        words = list(template)
+        at = r.randrange(50)
+        words[at:at + 8 + k % 5] = [f"w{k}x{j}" for j in range(8 + k % 5)]
+        texts.append(" ".join(words))
+    texts += [texts[3] + " tail", texts[7] + " tail"]
+    rows = near_dedup.near_groups(documents(spark, texts)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == [(k, n, c) for k, (n, c) in enumerate(brute(texts, 2))]

@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from cohortlens.llm import language_id
 from cohortlens.llm.queries import ORACLE_SQL, QUERIES
 from tools.compare import frame_rows
 
@@ -40,7 +41,10 @@ def test_matches_oracle(spark, name):
 def test_pipeline_equals_plain_version(spark):
     docs = pd.read_parquet(f"{SMALL}/documents.parquet")
     bench = pd.read_parquet(f"{SMALL}/benchmark.parquet")
-    kept = docs[[bool(re.search(r"[^\W\d_]", t or "")) for t in docs.text]]
+    langs = {r.doc_id for r in language_id.identify(spark.read.parquet(f"{SMALL}/documents.parquet")).where(
+        "lang_pred <> 'und' AND score >= 0.5").collect()}  # the model has tests of its own
+    kept = docs[[i in langs and bool(re.search(r"[^\W\d_]", t or "")) for i, t in zip(docs.doc_id, docs.text, strict=True)]]
+    assert len(kept) == len(langs) > 0.9 * len(docs)
     kept = kept.assign(norm=[re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for t in kept.text]).sort_values("doc_id").drop_duplicates("norm")
     near = groups(list(kept.text), 5)
     kept = kept[[c == k for k, (_, c) in enumerate(near)]]
