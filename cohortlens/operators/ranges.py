@@ -25,11 +25,11 @@ def range_bounds(narrow: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame |
     ``range_rows`` rows: ascending sort keys that cut them into ranges of about as
     many, or into MOST_RANGES; None without such keys. Bounds only deal out rows:
     any would give the same result. ``narrow`` is read twice and should be stored."""
-    many = narrow.groupBy("_of").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > range_rows)
-    hot = stored(many, "hot-keys").select(F.struct("_of").alias("_key"), "_n",
-                                          F.least(F.ceil(F.col("_n") / range_rows), F.lit(MOST_RANGES)).alias("_ranges"))
-    if hot.isEmpty():
+    sizes = narrow.groupBy("_of").agg(F.count(F.lit(1)).alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= range_rows:
         return None
+    hot = stored(sizes.where(F.col("_n") > range_rows), "hot-keys").select(
+        F.struct("_of").alias("_key"), "_n", F.least(F.ceil(F.col("_n") / range_rows), F.lit(MOST_RANGES)).alias("_ranges"))
     share = F.least(F.lit(1.0), F.col("_ranges") * SAMPLED / F.col("_n"))
     drawn = F.pmod(F.xxhash64(ORDER), F.lit(1 << 30)) < share * (1 << 30)
     sample = narrow.withColumn("_key", F.struct("_of")).join(hot, "_key").where(drawn)

@@ -15,8 +15,8 @@ was built from, and counts only as long as these are the current ones: building
 ledger anew makes the deal fact and what comes of it be built anew, and nothing else.
 
 Every build writes a folder of its own. Only when that write has been committed
-does the layer's register (a small Parquet table that is appended to) name it;
-readers take the last entry. A build that fails leaves the register, and so the
+does the layers' register (a small Parquet table that is appended to, and read once)
+name it; readers take the last entry. A build that fails leaves the register, and so the
 layer before it, as they were. Versions that later ones have replaced are removed,
 but for the last, which a reader may still hold."""
 
@@ -38,7 +38,7 @@ from ..session import checkpoint_dir
 from ..sources import hadoop
 
 REBUILD_CONF = "spark.cohortlens.rebuild"
-_REGISTER = "version string, built_at long, inputs map<string,string>"
+_REGISTER = "layer string, version string, built_at long, inputs map<string,string>"
 
 
 def inputs_state(spark: SparkSession, root: str, tables: tuple[str, ...]) -> str:
@@ -72,14 +72,19 @@ class LayerStore:
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens-layers/{key}"
         self.rebuild = spark.conf.get(REBUILD_CONF, "false") == "true" if rebuild is None else rebuild
         self._known: dict[str, tuple[str, DataFrame]] = {}
+        self._register: dict[str, list[tuple[str, dict[str, str]]]] | None = None
 
     def _registered(self, name: str) -> list[tuple[str, dict[str, str]]]:
         """Versions and what they were built from, the last one first."""
-        try:
-            rows = self.spark.read.schema(_REGISTER).parquet(f"{self.root}/{name}/register")
-            return [(r["version"], r["inputs"] or {}) for r in rows.orderBy(F.col("built_at").desc(), "version").collect()]  # a row per build
-        except AnalysisException:  # no build has been registered yet
-            return []
+        if self._register is None:
+            try:
+                rows = self.spark.read.schema(_REGISTER).parquet(f"{self.root}/register").collect()  # a row per build
+            except AnalysisException:  # no build has been registered yet
+                rows = []
+            self._register = {}
+            for r in sorted(rows, key=lambda r: (-r["built_at"], r["version"])):
+                self._register.setdefault(r["layer"], []).append((r["version"], r["inputs"] or {}))
+        return self._register.get(name, [])
 
     def version(self, name: str) -> str:
         """The version of a layer that this store reads."""
@@ -97,8 +102,8 @@ class LayerStore:
             else:
                 version = uuid.uuid4().hex
                 build().write.parquet(f"{self.root}/{name}/{version}")
-                (self.spark.createDataFrame([(version, time.time_ns(), inputs)], _REGISTER).coalesce(1)
-                 .write.mode("append").parquet(f"{self.root}/{name}/register"))
+                (self.spark.createDataFrame([(name, version, time.time_ns(), inputs)], _REGISTER).coalesce(1)
+                 .write.mode("append").parquet(f"{self.root}/register"))
                 for old, _ in before[1:]:
                     hadoop.remove(self.spark, f"{self.root}/{name}/{old}")
             self._known[name] = version, self.spark.read.parquet(f"{self.root}/{name}/{version}")
