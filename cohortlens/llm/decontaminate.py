@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,8 +140,7 @@ _SPANS = "array<struct<first:int,end:int>>"
 _RESULT = f"doc_id long, _text_hash long, n_words long, hit_words {_SPANS}, items array<string>"
 
 
-def _search_all(docs: DataFrame, rows: list[tuple[str, bytes]], window: int) -> DataFrame:
-    tables = docs.sparkSession.sparkContext.broadcast(compile_block(rows, window))
+def _search_all(docs: DataFrame, tables: Broadcast) -> DataFrame:
     span = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
@@ -160,7 +160,7 @@ def _search_all(docs: DataFrame, rows: list[tuple[str, bytes]], window: int) ->
 
 def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_windows: int) -> Iterator[list[tuple[str, bytes]]]:
     """The items in blocks of at most about ``block_windows`` bytes-bounded
-    windows; the driver holds one block at a time."""
+    windows, one block at a time."""
     items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("name"),
                              F.col(text_col).alias("text")).where("text IS NOT NULL")
     # a text of n bytes has at most n / 2 + 1 words, and so fewer windows
@@ -176,15 +176,19 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     """The rows of ``find_leaks`` with the hash of their text."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.col(text_col)).alias("_text_hash"))
-    found = [_search_all(docs, rows, window) for rows in benchmark_blocks(benchmark, item_col, item_text_col, block_windows)]
-    if len(found) == 1:
-        return found[0]
+    send = docs.sparkSession.sparkContext.broadcast
+    once, hits, tables, keys = None, None, None, ["doc_id", "_text_hash"]
+    for rows in benchmark_blocks(benchmark, item_col, item_text_col, block_windows):
+        if tables is not None:  # what the block before found is stored, and its tables go
+            found = stored(_search_all(docs, tables) if once is None else _search_all(docs, tables).where("size(items) > 0"), "leaks")
+            tables.destroy()
+            once, hits = (found, found.where("size(items) > 0")) if once is None else (once, hits.unionByName(found))
+        tables = send(compile_block(rows, window))
+    if once is None:  # one block
+        return _search_all(docs, tables)
     # several blocks: merge what each found in a document; rows that repeat id and text found the same
-    once = stored(found[0], "leaks")
-    keys = ["doc_id", "_text_hash"]
-    hits = once.where("size(items) > 0")
-    for more in found[1:]:
-        hits = hits.unionByName(more.where("size(items) > 0"))
+    hits = hits.unionByName(stored(_search_all(docs, tables).where("size(items) > 0"), "leaks"))
+    tables.destroy()
     merged = hits.groupBy(*[F.coalesce(k, F.lit(0).cast("long")).alias(f"_{k}") for k in keys], F.col("doc_id").isNull().alias("_no_id")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("hit_words")))).alias("_runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"))

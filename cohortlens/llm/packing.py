@@ -5,11 +5,14 @@
 2. Each partition packs its pieces by best fit, longest first. Bins with
    hardly any room left are done.
 3. The other bins become items, as long as they are filled; a few partitions
-   at a time merge and pack them again, until one round has one partition or
-   the bins that remain can't be joined any more.
+   at a time merge and pack them again. Bins with less room than the smallest of
+   them holds can't be joined any more and are done. Partitions become fewer until
+   each has about ``ROUND_ITEMS`` bins, and rounds end when one has brought together
+   hardly any (a thousandth), or there is one partition.
 
-What moves between tasks is 29 bytes a piece. A task holds at most
-``ROUND_ITEMS`` items; more are packed in runs of that many."""
+What moves between tasks is 29 bytes a piece. However many bins remain, a task of a
+round is for about ``ROUND_ITEMS`` of them; the first round takes its partition in
+runs of that many."""
 
 from __future__ import annotations
 
@@ -29,6 +32,8 @@ END_ID = 0
 #: Room (tokens) with which a bin counts as full, partitions merged into one by
 #: each round, and items that a task packs at once.
 NEARLY_FULL, FAN_IN, ROUND_ITEMS = 4, 8, 1 << 19
+#: The share of bins that a round over as many partitions must bring together for another.
+LEAST_GAIN = 0.001
 
 PIECE = np.dtype([("doc", "<i8"), ("known", "u1"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")])
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -136,7 +141,7 @@ def _round(items: DataFrame, load, limit: int, nearly_full: int) -> DataFrame:
 
 
 def sequences(items: DataFrame, limit: int = SEQUENCE, nearly_full: int = NEARLY_FULL,
-              fan_in: int = FAN_IN) -> DataFrame:
+              fan_in: int = FAN_IN, round_items: int = ROUND_ITEMS) -> DataFrame:
     """Pack the rows of :func:`pieces`; adds ``sequence_id, offset`` to each.
 
     Lengths are 1 to ``limit``. Repeated rows are packed each for itself; no
@@ -145,9 +150,17 @@ def sequences(items: DataFrame, limit: int = SEQUENCE, nearly_full: int = NEARLY
     n = max(1, items.select(F.spark_partition_id()).distinct().count())
     bins = _round(items, _piece_members, limit, nearly_full)
     done, rest = [bins.where("full")], bins.where("not full")
+    last = None
     while n > 1:
-        n = -(-n // fan_in)
-        bins = _round(rest.repartition(n), _bin_members, limit, nearly_full)
+        left = rest.agg(F.count(F.lit(1)).alias("n"), F.min("fill").alias("least")).first()
+        if left["n"] < 2 or last is not None and left["n"] > last * (1 - LEAST_GAIN):
+            break
+        # no other bin fits into what has less room than the smallest one holds
+        fits = F.col("fill") + left["least"] <= limit
+        done.append(rest.where(~fits))
+        fewer, last = max(-(-n // fan_in), -(-left["n"] // round_items)), left["n"] if n <= -(-left["n"] // round_items) else None
+        n = min(n, fewer)
+        bins = _round(rest.where(fits).repartition(n), _bin_members, limit, nearly_full)
         done.append(bins.where("full"))
         rest = bins.where("not full")
     for more in done:

@@ -148,3 +148,15 @@ def test_rounds_pack_tightly(spark):
 def test_best_fit_takes_the_tightest_bin():
     bins, n = packing.best_fit(np.array([7, 6, 3, 4, 10]), 10)
     assert n == 3 and bins[2] == bins[0] and bins[3] == bins[1]
+
+
+@pytest.mark.parametrize("round_items", [50, packing.ROUND_ITEMS])
+def test_rounds_end_with_many_bins(spark, round_items):
+    """Pieces of which no two fit together, and some that fill them up."""
+    r = random.Random(6)
+    sizes = [r.randrange(1030, 1500) for _ in range(900)] + [r.randrange(400, 700) for _ in range(300)]
+    items = spark.createDataFrame([(k, 0, 0, n, 7) for k, n in enumerate(sizes)], packing._PIECES).repartition(16)
+    rows = packing.sequences(items, round_items=round_items).collect()
+    assert sorted((x.doc_id, x.length) for x in rows) == list(enumerate(sizes))
+    n = check_packing(rows, 2048)
+    assert 900 <= n <= (905 if round_items > 1000 else 960)
