@@ -243,7 +243,7 @@ def _carried(orders: DataFrame) -> list[str]:
     return [c for c in orders.columns if c.startswith("ob_")]
 
 
-def _relationship_id(cust: Column, supp: Column) -> Column:
+def relationship_id(cust: Column, supp: Column) -> Column:
     return F.concat(F.lit("R"), cust.cast("string"), F.lit("-"), supp.cast("string"))
 
 
@@ -252,7 +252,7 @@ def relationships(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     o = order_summaries(t) if orders is None else orders
     pairs = o.where(F.col("supp").isNotNull()).select(F.col("o_custkey").alias("cust"), F.col("supp")).distinct()
     return pairs.select(
-        _relationship_id(F.col("cust"), F.col("supp")).alias("id"),
+        relationship_id(F.col("cust"), F.col("supp")).alias("id"),
         (F.lit(SUPPLIER_ID_OFFSET) + F.col("supp")).alias("grower_id"),
         F.col("cust").alias("distributor_id"),
         F.when(F.col("supp") % 2 == 0, F.lit(0.75).cast(MONEY)).alias("grower_marketplace_fee_percentage"),
@@ -275,10 +275,27 @@ def _rate(v: float, scale: int = 3) -> Column:
     return F.lit(v).cast(f"decimal({scale + 1},{scale})")
 
 
+def marketplace_order_id(k: Column) -> Column:
+    return F.when(k % 5 == 0, k)
+
+
+def shipment_percentages(k: Column) -> tuple[Column, Column]:
+    """A shipment's own marketplace fee percentages: grower's, distributor's."""
+    return F.when(k % 2 == 0, F.lit(1.00).cast(MONEY)), F.when(k % 3 == 0, F.lit(1.20).cast(MONEY))
+
+
+def is_factored(k: Column) -> Column:
+    return k % 2 == 0
+
+
+def request_shipment_id(k: Column) -> Column:
+    return F.when(k % 11 == 0, F.lit(None)).otherwise(k)
+
+
 def marketplace_orders(t: Tables) -> DataFrame:
     """Shipment id and marketplace order id only (no line summary needed)."""
     k = F.col("o_orderkey")
-    return t.orders.select(k.alias("id"), F.when(k % 5 == 0, k).alias("marketplace_order_id"))
+    return t.orders.select(k.alias("id"), marketplace_order_id(k).alias("marketplace_order_id"))
 
 
 def shipments(t: Tables, orders: DataFrame | None = None) -> DataFrame:
@@ -287,13 +304,14 @@ def shipments(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     o = order_summaries(t) if orders is None else orders
     k, status, p = F.col("o_orderkey"), F.col("o_orderstatus"), _dec("o_totalprice")
     fin = status == "F"
+    grower, distributor = shipment_percentages(k)
     return o.select(
         k.alias("id"),
         k.cast("string").alias("slug"),
         status.alias("state"),
         F.concat(F.lit("REF-"), k.cast("string")).alias("reference_no"),
-        _relationship_id(F.col("o_custkey"), F.col("supp")).alias("relationship_id"),
-        F.when(k % 5 == 0, k).alias("marketplace_order_id"),
+        relationship_id(F.col("o_custkey"), F.col("supp")).alias("relationship_id"),
+        marketplace_order_id(k).alias("marketplace_order_id"),
         F.col("o_orderdate").alias("closed_at"),
         F.when(status != "O", F.col("o_orderdate")).alias("accepted_at"),
         F.col("first_ship").alias("shipping_date"),
@@ -317,10 +335,10 @@ def shipments(t: Tables, orders: DataFrame | None = None) -> DataFrame:
         (p * _rate(0.005)).alias("distributor_commission"),
         F.when(k % 4 == 1, p * _rate(0.01, 2)).alias("fixed_grower_marketplace_fee"),
         F.when(k % 8 != 3, p * _rate(0.008)).alias("calc_grower_marketplace_fee"),
-        F.when(k % 2 == 0, F.lit(1.00).cast(MONEY)).alias("grower_marketplace_fee_percentage"),
+        grower.alias("grower_marketplace_fee_percentage"),
         F.when(k % 4 == 2, p * _rate(0.012)).alias("fixed_distributor_marketplace_fee"),
         (p * _rate(0.01, 2)).alias("calc_distributor_marketplace_fee"),
-        F.when(k % 3 == 0, F.lit(1.20).cast(MONEY)).alias("distributor_marketplace_fee_percentage"),
+        distributor.alias("distributor_marketplace_fee_percentage"),
         (p * _rate(0.03, 2)).alias("calc_pp_fees"),
         F.when(fin, p * _rate(0.004)).alias("calc_late_fee1"),
         F.when(k % 7 == 0, p * _rate(0.002)).alias("calc_late_fee2"),
@@ -334,14 +352,14 @@ def factoring_request_ids(t: Tables) -> DataFrame:
 
 def factoring_requests(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Requests for even orders. ``orders`` as in :func:`shipments`."""
-    o = (order_summaries(t) if orders is None else orders).where(F.col("o_orderkey") % 2 == 0)
+    o = (order_summaries(t) if orders is None else orders).where(is_factored(F.col("o_orderkey")))
     k, status, p = F.col("o_orderkey"), F.col("o_orderstatus"), _dec("o_totalprice")
     fin = status == "F"
     return o.select(
         k.alias("id"),
         k.cast("string").alias("slug"),
         status.alias("state"),
-        F.when(k % 11 == 0, F.lit(None)).otherwise(k).alias("shipment_id"),
+        request_shipment_id(k).alias("shipment_id"),
         F.col("o_custkey").alias("distributor_id"),
         F.col("o_orderdate").alias("closed_at"),
         F.when(fin, F.col("o_orderdate")).alias("approved_at"),
@@ -372,14 +390,16 @@ def factoring_invoices(t: Tables) -> DataFrame:
 
 
 def tms_report(t: Tables) -> DataFrame:
-    """Second platform: one trade order per part, lines totalled per part."""
+    """Second platform: one trade order per part, lines totalled per part; rows that
+    repeat a part repeat nothing. They meet where parts and lines do, by the part's key."""
     tot = (t.lineitem.groupBy("l_partkey")
            .agg(F.sum(_dec("l_extendedprice")).alias("ext"), F.sum(_dec("l_quantity")).alias("qty"),
                 F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"),
                 F.count(F.lit(1)).alias("lines")))
-    p = t.part.join(tot, F.col("p_partkey") == F.col("l_partkey"))
+    p = (t.part.join(tot, F.col("p_partkey") == F.col("l_partkey"))
+         .select("p_partkey", "l_partkey", "p_name", "p_brand", "p_type", "p_size", (_dec("p_retailprice") * F.col("qty")).alias("retail"),
+                 "ext", "qty", F.to_date("first_ship").alias("first_ship"), F.to_date("last_ship").alias("last_ship"), "lines").distinct())
     key = F.col("p_partkey")
-    retail = _dec("p_retailprice")
     return p.select(
         F.concat(F.lit("T-"), key.cast("string")).alias("trade_order_id"),
         F.lit("Closed").alias("state"),
@@ -392,7 +412,7 @@ def tms_report(t: Tables) -> DataFrame:
         F.to_date("first_ship").alias("date_shipment_accepted"),
         F.to_date("last_ship").alias("date_shipment_shipped"),
         F.col("ext").alias("total_gmv"),
-        (retail * F.col("qty")).alias("estimated_gmv"),
+        F.col("retail").alias("estimated_gmv"),
         F.lit("").alias("seller_addr_state"),
         F.lit("").alias("dist_addr_state"),
         key.cast("string").alias("shipment_id"),

@@ -161,3 +161,30 @@ def test_the_deals_are_joined_once(spark):
     stored = ledger.fee_ledger(t).withColumn("total_late_fees", F.when(F.col("total_late_fees") != 0, F.col("total_late_fees")))
     for df in (deals.deal_fact(t, stored), deals.deal_fact(t, stored, loan_tape=True), deals.deal_fact_v1(t, stored)):
         assert df.count() > 0 and not any(SMALL in f for f in df.inputFiles())
+
+
+def test_the_ledger_columns_are_never_shuffled(spark):
+    """The 72 columns are written out of what determines them, after every join and
+    after equal rows have been removed."""
+    import re
+
+    df = ledger.fee_ledger(Tables(spark, SMALL))
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    widths = [int(n) for n in re.findall(r"\) Exchange\s*\nInput \[(\d+)\]", plan)]
+    assert widths and max(widths) < 24
+
+
+def test_rows_that_come_twice_are_in_the_ledger_once(spark):
+    t, twice = Tables(spark, SMALL), Tables(spark, SMALL)
+    for name in ("orders", "customer", "supplier", "part"):
+        rows = getattr(t, name)
+        setattr(twice, name, rows.unionByName(rows))
+    # an order told again with another hour and another buyer of the same name is the same order
+    again = twice.orders.withColumns({"o_custkey": F.lit(-1).cast("long"), "o_orderdate": F.col("o_orderdate") + F.expr("interval 1 hour")})
+    buyer = t.customer.limit(1)
+    t.orders = t.orders.withColumn("o_custkey", F.lit(buyer.first().c_custkey).cast("long"))
+    twice.orders = t.orders.unionByName(again)
+    twice.customer = twice.customer.unionByName(buyer.withColumn("c_custkey", F.lit(-1).cast("long")))
+    a, b = (ledger.fee_ledger(x).drop("seller_marketplace_fee_percentage", "buyer_marketplace_fee_percentage") for x in (t, twice))
+    assert a.count() > 0 and a.exceptAll(b.distinct()).isEmpty() and b.distinct().exceptAll(a).isEmpty()
+    assert (ledger.fee_ledger(twice).groupBy(*ledger.LEDGER_COLUMNS).count().where("count > 1").isEmpty())
