@@ -380,11 +380,14 @@ def factoring_requests(t: Tables, orders: DataFrame | None = None) -> DataFrame:
 
 
 def factoring_invoices(t: Tables) -> DataFrame:
-    l = t.lineitem.where(F.col("l_orderkey") % 2 == 0)
-    return (l.groupBy(F.col("l_orderkey").alias("factoring_request_id"), F.col("l_partkey"))
-            .agg(F.sum(_dec("l_extendedprice")).alias("amount"))
-            .select("factoring_request_id",
-                    F.concat(F.lit("INV-"), F.col("factoring_request_id").cast("string"), F.lit("-"),
+    """Invoices, one per request and part. Lines move once, to their request's id as text
+    (``request_slug``), by which the ledger joins the invoices."""
+    l = t.lineitem.where(F.col("l_orderkey") % 2 == 0).select(
+        F.col("l_orderkey").cast("string").alias("request_slug"), "l_partkey", _dec("l_extendedprice").alias("price"))
+    return (l.repartition("request_slug").groupBy("request_slug", "l_partkey")
+            .agg(F.sum("price").alias("amount"))
+            .select(F.col("request_slug").cast("long").alias("factoring_request_id"), "request_slug",
+                    F.concat(F.lit("INV-"), F.col("request_slug"), F.lit("-"),
                              F.col("l_partkey").cast("string")).alias("invoice_number"),
                     "amount"))
 

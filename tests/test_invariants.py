@@ -188,3 +188,70 @@ def test_rows_that_come_twice_are_in_the_ledger_once(spark):
     a, b = (ledger.fee_ledger(x).drop("seller_marketplace_fee_percentage", "buyer_marketplace_fee_percentage") for x in (t, twice))
     assert a.count() > 0 and a.exceptAll(b.distinct()).isEmpty() and b.distinct().exceptAll(a).isEmpty()
     assert (ledger.fee_ledger(twice).groupBy(*ledger.LEDGER_COLUMNS).count().where("count > 1").isEmpty())
+
+
+@pytest.mark.parametrize("range_rows", [40, 700, deals.RANGE_ROWS])
+def test_accounts_are_joined_where_the_windows_run(spark, range_rows):
+    """The same as a join before plain windows: accounts that are missing, NULL or told twice,
+    a hot one among them, and first and last values that only the account has."""
+    rows = [(None if i % 97 == 0 else 1 if i % 10 else 2 + i % 4, i // 2, (i * 7919) % 50 if i % 13 else None, i * 0.5) for i in range(3000)]
+    df = spark.createDataFrame(rows, "acct long, id long, d int, v double").select(
+        "acct", "id", F.expr("date_add(date'2020-01-01', d)").alias("day"), "d", F.col("v").cast("decimal(26,6)").alias("v"))
+    accounts = spark.createDataFrame([(1, "a"), (1, "z"), (2, "b"), (3, None), (4, "d"), (4, "d"), (None, "n")], "acct long, class string")
+    args = dict(firsts={"fc": "class"}, lasts={"lc": "class"}, maxes={"mx": F.col("d")}, sums={"sv": "v"}, row_number="rn", range_rows=range_rows)
+    apart = deals.account_windows(df, "acct", "day", ["id"], accounts=accounts, **args)
+    first = deals.account_windows(df.join(accounts, "acct"), "acct", "day", ["id"], **{**args, "range_rows": deals.RANGE_ROWS})
+    assert dict(apart.dtypes) == dict(first.dtypes)
+    # rows that agree in the whole order are numbered in any order
+    numbers = lambda x: x.groupBy("acct").agg(F.sort_array(F.collect_list("rn")).alias("rn"))
+    assert numbers(apart).exceptAll(numbers(first)).isEmpty() and apart.count() == first.count() > 3000
+    columns = ["acct", "id", "day", "class", "fc", "lc", "mx", "sv"]
+    assert apart.select(*columns).exceptAll(first.select(*columns)).isEmpty()
+    least = apart.groupBy("acct", "day", "id").agg(F.min("rn").alias("rn"))
+    assert least.exceptAll(first.groupBy("acct", "day", "id").agg(F.min("rn").alias("rn"))).isEmpty()
+
+
+def _exchanges(spark, df):
+    """Columns of each shuffle of the plan, without those that only deal out a sort."""
+    import re
+
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [int(n) for n in re.findall(r"\) Exchange\s*\nInput \[(\d+)\]", plan)]
+
+
+def test_ledger_rows_do_not_move_again_for_their_invoices(spark):
+    """Nothing is joined to the lines of an order but where these rows lie already."""
+    from cohortlens.sources import adapters as A
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = Tables(spark, SMALL)
+        orders = ledger.obligations(t)
+        sales = ledger.sale_opportunities(A.opportunities(t).repartition("slug__c")).select(F.col("slug").alias("sop_slug"), "product_type").distinct()
+        # the widest is that of an obligation's totals; they would move with the rest of the row else
+        assert max(_exchanges(spark, ledger._factoring_arm(t, orders, sales))) < 13
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_cube_moves_its_months_once(spark):
+    """Totals and months of an account come from one aggregation, whose rows the windows take."""
+    base = spark.createDataFrame([(1, "A", "1", i % 7, 1.0) for i in range(50)] + [(1, "B", None, 1, 1.0), (2, "A", "1", None, 2.0)],
+                                 "k long, a string, b string, m int, v double").select(
+        "k", "a", "b", F.expr("add_months(date'2020-01-15', m)").alias("day"), F.col("v").cast("decimal(26,6)").alias("gmv"), F.lit(None).cast("decimal(26,6)").alias("revenue"))
+    act = cube.activity(base, "k", ["a", "b"], "day")
+    assert len(_exchanges(spark, act)) == 1
+    assert len(_exchanges(spark, cube.monthly_events(act, "k", ["a", "b"], 3))) == 2
+    got = {(r.k, r.month.month, float(r.gmv_total), float(r.rev_total)) for r in act.collect()}
+    assert got == {(1, m, 50.0, 0.0) for m in range(1, 8)} and act.count() == 7
+
+
+def test_a_tape_row_stays_with_its_deal(spark):
+    """By slug, each deal has its own rows of the tape once, also where its order is told twice."""
+    t = Tables(spark, SMALL)
+    once = deals._tapes_by_slug(t, deals.A.opportunities(t))
+    t2 = Tables(spark, SMALL)
+    t2.orders = t2.orders.unionByName(t2.orders)
+    key = lambda df: {(r._tapes_of, frozenset(r._tapes)) for r in df.collect()}
+    assert key(once) == key(deals._tapes_by_slug(t2, deals.A.opportunities(t2)))
+    assert all({x.opportunity_id for x in r._tapes} == {int(r._tapes_of)} for r in once.collect()) and once.count() > 0

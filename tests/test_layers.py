@@ -129,3 +129,46 @@ def test_changed_code_changes_the_key(monkeypatch, spark, tmp_path):
     layers.code_state.cache_clear()
     assert layers.code_state() != before
     layers.code_state.cache_clear()
+
+
+def test_the_ledger_is_not_written_for_the_deals_alone(spark, tables):
+    """The deals take seven of its 72 columns; where it is stored, it is read."""
+    from cohortlens.sources import hadoop
+
+    layers = Layers(spark, tables)
+    deals = layers.base.count()
+    built = layers.store.version("deal_fact")
+    assert "fee_ledger" not in hadoop.children(spark, layers.store.root)
+    again = Layers(spark, tables)
+    again.get("fee_ledger")
+    assert again.base.count() == deals and again.store.version("deal_fact") == built
+    anew = Layers(spark, tables, rebuild={"fee_ledger"})
+    assert anew.ledger.inputFiles() and all("/fee_ledger/" in f for f in anew.ledger.inputFiles())
+    assert "/fee_ledger/" not in str(layers._fee_ledger().inputFiles())
+
+
+def test_a_stored_table_lets_go_of_its_shuffles(spark, tmp_path):
+    """The setting holds while a table is written, and is as it was after that."""
+    from cohortlens.sources import scratch
+
+    seen = []
+
+    class Frame:
+        sparkSession = spark
+        write = property(lambda self: self)
+
+        def option(self, *_):
+            return self
+
+        def parquet(self, path):
+            seen.append(spark.conf.get(scratch.CLEANUP_CONF))
+            if path == "broken":
+                raise OSError
+
+    before = spark.conf.get(scratch.CLEANUP_CONF, None)
+    scratch.write(Frame(), "x")
+    with pytest.raises(OSError):
+        scratch.write(Frame(), "broken")
+    assert seen == ["true", "true"] and spark.conf.get(scratch.CLEANUP_CONF, None) == before
+    scratch.write(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 7
