@@ -60,14 +60,12 @@ def activity(base: DataFrame, key: str = "accountid", dims: Sequence[str] = CUBE
     Rows with a NULL key or dimension are dropped (as pandas ``groupby`` does);
     undated rows still count towards the money totals.
     """
-    am = (_kept(base, key, dims).groupBy(key, *dims, month_start(date).alias("month"))
-          .agg(F.sum("gmv").alias("_gmv"), F.sum("revenue").alias("_rev")))
-    w = Window.partitionBy(key, *dims)
     zero = F.lit(0).cast("decimal(2,0)")
-    return (am.withColumns({"gmv_total": F.coalesce(F.sum("_gmv").over(w), zero),
-                            "rev_total": F.coalesce(F.sum("_rev").over(w), zero)})
-            .where(F.col("month").isNotNull())
-            .select(key, *dims, "month", "gmv_total", "rev_total"))
+    # one aggregation and one move: the months of an account are a set bounded by the calendar
+    totals = _kept(base, key, dims).groupBy(key, *dims).agg(
+        F.coalesce(F.sum("gmv"), zero).alias("gmv_total"), F.coalesce(F.sum("revenue"), zero).alias("rev_total"),
+        F.collect_set(month_start(date)).alias("_months"))
+    return totals.select(key, *dims, F.explode("_months").alias("month"), "gmv_total", "rev_total")
 
 
 def activity_bounds(base: DataFrame, key: str, dims: Sequence[str], date: str = "activity_date") -> DataFrame:
